@@ -88,3 +88,38 @@ def top_scored_report(raw: DataFrame, scored: DataFrame, min_score: float, k: in
     j = scored_articles_join(raw, scored).where(F.col("impact_score") >= F.lit(float(min_score)))
     return (j.orderBy(F.col("impact_score").desc(), F.col("id").asc()).limit(k)
             .select("id", "title", "url", "impact_score"))
+
+
+def render_briefs(top: DataFrame, groups: DataFrame, as_of, template: str, group_cols=(),
+                  markdown: Column | None = None) -> DataFrame:
+    """Brief text per group from its ranked articles (at most k rows per group).
+
+    ``articles`` = ``- title (url)`` lines in rank order; the prompt is the
+    template with ``{{articles}}``/``{{date}}`` filled in. Without a supplied
+    ``markdown`` column the offline brief is written from the prompt. Text that
+    parses as JSON is refused (NULL = keep the previous brief). Then URL tokens
+    are repaired and the Sources section is rebuilt from the article URLs.
+    """
+    from ..functions.markdown import (article_line, normalize_url_prefixes, offline_brief, reject_json_output,
+                                      render_prompt, replace_sources_section)
+    g = list(group_cols)
+    as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    items = (top.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct(
+        "rank", article_line(F.col("title"), F.col("url")).alias("line"), F.col("url")))).alias("_items"))
+        if g else top.agg(F.array_sort(F.collect_list(F.struct(
+            "rank", article_line(F.col("title"), F.col("url")).alias("line"), F.col("url")))).alias("_items")))
+    joined = groups.join(items, g, "left") if g else groups.join(items, how="left")
+    arts = F.coalesce(F.col("_items"), F.array().cast("array<struct<rank:int,line:string,url:string>>"))
+    articles_md = F.array_join(F.transform(arts, lambda x: x["line"]), "\n")
+    source_urls = F.filter(F.transform(arts, lambda x: x["url"]), lambda u: u.isNotNull() & (u != ""))
+    prompt = render_prompt(F.lit(template), articles_md, as_of_col)
+    text = markdown if markdown is not None else offline_brief(prompt)
+    md = replace_sources_section(normalize_url_prefixes(reject_json_output(text), source_urls), source_urls)
+    return joined.select(*[F.col(c) for c in groups.columns], F.size(arts).alias("article_count"),
+                         prompt.alias("prompt"), md.alias("markdown"))
+
+
+def write_briefs(briefs: DataFrame, path: str, partition_col: str = "mode") -> None:
+    """Brief sink: one text file per mode, replacing the previous run's files."""
+    briefs.select(partition_col, "markdown").where(F.col("markdown").isNotNull()) \
+        .write.mode("overwrite").partitionBy(partition_col).text(path)

@@ -220,3 +220,93 @@ def q_resolve_links(spark, d):
 
 def registry() -> dict:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+
+
+# ---- K4 brief text, H13-H16/H21, K5 link health -----------------------------------------------
+
+def q_brief_markdown(spark, d):
+    from ..sources.templates import article_template
+    top = BR.adaptive_briefs(eligible(spark, d), "2024-01-31")
+    groups = spark.range(1).select(F.lit("weekly").alias("mode"))
+    out = BR.render_briefs(top, groups, "2024-01-31", article_template("weekly"))
+    return out.select("mode", "article_count", "markdown")
+
+
+def q_render_prompt(spark, d):
+    """Weekly and ai_radar prompts for the adaptive top-7 of each mode's scores."""
+    from ..sources.templates import article_template
+    out = None
+    for mode in ("weekly", "ai_radar"):
+        raw = B.articles_raw(spark, d)
+        sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
+        top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
+        groups = spark.range(1).select(F.lit(mode).alias("mode"))
+        r = BR.render_briefs(top, groups, "2024-01-31", article_template(mode)).select("mode", "prompt")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _page_briefs(spark, d, block=10):
+    """Markdown briefs over blocks of 10 pages: '- title (link)' lines, link cut at '?' or '#'."""
+    p = B.table(spark, d, "pages")
+    title = F.regexp_replace(F.regexp_extract("html", r"<title>(.*?)</title>", 1), "&amp;", "&")
+    cut = F.regexp_extract(F.col("url"), r"^[^?#]*", 0)
+    rows = p.select((F.col("page_id") / block).cast("long").alias("brief_id"), "page_id", "url", title.alias("title"),
+                    cut.alias("cut"))
+    return rows.groupBy("brief_id").agg(F.array_sort(F.collect_list(F.struct("page_id", "url", "title", "cut"))).alias("p"))
+
+
+def q_repair_markdown_urls(spark, d):
+    from ..functions.markdown import normalize_url_prefixes
+    b = _page_briefs(spark, d)
+    md = F.concat(F.lit("# Brief\n"), F.array_join(F.transform("p", lambda x: F.concat(
+        F.lit("- "), x["title"], F.lit(" ("), x["cut"], F.lit(")\n- again ("), x["cut"], F.lit(")"))), "\n"))
+    urls = F.transform("p", lambda x: x["url"])
+    return b.select("brief_id", normalize_url_prefixes(md, urls).alias("markdown"))
+
+
+def q_sources_section(spark, d):
+    from ..functions.markdown import replace_sources_section
+    b = _page_briefs(spark, d)
+    head = F.concat(F.lit("# Brief "), F.col("brief_id").cast("string"), F.lit("\n"),
+                    F.array_join(F.transform("p", lambda x: F.concat(F.lit("- "), x["title"])), "\n"), F.lit("\n"))
+    md = F.when(F.col("brief_id") % 2 == 0,
+                F.concat(head, F.lit("## Sources draft\n- old\n### keep\n## Next\nend  ")))\
+        .otherwise(F.concat(head, F.lit("  \n\t")))
+    urls = F.transform("p", lambda x: x["url"])
+    return b.select("brief_id", replace_sources_section(md, urls).alias("markdown"))
+
+
+def _link_briefs(spark, d):
+    b = _page_briefs(spark, d)
+    md = F.concat(F.lit("## Brief\n"), F.array_join(F.transform("p", lambda x: F.concat(
+        F.lit("- "), x["title"], F.lit(" ("), x["url"], F.lit(")"))), "\n"), F.lit("\n"))
+    return b.select("brief_id", md.alias("markdown"))
+
+
+def q_markdown_urls(spark, d):
+    return _link_briefs(spark, d).select("brief_id", F.posexplode(markdown_urls(F.col("markdown"))).alias("pos", "url"))
+
+
+def q_link_health(spark, d):
+    from ..operators.links import link_health
+    return link_health(_link_briefs(spark, d), B.link_status(spark, d)).select("brief_id", "pos", "url", "status", "ok")
+
+
+def q_link_health_summary(spark, d):
+    from ..operators.links import link_health_summary
+    return link_health_summary(_link_briefs(spark, d), B.link_status(spark, d))
+
+
+def q_reject_json_output(spark, d):
+    """JSON guard over model answers and brief-like texts: TRUE when the text is valid JSON."""
+    from ..functions.markdown import is_json_text
+    r = B.model_responses(spark, d)
+    return r.select("raw_id", is_json_text(F.col("response")).alias("is_json"))
+
+
+def q_offline_brief(spark, d):
+    """Offline brief of each 10-page block's prompt (first 7 distinct URLs)."""
+    from ..functions.markdown import offline_brief
+    b = _link_briefs(spark, d)
+    return b.select("brief_id", offline_brief(F.col("markdown")).alias("markdown"))
