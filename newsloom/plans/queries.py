@@ -310,3 +310,93 @@ def q_offline_brief(spark, d):
     from ..functions.markdown import offline_brief
     b = _link_briefs(spark, d)
     return b.select("brief_id", offline_brief(F.col("markdown")).alias("markdown"))
+
+
+# ---- A/K1: feeds and ingest ------------------------------------------------------------------
+
+def q_decode_payload(spark, d):
+    from ..sources.feeds import decode_payload
+    pp = B.page_payloads(spark, d)
+    return pp.select("page_id", decode_payload(F.col("body")).alias("text"))
+
+
+def _items(spark, d):
+    from ..operators.ingest import feed_items
+    return feed_items(B.feed_payloads(spark, d))
+
+
+def q_parse_feed(spark, d):
+    return _items(spark, d).select("source", "source_ord", "item_ord", "title", "link", "published", "content")
+
+
+def q_repair_xml(spark, d):
+    from ..sources.feeds import parse_feed
+    parsed = parse_feed(B.feed_payloads(spark, d), text_col="body")
+    return parsed.groupBy("source", "parse_status").agg(F.count("item_ord").alias("items"))
+
+
+def _valid(spark, d):
+    from ..operators.ingest import valid_items
+    return valid_items(_items(spark, d))
+
+
+def q_valid_items(spark, d):
+    return _valid(spark, d).select("source", "item_ord", "title", "link", "original_link")
+
+
+def q_resolve_fetch(spark, d):
+    from ..sources.feeds import resolve_fetch
+    r = resolve_fetch(B.fetch_attempts(spark, d))
+    return r.select("source", "feed_url", "fetched_url", "attempt_no", F.length("body").alias("body_chars"),
+                    "error_url", "error")
+
+
+def q_candidate_feed_urls(spark, d):
+    from ..sources.feeds import candidate_feed_urls
+    c = B.candidate_sources(spark, d)
+    return c.select("page_id", "feed_url", F.posexplode(candidate_feed_urls(F.col("feed_url"))).alias("pos", "candidate"))
+
+
+def q_alternate_feed(spark, d):
+    from ..sources.feeds import alternate_feed_url
+    p = B.alternate_pages(spark, d)
+    return p.select("page_id", alternate_feed_url(F.col("html"), F.col("url")).alias("alt_url"))
+
+
+def q_healthy_feeds(spark, d):
+    from ..sources.feeds import healthy_feeds
+    return healthy_feeds(B.feed_payloads(spark, d).select("source", "feed_url"), B.feed_status(spark, d))
+
+
+def _stored(spark, d):
+    return B.articles_raw(spark, d).unionByName(B.stored_feed_articles(spark, d))
+
+
+def q_rewrite_urls(spark, d):
+    from ..operators.ingest import rewrite_urls
+    r = rewrite_urls(_stored(spark, d), _valid(spark, d))
+    return r.where(F.col("url") != F.col("url_before")).select("id", "url_before", "url")
+
+
+def q_ingest_new(spark, d):
+    from ..operators.ingest import ingest_new, rewrite_urls
+    items = _valid(spark, d)
+    raw = rewrite_urls(_stored(spark, d), items).drop("url_before")
+    new = ingest_new(raw, items, AS_OF)
+    return new.select("id", "source", "title", "url", "published_at", "content",
+                      F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+
+
+def q_assign_ids(spark, d):
+    """Ids for every valid feed item, numbered after the largest stored article id."""
+    from ..operators.ingest import assign_ids
+    items = _valid(spark, d).select("source_ord", "item_ord", "link")
+    start = _stored(spark, d).select(F.max("id")).scalar()
+    return assign_ids(items, ["source_ord", "item_ord"], start).select("id", "source_ord", "item_ord", "link")
+
+
+def q_collect(spark, d):
+    """The whole collect job with the feed health check on."""
+    from ..operators.ingest import collect
+    _, new = collect(_stored(spark, d), B.feed_payloads(spark, d), AS_OF, feed_status=B.feed_status(spark, d))
+    return new.select("id", "source", "title", "url")

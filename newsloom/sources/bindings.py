@@ -8,8 +8,12 @@ builds the same tables in SQL.
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -131,3 +135,136 @@ def link_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     error = (F.when(r == 0, "HTTP Error 404: Not Found").when(r == 1, "forbidden by remote host")
              .when(r == 2, "<urlopen error timed out>").otherwise(""))
     return pages.select("url", status.alias("status"), error.alias("error"))
+
+
+# ---- feeds from pages ------------------------------------------------------------------------
+
+FEED_SIZE = 10  # pages per feed: each feed document is one bounded group
+
+
+def _page_title(html):
+    return F.regexp_extract(html, r"<title>(.*?)</title>", 1)
+
+
+def _xml_escape_amp(c):
+    return F.regexp_replace(c, "&", "&amp;")
+
+
+def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages -> one feed item per page with its feed number, variant and item fields."""
+    p = table(spark, sf_dir, "pages")
+    feed_no = (F.col("page_id") / FEED_SIZE).cast("long")
+    cut = F.regexp_extract("url", r"^[^?#]*", 0)
+    link = F.when(F.col("page_id") % 2 == 1, cut).otherwise(F.col("url"))
+    return p.select(
+        "page_id", "url", feed_no.alias("feed_no"), (feed_no % 5).alias("variant"),
+        _page_title(F.col("html")).alias("title_xml"), link.alias("link"),
+        F.concat(F.lit("day "), F.col("page_id").cast("string")).alias("pub"),
+        F.concat(F.lit('<a href="'), F.col("url"), F.lit('">read</a>')).alias("content"))
+
+
+def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed documents built from pages, 10 items per feed; variant = feed number % 5:
+    0 plain RSS, 1 '&nbsp;' in titles, 2 junk before '<rss', 3 Atom entries with two links,
+    4 truncated body (rejected). Returns ``(source, feed_url, source_ord, body)``."""
+    fp = feed_pages(spark, sf_dir)
+    title = F.when(F.col("variant") == 1, F.concat(F.col("title_xml"), F.lit("&nbsp;x"))).otherwise(F.col("title_xml"))
+    cdata = F.concat(F.lit("<![CDATA["), F.col("content"), F.lit("]]>"))
+    rss_item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), _xml_escape_amp(F.col("link")),
+                        F.lit("</link><pubDate>"), F.col("pub"), F.lit("</pubDate><description>"), cdata,
+                        F.lit("</description></item>"))
+    atom_entry = F.concat(F.lit("<entry><title>"), title, F.lit('</title><link href="'),
+                          _xml_escape_amp(F.col("link")), F.lit('"/><link rel="alternate" href="https://mirror.example.org/'),
+                          F.col("page_id").cast("string"), F.lit('"/><published>'), F.col("pub"),
+                          F.lit("</published><summary>"), cdata, F.lit("</summary></entry>"))
+    piece = F.when(F.col("variant") == 3, atom_entry).otherwise(rss_item)
+    feeds = fp.groupBy("feed_no", "variant").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", piece.alias("x")))),
+                                 lambda s: s["x"]), "").alias("inner"))
+    rss = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>feed</title>'),
+                   F.col("inner"), F.lit("</channel></rss>"))
+    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>feed</title>'), F.col("inner"),
+                    F.lit("</feed>"))
+    body = (F.when(F.col("variant") == 2, F.concat(F.lit("junk bytes "), rss))
+            .when(F.col("variant") == 3, atom)
+            .when(F.col("variant") == 4, F.substring(rss, 1, F.length(rss) - 20))
+            .otherwise(rss))
+    return feeds.select(F.concat(F.lit("feed"), F.col("feed_no").cast("string")).alias("source"),
+                        F.concat(F.lit("https://feeds.example.org/"), F.col("feed_no").cast("string"),
+                                 F.lit("/rss.xml")).alias("feed_url"),
+                        F.col("feed_no").cast("int").alias("source_ord"), body.alias("body"))
+
+
+def stored_feed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows an earlier run stored for pages whose id also appears in ``labels``: the item's
+    source and title with the link as published (cut at '?'/'#' for odd page ids)."""
+    fp = feed_pages(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id")).distinct()
+    title = F.replace(F.replace(F.col("title_xml"), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
+    rows = fp.join(lab, "page_id")
+    return rows.select(
+        (F.lit(100000) + F.col("page_id")).alias("id"),
+        F.concat(F.lit("feed"), F.col("feed_no").cast("string")).alias("source"), title.alias("title"),
+        F.col("link").alias("url"), F.col("pub").alias("published_at"), F.col("content"),
+        F.lit(AS_OF).cast("timestamp").alias("ingested_at"))
+
+
+def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page a feed at ``<site>/blog/feed``: attempt 0 is that URL, 1.. its candidates; the
+    attempt numbered ``page_id % 7`` succeeds (none does for 6)."""
+    from .feeds import candidate_feed_urls
+    p = table(spark, sf_dir, "pages")
+    feed_url = F.concat(F.regexp_extract("url", r"^https?://[^/]+", 0), F.lit("/blog/feed"))
+    f = p.select("page_id", feed_url.alias("feed_url"), F.col("html"))
+    tries = f.select("page_id", "feed_url", "html", F.posexplode(F.concat(F.array("feed_url"),
+                                                                          candidate_feed_urls(F.col("feed_url"))))
+                     .alias("attempt_no", "url"))
+    ok = F.col("attempt_no") == F.col("page_id") % 7
+    return tries.select(F.concat(F.lit("site"), F.col("page_id").cast("string")).alias("source"), "feed_url",
+                        "attempt_no", "url", ok.alias("ok"), F.when(ok, F.col("html")).alias("body"),
+                        F.when(~ok, F.lit("HTTP Error 404: Not Found")).alias("error"))
+
+
+def feed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probe answers per feed URL: 200, 500, no answer (NULL) or 200 by feed number % 4."""
+    fp = feed_payloads(spark, sf_dir).select("feed_url", "source_ord")
+    r = F.col("source_ord") % 4
+    return fp.select("feed_url", F.when(r == 1, 500).when(r == 2, F.lit(None)).otherwise(200).cast("int").alias("status"))
+
+
+@F.pandas_udf(BinaryType())
+def _gzip(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else gzip.compress(t.encode("utf-8"), mtime=0))
+
+
+def page_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages -> binary payloads: gzip-compressed for even page ids, plain UTF-8 otherwise."""
+    p = table(spark, sf_dir, "pages")
+    body = F.when(F.col("page_id") % 2 == 0, _gzip(F.col("html"))).otherwise(F.encode(F.col("html"), "UTF-8"))
+    return p.select("page_id", body.alias("body"))
+
+
+def alternate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages with <link rel="alternate"> tags after <head>: an RSS link (page_id % 3 = 0), an HTML
+    link followed by a relative Atom link (% 3 = 1), or none (% 3 = 2)."""
+    p = table(spark, sf_dir, "pages")
+    r = F.col("page_id") % 3
+    tag = (F.when(r == 0, F.concat(F.lit('<link rel="alternate" type="application/rss+xml" href="/feed/'),
+                                   F.col("page_id").cast("string"), F.lit('">')))
+           .when(r == 1, F.lit('<link rel="alternate" type="text/html" href="/en/"><link type="application/atom+xml" '
+                               'rel="Alternate feed" href="feed.xml">'))
+           .otherwise(F.lit("")))
+    html = F.regexp_replace(F.col("html"), "<head>", F.concat(F.lit("<head>"), tag))
+    return p.select("page_id", "url", html.alias("html"))
+
+
+def candidate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed URLs per page: '<site>/blog' + one of the six feed suffixes (page_id % 6), a trailing '/'
+    when page_id % 4 = 0, '/blog/posts' when page_id % 13 = 0, plus the page's query and fragment."""
+    from .feeds import FEED_SUFFIXES
+    p = table(spark, sf_dir, "pages")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in FEED_SUFFIXES]), (F.col("page_id") % 6 + 1).cast("int"))
+    path = F.when(F.col("page_id") % 13 == 0, F.lit("/blog/posts")).otherwise(F.concat(F.lit("/blog"), suffix))
+    path = F.when(F.col("page_id") % 4 == 0, F.concat(path, F.lit("/"))).otherwise(path)
+    tail = F.regexp_extract("url", r"[?#].*$", 0)
+    return p.select("page_id", F.concat(F.regexp_extract("url", r"^https?://[^/?#]+", 0), path, tail).alias("feed_url"))
