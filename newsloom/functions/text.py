@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import bind
+
 # Fixed values that must equal the reference's behaviour.
 WS_RUN = r"(?U)[\s\x1c-\x1f]+"
 STACKEXCHANGE_PREFIX = r"(?iU)^(https?://[^/]*stackexchange\.com/questions/\d+)"
@@ -32,9 +34,8 @@ def normalize_text(c) -> Column:
 
 def canonical_url(c) -> Column:
     """``https://x.stackexchange.com/questions/<n>/slug?...`` -> ``.../questions/<n>/``; others unchanged."""
-    c = _col(c)
-    return F.when(c.rlike(STACKEXCHANGE_FULL),
-                  F.concat(F.regexp_extract(c, STACKEXCHANGE_PREFIX, 1), F.lit("/"))).otherwise(c)
+    return bind(_col(c), lambda u: F.when(u.rlike(STACKEXCHANGE_FULL), F.concat(
+        F.regexp_extract(u, STACKEXCHANGE_PREFIX, 1), F.lit("/"))).otherwise(u))
 
 
 def extract_urls(c) -> Column:
@@ -57,14 +58,18 @@ def repair_link(link, content) -> Column:
 
     A NULL link with candidate URLs gives NULL (the item is dropped later).
     """
-    link_c = canonical_url(_col(link))
-    cands = F.transform(extract_urls(_col(content)), lambda u: canonical_url(u))
-    longer = F.filter(cands, lambda u: u.startswith(link_c) & (F.length(u) > F.length(link_c)))
-    return (F.when(F.size(cands) == 0, link_c)
-            .when(link_c.isNull(), F.lit(None).cast("string"))
-            .when(F.array_contains(cands, link_c), link_c)
-            .when(F.size(longer) == 1, longer[0])
-            .otherwise(link_c))
+    both = F.struct(canonical_url(_col(link)).alias("l"),
+                    F.transform(extract_urls(_col(content)), lambda u: canonical_url(u)).alias("c"))
+
+    def pick(v: Column) -> Column:
+        link_c, cands = v["l"], v["c"]
+        longer = F.filter(cands, lambda u: u.startswith(link_c) & (F.length(u) > F.length(link_c)))
+        return (F.when(F.size(cands) == 0, link_c)
+                .when(link_c.isNull(), F.lit(None).cast("string"))
+                .when(F.array_contains(cands, link_c), link_c)
+                .when(F.size(longer) == 1, longer[0])
+                .otherwise(link_c))
+    return bind(both, pick)
 
 
 # --- URL join (RFC 3986 reference resolution as done by Python's urljoin) ---------------
@@ -96,10 +101,20 @@ def resolve_url(base, link) -> Column:
     """``urljoin(base, link)`` for http(s) bases: handles ``//host``, ``/abs``, ``rel``, ``?q``,
     ``#f`` and dot segments. A link that carries its own scheme is returned unchanged."""
     base, link = _col(base), _col(link)
-    b_scheme, b_net, b_path, b_query = _part(base, 1), _part(base, 2), _part(base, 3), _part(base, 4)
-    l_scheme, l_net, l_path, l_query, l_frag = (_part(link, i) for i in range(1, 6))
-    l_has_q, l_has_f = _has(link, "query"), _has(link, "fragment")
-    b_has_q = _has(base, "query")
+    parts = F.struct(
+        base.alias("base"), link.alias("link"),
+        *[_part(base, i).alias(f"b{i}") for i in (1, 2, 3, 4)],
+        *[_part(link, i).alias(f"l{i}") for i in (1, 2, 3, 4, 5)],
+        _has(link, "query").alias("lq"), _has(link, "fragment").alias("lf"),
+        _has(base, "query").alias("bq"), _has(link, "netloc").alias("ln"))
+    return bind(parts, _resolve)
+
+
+def _resolve(p: Column) -> Column:
+    base, link = p["base"], p["link"]
+    b_scheme, b_net, b_path, b_query = p["b1"], p["b2"], p["b3"], p["b4"]
+    l_scheme, l_path, l_query, l_frag = p["l1"], p["l3"], p["l4"], p["l5"]
+    l_has_q, l_has_f, b_has_q = p["lq"], p["lf"], p["bq"]
 
     def with_tail(prefix: Column, path: Column, query: Column, has_q: Column) -> Column:
         return F.concat(prefix, path,
@@ -107,34 +122,33 @@ def resolve_url(base, link) -> Column:
                         F.when(l_has_f, F.concat(F.lit("#"), l_frag)).otherwise(F.lit("")))
 
     authority = F.concat(b_scheme, F.lit("://"), b_net)
-    # Relative path: base directory segments + link segments, inner empties dropped.
-    base_dir = F.split(b_path, "/")
-    base_dir = F.when(F.element_at(base_dir, -1) != "", F.slice(base_dir, 1, F.size(base_dir) - 1)).otherwise(base_dir)
-    rel_segments = F.concat(base_dir, F.split(l_path, "/"))
-    n = F.size(rel_segments)
-    rel_segments = F.concat(
-        F.slice(rel_segments, 1, 1),
-        F.filter(F.slice(rel_segments, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != ""),
-        F.when(n > 1, F.slice(rel_segments, -1, 1)).otherwise(F.array().cast("array<string>")))
-    abs_segments = F.split(l_path, "/")
 
     def joined(segs: Column) -> Column:
-        p = F.array_join(_remove_dots(segs), "/")
-        p = F.when(p == "", F.lit("/")).otherwise(p)
-        return F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p))
+        return bind(F.array_join(_remove_dots(segs), "/"), lambda j: bind(
+            F.when(j == "", F.lit("/")).otherwise(j),
+            lambda q: F.when(q.startswith("/"), q).otherwise(F.concat(F.lit("/"), q))))
+
+    def relative_segments(bp: Column) -> Column:
+        # Base directory segments + link segments, inner empty segments dropped.
+        base_dir = F.split(bp, "/")
+        base_dir = F.when(F.element_at(base_dir, -1) != "", F.slice(base_dir, 1, F.size(base_dir) - 1)).otherwise(base_dir)
+        return bind(F.concat(base_dir, F.split(l_path, "/")), lambda segs: F.concat(
+            F.slice(segs, 1, 1),
+            F.filter(F.slice(segs, 2, F.greatest(F.size(segs) - 2, F.lit(0))), lambda s: s != ""),
+            F.when(F.size(segs) > 1, F.slice(segs, -1, 1)).otherwise(F.array().cast("array<string>"))))
 
     return (F.when(link.isNull(), F.lit(None).cast("string"))
             .when(base.isNull() | (base == ""), link)
             .when((l_scheme != "") & (F.lower(l_scheme) != F.lower(b_scheme)), link)
             .when(link == "", base)
-            .when(_has(link, "netloc"), F.concat(b_scheme, F.lit(":"), F.regexp_replace(link, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
+            .when(p["ln"], F.concat(b_scheme, F.lit(":"), F.regexp_replace(link, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
             .when(l_path == "",
                   with_tail(authority, b_path, F.when(l_has_q, l_query).otherwise(b_query), l_has_q | b_has_q))
-            .when(l_path.startswith("/"), with_tail(authority, joined(abs_segments), l_query, l_has_q))
-            .otherwise(with_tail(authority, joined(rel_segments), l_query, l_has_q)))
+            .when(l_path.startswith("/"), with_tail(authority, joined(F.split(l_path, "/")), l_query, l_has_q))
+            .otherwise(with_tail(authority, joined(relative_segments(b_path)), l_query, l_has_q)))
 
 
 def resolve_link(link, feed_url) -> Column:
     """Links that do not start with 'http' are joined onto the feed URL; others pass unchanged."""
-    link = _col(link)
-    return F.when((link != "") & ~link.startswith("http"), resolve_url(feed_url, link)).otherwise(link)
+    return bind(F.struct(_col(link).alias("l"), _col(feed_url).alias("b")), lambda v: F.when(
+        (v["l"] != "") & ~v["l"].startswith("http"), resolve_url(v["b"], v["l"])).otherwise(v["l"]))

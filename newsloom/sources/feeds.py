@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from ..functions import bind
 from ..functions.text import resolve_url
 
 # Fixed values that must equal the reference's behaviour.
@@ -98,11 +99,11 @@ def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
     """
     t = F.col(text_col)
     first = F.from_xml(t, FEED_SCHEMA, XML_OPTIONS)
-    bad = first.isNull() | first["_corrupt_record"].isNotNull()
-    fixed_text = F.when(bad, repair_xml(t)).otherwise(t)
-    df = payloads.withColumn("_text", fixed_text).withColumn("_bad", bad)
-    x = F.from_xml(F.col("_text"), FEED_SCHEMA, XML_OPTIONS)
-    df = df.withColumn("_x", x)
+    bad = bind(first, lambda f: f.isNull() | f["_corrupt_record"].isNotNull())
+    df = payloads.withColumn("_bad", bad)
+    df = df.withColumn("_text", F.when(F.col("_bad"), repair_xml(t)).otherwise(t))
+    df = df.withColumn("_x", F.when(F.col("_bad"), F.from_xml(F.col("_text"), FEED_SCHEMA, XML_OPTIONS))
+                       .otherwise(first))
     rejected = F.col("_x").isNull() | F.col("_x._corrupt_record").isNotNull()
     status = F.when(rejected, "rejected").when(F.col("_bad"), "repaired").otherwise("ok")
     ns = _root_default_ns(F.col("_text"))
