@@ -400,3 +400,30 @@ def q_collect(spark, d):
     from ..operators.ingest import collect
     _, new = collect(_stored(spark, d), B.feed_payloads(spark, d), AS_OF, feed_status=B.feed_status(spark, d))
     return new.select("id", "source", "title", "url")
+
+
+# ---- J1 user scorer, I1 streaming ---------------------------------------------------------------
+
+def q_score_with_fn(spark, d):
+    from ..operators.scorer import length_scorer, with_responses
+    raw = B.articles_raw(spark, d)
+    responses = with_responses(raw, length_scorer)
+    return score_articles(raw, None, responses, catalog(spark, d), "weekly")
+
+
+def q_stream_ingest(spark, d):
+    """Payload files -> Structured Streaming (availableNow, one file per batch) -> sink.
+
+    The payloads are written twice (two files), so the second batch must add nothing.
+    Returns the distinct URLs stored by the stream."""
+    import uuid
+    from ..session import checkpoint_dir
+    from ..streaming.ingest_stream import start_ingest_stream
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    payloads = B.feed_payloads(spark, d)
+    for copy in ("a", "b"):
+        payloads.coalesce(1).write.mode("overwrite").parquet(f"{root}/in/{copy}")
+    q = start_ingest_stream(spark, f"{root}/in/*", f"{root}/sink", f"{root}/checkpoint",
+                            seed=_stored(spark, d), as_of=AS_OF)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/sink").select("url").distinct()
