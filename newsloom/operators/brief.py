@@ -53,29 +53,29 @@ def adaptive_briefs(eligible: DataFrame, as_of, group_cols=(), k: int = TOP_K,
     """
     as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     g = list(group_cols)
-    tmp_key = not g
-    if tmp_key:
-        eligible = eligible.withColumn("_brief", F.lit(0))
-        g = ["_brief"]
     b = eligible.withColumn("_bucket", _bucket(F.col("ingested_at"), as_of_col))
     order = [F.col("impact_score").desc(), F.col("id").asc()]
     top = (b.withColumn("_rn", F.row_number().over(Window.partitionBy(*g, "_bucket").orderBy(*order)))
            .where(F.col("_rn") <= k).drop("_rn"))
     n = len(WINDOWS_DAYS)
-    counts = b.groupBy(*g).agg(*[F.count_if(F.col("_bucket") <= i).alias(f"_c{i}") for i in range(n)],
-                               F.count(F.lit(1)).alias("_call"))
+    count_cols = [*[F.count_if(F.col("_bucket") <= i).alias(f"_c{i}") for i in range(n)],
+                  F.count(F.lit(1)).alias("_call")]
     chosen = F.lit(None).cast("int")
     chosen = F.when(F.col("_call") > 0, F.lit(n)).otherwise(chosen)
     chosen = F.when(F.col(f"_c{n - 1}") > 0, F.lit(n - 1)).otherwise(chosen)
     for i in reversed(range(n)):
         chosen = F.when(F.col(f"_c{i}") >= min_rows, F.lit(i)).otherwise(chosen)
-    days = F.element_at(F.array(*[F.lit(d) for d in WINDOWS_DAYS], F.lit(None).cast("int")), F.col("_chosen") + 1)
-    counts = counts.select(*g, chosen.alias("_chosen"))
-    picked = top.join(counts, g).where(F.col("_bucket") <= F.col("_chosen"))
+    if g:
+        counts = b.groupBy(*g).agg(*count_cols).select(*g, chosen.alias("_chosen"))
+        picked = top.join(counts, g)
+    else:
+        # One brief: the chosen window is a scalar subquery (evaluated once), no join.
+        picked = top.withColumn("_chosen", b.agg(*count_cols).select(chosen).scalar())
+    picked = picked.where(F.col("_bucket") <= F.col("_chosen"))
+    # At most k rows per (brief, bucket) reach this window.
     ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy(*g).orderBy(*order)))
-    out = ranked.where(F.col("rank") <= k).withColumn("window_days", days.cast("int")) \
-        .drop("_bucket", "_chosen")
-    return out.drop("_brief") if tmp_key else out
+    days = F.element_at(F.array(*[F.lit(d) for d in WINDOWS_DAYS], F.lit(None).cast("int")), F.col("_chosen") + 1)
+    return ranked.where(F.col("rank") <= k).withColumn("window_days", days.cast("int")).drop("_bucket", "_chosen")
 
 
 def top_articles(eligible: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -90,7 +90,7 @@ def top_scored_report(raw: DataFrame, scored: DataFrame, min_score: float, k: in
             .select("id", "title", "url", "impact_score"))
 
 
-def render_briefs(top: DataFrame, groups: DataFrame, as_of, template: str, group_cols=(),
+def render_briefs(top: DataFrame, groups, as_of, template: str, group_cols=(),
                   markdown: Column | None = None) -> DataFrame:
     """Brief text per group from its ranked articles (at most k rows per group).
 
@@ -99,6 +99,10 @@ def render_briefs(top: DataFrame, groups: DataFrame, as_of, template: str, group
     ``markdown`` column the offline brief is written from the prompt. Text that
     parses as JSON is refused (NULL = keep the previous brief). Then URL tokens
     are repaired and the Sources section is rebuilt from the article URLs.
+
+    With ``group_cols`` every row of the ``groups`` DataFrame gets a brief (left
+    join); without, ``groups`` is a dict of label columns for the single brief,
+    which the global aggregate returns even when no article qualified.
     """
     from ..functions.markdown import (article_line, normalize_url_prefixes, offline_brief, reject_json_output,
                                       render_prompt, replace_sources_section)
@@ -108,14 +112,19 @@ def render_briefs(top: DataFrame, groups: DataFrame, as_of, template: str, group
         "rank", article_line(F.col("title"), F.col("url")).alias("line"), F.col("url")))).alias("_items"))
         if g else top.agg(F.array_sort(F.collect_list(F.struct(
             "rank", article_line(F.col("title"), F.col("url")).alias("line"), F.col("url")))).alias("_items")))
-    joined = groups.join(items, g, "left") if g else groups.join(items, how="left")
+    if g:
+        joined = groups.join(items, g, "left")
+        labels = [F.col(c) for c in groups.columns]
+    else:
+        joined = items
+        labels = [F.lit(v).alias(k) for k, v in dict(groups).items()]
     arts = F.coalesce(F.col("_items"), F.array().cast("array<struct<rank:int,line:string,url:string>>"))
     articles_md = F.array_join(F.transform(arts, lambda x: x["line"]), "\n")
     source_urls = F.filter(F.transform(arts, lambda x: x["url"]), lambda u: u.isNotNull() & (u != ""))
     prompt = render_prompt(F.lit(template), articles_md, as_of_col)
     text = markdown if markdown is not None else offline_brief(prompt)
     md = replace_sources_section(normalize_url_prefixes(reject_json_output(text), source_urls), source_urls)
-    return joined.select(*[F.col(c) for c in groups.columns], F.size(arts).alias("article_count"),
+    return joined.select(*labels, F.size(arts).alias("article_count"),
                          prompt.alias("prompt"), md.alias("markdown"))
 
 

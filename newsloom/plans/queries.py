@@ -25,8 +25,19 @@ BRIEF_AS_OF = ("2024-01-31", "2024-02-04", "2024-02-20", "2024-04-15", "2025-01-
 
 # ---- shared pipeline pieces --------------------------------------------------------------
 
+_CATALOGS: dict = {}
+
+
 def catalog(spark, d):
-    return parse_catalog(B.catalog_documents(spark, d))
+    """The flattened catalog, built once per session and table folder.
+
+    A catalog is configuration-sized; caching it keeps its size check and the
+    default-weight lookup from re-reading ``documents`` (a cached block that is
+    lost is recomputed from lineage)."""
+    key = (id(spark), d)
+    if key not in _CATALOGS:
+        _CATALOGS[key] = parse_catalog(B.catalog_documents(spark, d)).cache()
+    return _CATALOGS[key]
 
 
 def scored_weekly(spark, d, mode="weekly"):
@@ -227,8 +238,7 @@ def registry() -> dict:
 def q_brief_markdown(spark, d):
     from ..sources.templates import article_template
     top = BR.adaptive_briefs(eligible(spark, d), "2024-01-31")
-    groups = spark.range(1).select(F.lit("weekly").alias("mode"))
-    out = BR.render_briefs(top, groups, "2024-01-31", article_template("weekly"))
+    out = BR.render_briefs(top, {"mode": "weekly"}, "2024-01-31", article_template("weekly"))
     return out.select("mode", "article_count", "markdown")
 
 
@@ -240,8 +250,7 @@ def q_render_prompt(spark, d):
         raw = B.articles_raw(spark, d)
         sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
         top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
-        groups = spark.range(1).select(F.lit(mode).alias("mode"))
-        r = BR.render_briefs(top, groups, "2024-01-31", article_template(mode)).select("mode", "prompt")
+        r = BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode)).select("mode", "prompt")
         out = r if out is None else out.unionByName(r)
     return out
 
