@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .util import HOT_KEY_ROWS, join_hot_split
 
-def duplicate_ids(raw: DataFrame) -> DataFrame:
+
+def duplicate_ids(raw: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Ids ``r1.id`` with some ``r2`` where ``lower(r1.title) = lower(r2.title) AND r1.id > r2.id``.
 
-    Same as ``id > min(id) per lower(title)``: a partial (map-side) min per title,
-    then an equi join back. No pairs are formed, so a title held by a third of
-    all rows costs one aggregate row; AQE splits that title's skewed join
-    partition.
+    Same as ``id > min(id) per lower(title)``: a partial (map-side) min and count
+    per title, then an equi join back. No pairs are formed. Titles held by more
+    than ``hot_rows`` articles are salted across several tasks (``join_hot_split``),
+    so a title held by a third of all rows never lands in one task.
     """
     t = raw.where(F.col("title").isNotNull()).select("id", F.lower("title").alias("_tkey"))
-    firsts = t.groupBy("_tkey").agg(F.min("id").alias("_first_id"))
-    return t.join(firsts, "_tkey").where(F.col("id") > F.col("_first_id")).select("id")
+    firsts = t.groupBy("_tkey").agg(F.min("id").alias("_first_id"), F.count(F.lit(1)).alias("_n"))
+    joined = join_hot_split(t, firsts.drop("_n"), "_tkey", key_counts=firsts.select("_tkey", "_n"), hot_rows=hot_rows)
+    return joined.where(F.col("id") > F.col("_first_id")).select("id")
 
 
-def flag_duplicates(scored: DataFrame, raw: DataFrame) -> DataFrame:
+def flag_duplicates(scored: DataFrame, raw: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Set ``is_duplicate`` for scored rows of later twins; never resets a TRUE flag."""
-    dups = duplicate_ids(raw).select(F.col("id").alias("_dup_id"))
+    dups = duplicate_ids(raw, hot_rows).select(F.col("id").alias("_dup_id"))
     j = scored.join(dups, scored["raw_id"] == dups["_dup_id"], "left")
     cols = [c for c in scored.columns if c != "is_duplicate"]
     return j.select(*cols, (F.coalesce(F.col("is_duplicate"), F.lit(False)) | F.col("_dup_id").isNotNull())

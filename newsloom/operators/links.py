@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import markdown_urls
+from .util import HOT_KEY_ROWS, join_hot_split
 
 # Fixed values that must equal the reference's behaviour.
 FORBIDDEN_IS_OK = 403
@@ -16,11 +17,15 @@ def link_ok(status: Column) -> Column:
     return F.coalesce(status.between(200, 299) | (status == FORBIDDEN_IS_OK), F.lit(False))
 
 
-def link_health(briefs: DataFrame, status: DataFrame, key: str = "brief_id", text: str = "markdown") -> DataFrame:
-    """One row per (brief, distinct URL in order) with its status; a URL without a status is broken."""
+def link_health(briefs: DataFrame, status: DataFrame, key: str = "brief_id", text: str = "markdown",
+                hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """One row per (brief, distinct URL in order) with its status; a URL without a status is broken.
+
+    ``status`` must hold one row per URL. A URL cited by more than ``hot_rows``
+    briefs is salted across several tasks (``join_hot_split``)."""
     urls = briefs.select(key, F.posexplode(markdown_urls(F.col(text))).alias("pos", "url"))
-    st = status.select(F.col("url").alias("_surl"), F.col("status"), F.col("error"))
-    j = urls.join(st, urls["url"] == st["_surl"], "left").drop("_surl")
+    st = status.select("url", "status", "error")
+    j = join_hot_split(urls, st, "url", how="left", hot_rows=hot_rows)
     return j.select(key, "pos", "url", "status", F.coalesce("error", F.lit("no status")).alias("error"),
                     link_ok(F.col("status")).alias("ok"))
 

@@ -24,3 +24,39 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 def is_empty(df: DataFrame):
     """Scalar-subquery Column: TRUE when ``df`` has no rows (evaluated once per query)."""
     return df.select(F.count(F.lit(1))).scalar() == 0
+
+
+# A key with more rows than this on the big side of a join is "hot": it is
+# joined by broadcast instead of being shuffled into a single task. There can
+# be at most rows / HOT_KEY_ROWS hot keys, which bounds the broadcast side.
+HOT_KEY_ROWS = 1_000_000
+
+
+def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner",
+                   key_counts: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``big ⋈ keyed`` on ``key`` where ``keyed`` has one row per key, safe for hot keys.
+
+    ``key_counts`` (``key``, ``_n`` = rows of ``big`` per key) comes from an
+    aggregate the caller already has, else from a partial aggregate of ``big``.
+    Keys with more than ``hot_rows`` rows are salted: each of their ``big`` rows
+    gets a salt ``xxhash64(row) % ceil(n / hot_rows)`` (deterministic, so a
+    recomputed task gives the same rows), and their single ``keyed`` row is
+    copied once per salt. One scan of ``big``, one shuffle on ``(key, salt)``,
+    and no task receives more than about ``hot_rows`` rows of one key.
+
+    The hot-key table is broadcast; its size is bounded by construction (at
+    most ``rows(big) / hot_rows`` keys, below BROADCAST_MAX_ROWS for any table
+    under 2e12 rows). ``how`` is 'inner' or 'left'.
+    """
+    if key_counts is None:
+        key_counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = key_counts.where(F.col("_n") > hot_rows).select(
+        key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
+    hot = F.broadcast(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    salted_big = big.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("_salts"))).cast("int")
+    ).drop("_salts")
+    salted_keyed = keyed.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
+    return salted_big.join(salted_keyed, [key, "_salt"], how).drop("_salt")

@@ -113,3 +113,25 @@ def test_oracle_on_smallest_tables(spark):
     for key in ("score_weekly", "flag_duplicates", "adaptive_brief", "parse_feed", "ingest_new", "link_health_summary"):
         r = compare(spark, con, key, qs[key], sqls[key], SF_SMALL)
         assert r["status"] == "ok", r
+
+
+def test_hot_key_split_same_result(spark):
+    from newsloom.operators.dedupe import duplicate_ids
+    rows = [(i, "hot title" if i % 3 == 0 else f"t{i % 50}") for i in range(3000)]
+    raw = spark.createDataFrame(rows, "id long, title string")
+    normal = sorted(r["id"] for r in duplicate_ids(raw).collect())
+    split = duplicate_ids(raw, hot_rows=100)
+    assert sorted(r["id"] for r in split.collect()) == normal
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan
+
+
+def test_link_health_hot_url(spark):
+    from newsloom.operators.links import link_health
+    briefs = spark.createDataFrame([(i, f"- a (https://hot.org) - b (https://c.org/{i % 7})") for i in range(500)],
+                                   "brief_id int, markdown string")
+    status = spark.createDataFrame([("https://hot.org", 404, "nf")] + [(f"https://c.org/{i}", 200, "") for i in range(7)],
+                                   "url string, status int, error string")
+    a = sorted(tuple(r) for r in link_health(briefs, status).collect())
+    b = sorted(tuple(r) for r in link_health(briefs, status, hot_rows=50).collect())
+    assert a == b and len(a) == 1000
