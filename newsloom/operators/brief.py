@@ -129,6 +129,11 @@ def render_briefs(top: DataFrame, groups, as_of, template: str, group_cols=(),
 
 
 def write_briefs(briefs: DataFrame, path: str, partition_col: str = "mode") -> None:
-    """Brief sink: one text file per mode, replacing the previous run's files."""
-    briefs.select(partition_col, "markdown").where(F.col("markdown").isNotNull()) \
-        .write.mode("overwrite").partitionBy(partition_col).text(path)
+    """Brief sink: one text file per mode; a run replaces only its own mode's folder
+    (dynamic partition overwrite). A refused (NULL) brief leaves the old file in place."""
+    # The text writer ends each row with '\n'; dropping the brief's own final newline
+    # first makes the file hold exactly the brief text.
+    (briefs.where(F.col("markdown").isNotNull())
+        .select(partition_col, F.regexp_replace("markdown", "\n\\z", "").alias("markdown"))
+        .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col).text(path))

@@ -436,3 +436,31 @@ def q_stream_ingest(spark, d):
                             seed=_stored(spark, d), as_of=AS_OF)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/sink").select("url").distinct()
+
+
+# ---- K6 full run, A15 brief sink ------------------------------------------------------------------
+
+def q_full_run(spark, d):
+    """Weekly run: collect the feeds (health check on), score what is new with the weekly source
+    filter, flag duplicates, pick the adaptive top-7, write the brief, check its links."""
+    from .jobs import run_mode
+    r = run_mode(_stored(spark, d), B.scored_existing(spark, d), B.model_responses(spark, d), catalog(spark, d),
+                 B.feed_payloads(spark, d), B.link_status(spark, d), " Weekly", "2024-01-31",
+                 feed_status=B.feed_status(spark, d))
+    return r.brief.join(r.health, "mode").select("mode", "article_count", "url_count", "ok_count", "healthy",
+                                                 "markdown")
+
+
+def q_brief_sink(spark, d):
+    """Write the weekly and ai_radar briefs (one file per mode, replacing earlier ones) and read them back."""
+    import uuid
+    from ..sources.templates import article_template
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/briefs-{uuid.uuid4().hex}"
+    for mode in ("weekly", "ai_radar"):
+        raw = B.articles_raw(spark, d)
+        sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
+        top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
+        BR.write_briefs(BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode)), path)
+    back = spark.read.text(path, wholetext=True)
+    return back.select("mode", F.col("value").alias("markdown"))
