@@ -150,20 +150,23 @@ def finish_score(raw: Column) -> Column:
     return py_round(F.least(raw, F.lit(1.0)), 3)
 
 
-def with_scores(df: DataFrame, mode: str = "weekly", content: str = "content", tags: str = "tags",
-                signals: str = "sig") -> DataFrame:
-    """Add ``keyword_score`` (DOUBLE) and ``impact_score`` (FLOAT, like a REAL column).
+def with_keyword_score(df: DataFrame, content: str = "content", tags: str = "tags") -> DataFrame:
+    """Add ``keyword_score`` (DOUBLE, 3 decimals)."""
+    return df.withColumn("keyword_score", py_round(keyword_ratio(F.col(content), F.col(tags)), 3))
 
-    Each rounding runs on a column produced by its own projection, so the
-    rounding expression references a column, not a copy of the whole formula.
-    """
-    df = df.withColumn("_kw_ratio", keyword_ratio(F.col(content), F.col(tags)))
-    df = df.withColumn("keyword_score", py_round(F.col("_kw_ratio"), 3))
+
+def with_impact_score(df: DataFrame, mode: str = "weekly", signals: str = "sig") -> DataFrame:
+    """Add ``impact_score`` (FLOAT, like a REAL column) from weights, ``keyword_score`` and signals."""
     cols = {k: F.col(f"{signals}.{k}") for k in SIGNALS}
     cols.update(domain_weight=F.col("domain_weight"), source_weight=F.col("source_weight"),
                 keyword_score=F.col("keyword_score"))
-    df = df.withColumn("_raw_score", impact_raw(mode, **cols))
-    return df.withColumn("impact_score", finish_score(F.col("_raw_score")).cast("float")).drop("_kw_ratio", "_raw_score")
+    return df.withColumn("impact_score", finish_score(impact_raw(mode, **cols)).cast("float"))
+
+
+def with_scores(df: DataFrame, mode: str = "weekly", content: str = "content", tags: str = "tags",
+                signals: str = "sig") -> DataFrame:
+    """Add ``keyword_score`` (DOUBLE) and ``impact_score`` (FLOAT)."""
+    return with_impact_score(with_keyword_score(df, content, tags), mode, signals)
 
 
 def impact_score_sql(mode: str = "weekly", **cols: str) -> str:

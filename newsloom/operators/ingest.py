@@ -111,6 +111,9 @@ def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame |
     if feed_status is not None:
         from ..sources.feeds import healthy_feeds
         payloads = healthy_feeds(payloads, feed_status)
-    items = valid_items(feed_items(payloads))
+    checkpoint_dir(payloads.sparkSession)
+    # Items feed both the rewrite and the insert: parse the feeds once (reliable
+    # checkpoint in the shared folder, which also cuts the lineage).
+    items = valid_items(feed_items(payloads)).checkpoint(eager=True)
     rewritten = rewrite_urls(raw, items).drop("url_before")
     return rewritten, ingest_new(rewritten, items, as_of)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.signals import offline_signals, parse_signals, with_scores
+from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score, with_scores
 from ..sources.catalog import DEFAULT_WEIGHT, article_lookup_key, source_lookup
 from .util import broadcast_if_small, is_empty
 
@@ -75,10 +75,16 @@ def score_columns(df: DataFrame, mode: str = "weekly") -> DataFrame:
 
 def score_articles(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | None, catalog: DataFrame,
                    mode: str = "weekly", allowed: DataFrame | None = None) -> DataFrame:
-    """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE)."""
-    base = raw.select("id", "source", "content")
-    todo = unscored_articles(base, scored, allowed) if scored is not None else filter_sources(base, allowed)
-    scored_new = score_columns(with_source_weights(with_signals(todo, responses), catalog), mode)
+    """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE).
+
+    ``content`` (the widest column) is only read map-side: the catalog lookup is a
+    broadcast join and the keyword ratio is computed on the scan, so the anti
+    join and the responses join shuffle narrow rows only.
+    """
+    base = filter_sources(raw.select("id", "source", "content"), allowed)
+    narrow = with_keyword_score(with_source_weights(base, catalog)).drop("content", "tags")
+    todo = unscored_articles(narrow, scored) if scored is not None else narrow
+    scored_new = with_impact_score(with_signals(todo, responses), mode)
     return scored_new.select(
         F.col("id").alias("raw_id"), F.col("sig.db_engine").alias("db_engine"), F.col("sig.topic").alias("topic"),
         "impact_score", F.lit(False).alias("is_duplicate"))

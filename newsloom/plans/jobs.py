@@ -13,6 +13,7 @@ from ..operators.ingest import collect
 from ..operators.links import link_health_summary
 from ..operators.score import append_scored, score_articles
 from ..sources.catalog import DEFAULT_MIN_SCORE, allowed_source_names, normalize_mode, select_sources
+from ..session import checkpoint_dir
 from ..sources.templates import article_template
 
 
@@ -40,7 +41,9 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     raw_after, new_rows = collect(raw, payloads, as_of, feed_status)
     raw_all = raw_after.select(*raw.columns).unionByName(new_rows.select(*raw.columns))
     new_scores = score_articles(raw_all, scored, responses, catalog, m, allowed)
-    scored_all = flag_duplicates(append_scored(scored, new_scores), raw_all)
+    # The scored table is stored between steps, as in the reference; here a reliable checkpoint.
+    checkpoint_dir(spark)
+    scored_all = flag_duplicates(append_scored(scored, new_scores), raw_all).checkpoint(eager=True)
     threshold = catalog.select(F.max_by("min_score_threshold", F.struct("doc_ord", "domain_pos", "source_pos")))\
         .first()[0]
     eligible = eligible_articles(raw_all, scored_all, threshold if threshold is not None else DEFAULT_MIN_SCORE,
