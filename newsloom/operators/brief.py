@@ -21,10 +21,12 @@ def scored_articles_join(raw: DataFrame, scored: DataFrame) -> DataFrame:
     return r.join(s, r["id"] == s["raw_id"])
 
 
-def eligible_articles(raw: DataFrame, scored: DataFrame, threshold: float = MIN_SCORE,
+def eligible_articles(raw: DataFrame, scored: DataFrame, threshold=MIN_SCORE,
                       allowed: DataFrame | None = None) -> DataFrame:
-    """Score ``>=`` threshold (FLOAT score widened to DOUBLE), not duplicate, optional source filter."""
-    s = scored.where((F.col("impact_score") >= F.lit(float(threshold))) & (F.col("is_duplicate") == F.lit(False)))
+    """Score ``>=`` threshold (FLOAT score widened to DOUBLE; a number or a DOUBLE column),
+    not duplicate, optional source filter."""
+    thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    s = scored.where((F.col("impact_score") >= thr) & (F.col("is_duplicate") == F.lit(False)))
     r = filter_sources(raw.select("id", "source", "title", "url", "ingested_at"), allowed)
     s = s.select("raw_id", "impact_score")
     return r.join(s, r["id"] == s["raw_id"]).drop("raw_id")

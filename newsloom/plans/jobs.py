@@ -12,7 +12,7 @@ from ..operators.dedupe import flag_duplicates
 from ..operators.ingest import collect
 from ..operators.links import link_health_summary
 from ..operators.score import append_scored, score_articles
-from ..sources.catalog import DEFAULT_MIN_SCORE, allowed_source_names, normalize_mode, select_sources
+from ..sources.catalog import DEFAULT_MIN_SCORE, allowed_source_names, select_sources
 from ..session import checkpoint_dir
 from ..sources.templates import article_template
 
@@ -36,7 +36,7 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     mode's source filter (none when the mode selects no catalog entry).
     """
     spark = raw.sparkSession
-    m = spark.range(1).select(normalize_mode(mode)).first()[0]
+    m = (mode or "weekly").strip().lower()
     allowed = allowed_source_names(select_sources(catalog, m))
     raw_after, new_rows = collect(raw, payloads, as_of, feed_status)
     raw_all = raw_after.select(*raw.columns).unionByName(new_rows.select(*raw.columns))
@@ -44,10 +44,10 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     # The scored table is stored between steps, as in the reference; here a reliable checkpoint.
     checkpoint_dir(spark)
     scored_all = flag_duplicates(append_scored(scored, new_scores), raw_all).checkpoint(eager=True)
-    threshold = catalog.select(F.max_by("min_score_threshold", F.struct("doc_ord", "domain_pos", "source_pos")))\
-        .first()[0]
-    eligible = eligible_articles(raw_all, scored_all, threshold if threshold is not None else DEFAULT_MIN_SCORE,
-                                 allowed)
+    threshold = F.coalesce(catalog.select(F.max_by("min_score_threshold",
+                                                    F.struct("doc_ord", "domain_pos", "source_pos"))).scalar(),
+                           F.lit(DEFAULT_MIN_SCORE))
+    eligible = eligible_articles(raw_all, scored_all, threshold, allowed)
     top = adaptive_briefs(eligible, as_of)
     brief = render_briefs(top, {"mode": m}, as_of, template or article_template(m))
     health = link_health_summary(brief, link_status, key="mode")

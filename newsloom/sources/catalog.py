@@ -104,7 +104,7 @@ def select_sources(catalog: DataFrame, mode: str, radar_domains=RADAR_DOMAINS) -
     picked = F.when(m == RADAR_MODE, F.col("domain").isin(*radar_domains)).otherwise(F.lit(True))
     flagged = catalog.select("*", m.alias("mode"), picked.alias("selected"),
                              (F.col("name").isNotNull() & F.col("url").isNotNull()).alias("ingestable"))
-    any_selected = ~flagged.where("selected").select(F.count(F.lit(1))).scalar().__eq__(0)
+    any_selected = flagged.where("selected").select(F.count(F.lit(1)) > 0).scalar()
     return flagged.withColumn("filter_active", any_selected)
 
 
