@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score, with_scores
 from ..sources.catalog import DEFAULT_WEIGHT, article_lookup_key, source_lookup
-from .util import broadcast_if_small, is_empty
+from .util import is_empty, lookup_join
 
 SCORED_COLUMNS = ["raw_id", "db_engine", "topic", "impact_score", "is_duplicate"]
 
@@ -20,10 +20,11 @@ def filter_sources(articles: DataFrame, allowed: DataFrame | None, source_col: s
     """
     if allowed is None:
         return articles
-    names = allowed.select(F.col("source").alias("_allowed")).where(F.col("_allowed").isNotNull()).distinct()
-    names = broadcast_if_small(names)
-    joined = articles.join(names, articles[source_col] == names["_allowed"], "left")
-    return joined.where(F.col("_allowed").isNotNull() | is_empty(names)).drop("_allowed")
+    names = (allowed.where(F.col("source").isNotNull()).select(F.col("source").alias("_src")).distinct()
+             .withColumn("_allowed", F.lit(True)))
+    keyed = articles.withColumn("_src", F.col(source_col))
+    joined = lookup_join(keyed, names, "_src", "left")
+    return joined.where(F.col("_allowed").isNotNull() | is_empty(names)).drop("_allowed", "_src")
 
 
 def unscored_articles(raw: DataFrame, scored: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
@@ -55,11 +56,11 @@ def with_signals(articles: DataFrame, responses: DataFrame | None) -> DataFrame:
 
 def with_source_weights(articles: DataFrame, catalog: DataFrame) -> DataFrame:
     """Join the catalog lookup on ``lower(normalize(source))``; a miss gets the default weight and no tags."""
-    lookup = broadcast_if_small(source_lookup(catalog))
+    lookup = source_lookup(catalog).withColumnRenamed("lookup_key", "_key")
     dflt = catalog.select(F.max_by("default_weight", F.struct("doc_ord", "domain_pos", "source_pos"))).scalar()
     dflt = F.coalesce(dflt, F.lit(DEFAULT_WEIGHT))
     keyed = articles.withColumn("_key", article_lookup_key("source"))
-    j = keyed.join(lookup, keyed["_key"] == lookup["lookup_key"], "left")
+    j = lookup_join(keyed, lookup, "_key", "left")
     return j.select(
         *[F.col(c) for c in articles.columns],
         F.coalesce(F.col("domain"), F.lit("general")).alias("domain"),

@@ -60,3 +60,12 @@ def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner
     salted_keyed = keyed.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
     return salted_big.join(salted_keyed, [key, "_salt"], how).drop("_salt")
+
+
+def lookup_join(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner",
+                max_rows: int = BROADCAST_MAX_ROWS, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Join a one-row-per-key dimension: broadcast after a size check, otherwise the salted
+    hot-key join (a dimension key such as one source may hold a third of all rows)."""
+    if keyed.limit(max_rows + 1).count() <= max_rows:
+        return big.join(F.broadcast(keyed), key, how)
+    return join_hot_split(big, keyed, key, how, hot_rows=hot_rows)

@@ -155,3 +155,12 @@ def test_stream_ingest_replay_adds_nothing(spark):
     q2 = start_ingest_stream(spark, f"{root}/in/*", f"{root}/sink", f"{root}/ckpt", as_of="2024-01-31")
     q2.awaitTermination()
     assert spark.read.parquet(f"{root}/sink").count() == 2
+
+
+def test_lookup_join_fallback_equals_broadcast(spark):
+    from newsloom.operators.util import lookup_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 40}") for i in range(2000)], "id long, k string")
+    dim = spark.createDataFrame([(f"k{i}", i) for i in range(40)] + [("hot", -1)], "k string, v int")
+    a = sorted(tuple(r) for r in lookup_join(big, dim, "k", "left").collect())
+    b = sorted(tuple(r) for r in lookup_join(big, dim, "k", "left", max_rows=5, hot_rows=50).collect())
+    assert a == b and len(a) == 2000
