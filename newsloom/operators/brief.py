@@ -139,3 +139,22 @@ def write_briefs(briefs: DataFrame, path: str, partition_col: str = "mode") -> N
         .select(partition_col, F.regexp_replace("markdown", "\n\\z", "").alias("markdown"))
         .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col).text(path))
+
+
+def adaptive_brief_pruned(raw: DataFrame, scored: DataFrame, as_of: str, threshold=MIN_SCORE,
+                          allowed: DataFrame | None = None, k: int = TOP_K) -> DataFrame:
+    """Single brief that reads only the last 365 days unless that is empty.
+
+    The look-back predicate is applied to ``raw`` before the join, so on a stored
+    table partitioned (or sorted) by ingest date it prunes the scan. Only when no
+    eligible article falls inside 365 days is the all-time selection run, as in
+    the reference. Equal to ``adaptive_briefs`` over the whole table: a non-empty
+    365-day set means the all-time branch is never chosen.
+    """
+    horizon = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(WINDOWS_DAYS[-1]))
+    recent = adaptive_briefs(eligible_articles(raw.where(F.col("ingested_at") >= horizon), scored, threshold,
+                                               allowed), as_of, k=k).cache()  # at most k rows
+    if not recent.isEmpty():
+        return recent
+    recent.unpersist()
+    return adaptive_briefs(eligible_articles(raw, scored, threshold, allowed), as_of, k=k)

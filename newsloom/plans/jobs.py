@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.brief import adaptive_briefs, eligible_articles, render_briefs
+from ..operators.brief import adaptive_brief_pruned, render_briefs
 from ..operators.dedupe import flag_duplicates
 from ..operators.ingest import collect
 from ..operators.links import link_health_summary
@@ -47,8 +47,7 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     threshold = F.coalesce(catalog.select(F.max_by("min_score_threshold",
                                                     F.struct("doc_ord", "domain_pos", "source_pos"))).scalar(),
                            F.lit(DEFAULT_MIN_SCORE))
-    eligible = eligible_articles(raw_all, scored_all, threshold, allowed)
-    top = adaptive_briefs(eligible, as_of)
+    top = adaptive_brief_pruned(raw_all, scored_all, as_of, threshold, allowed)
     brief = render_briefs(top, {"mode": m}, as_of, template or article_template(m))
     health = link_health_summary(brief, link_status, key="mode")
     return RunResult(raw_all, scored_all, brief, health)

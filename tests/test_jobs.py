@@ -164,3 +164,17 @@ def test_lookup_join_fallback_equals_broadcast(spark):
     a = sorted(tuple(r) for r in lookup_join(big, dim, "k", "left").collect())
     b = sorted(tuple(r) for r in lookup_join(big, dim, "k", "left", max_rows=5, hot_rows=50).collect())
     assert a == b and len(a) == 2000
+
+
+def test_pruned_brief_equals_full(spark):
+    from newsloom.operators.brief import adaptive_brief_pruned, adaptive_briefs, eligible_articles
+    d = lambda n: AS_OF - dt.timedelta(days=n)
+    for rows in ([(1, 0.9, d(400)), (2, 0.8, None), (3, 0.7, d(500))],
+                 [(1, 0.9, d(400)), (2, 0.8, d(30)), (3, 0.7, d(2))]):
+        raw = spark.createDataFrame([(i, "s", f"t{i}", f"u{i}", t) for i, _, t in rows],
+                                    "id long, source string, title string, url string, ingested_at timestamp")
+        scored = spark.createDataFrame([(i, float(s), False) for i, s, _ in rows],
+                                       "raw_id long, impact_score float, is_duplicate boolean")
+        full = adaptive_briefs(eligible_articles(raw, scored), "2024-01-31").orderBy("rank").collect()
+        pruned = adaptive_brief_pruned(raw, scored, "2024-01-31").orderBy("rank").collect()
+        assert [(r.id, r.window_days) for r in pruned] == [(r.id, r.window_days) for r in full]
