@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score, with_scores
+from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score
 from ..sources.catalog import DEFAULT_WEIGHT, article_lookup_key, source_lookup
 from .util import is_empty, lookup_join
 
@@ -69,11 +69,6 @@ def with_source_weights(articles: DataFrame, catalog: DataFrame) -> DataFrame:
         F.coalesce(F.col("source_weight"), dflt).alias("source_weight"))
 
 
-def score_columns(df: DataFrame, mode: str = "weekly") -> DataFrame:
-    """Add ``keyword_score`` and ``impact_score`` (FLOAT, like a REAL column)."""
-    return with_scores(df, mode)
-
-
 def score_articles(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | None, catalog: DataFrame,
                    mode: str = "weekly", allowed: DataFrame | None = None) -> DataFrame:
     """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE).

@@ -10,17 +10,6 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the plain
-    DataFrame is returned and Spark shuffles both sides (AQE may still switch
-    to a broadcast at run time from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def is_empty(df: DataFrame):
     """Scalar-subquery Column: TRUE when ``df`` has no rows (evaluated once per query)."""
     return df.select(F.count(F.lit(1))).scalar() == 0

@@ -6,15 +6,14 @@ runs over whole tables. Column names match the oracle SQL in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import py_round
-from ..functions.signals import SIGNALS, clamp01_text, keyword_ratio, normalize_tags, parse_signals
+from ..functions.signals import SIGNALS, clamp01_text, keyword_ratio, parse_signals
 from ..functions.text import canonical_url, extract_urls, markdown_urls, normalize_text, repair_link, resolve_link
 from ..operators import brief as BR
 from ..operators.dedupe import duplicate_ids, flag_duplicates
-from ..operators.score import score_articles, unscored_articles, with_source_weights, with_signals
+from ..operators.score import score_articles, unscored_articles, with_source_weights
 from ..sources import bindings as B
 from ..sources.catalog import (parse_catalog, parse_legacy_catalog, select_sources, source_lookup,
                                allowed_source_names)
@@ -34,7 +33,7 @@ def catalog(spark, d):
     A catalog is configuration-sized; caching it keeps its size check and the
     default-weight lookup from re-reading ``documents`` (a cached block that is
     lost is recomputed from lineage)."""
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)
     if key not in _CATALOGS:
         _CATALOGS[key] = parse_catalog(B.catalog_documents(spark, d)).cache()
     return _CATALOGS[key]
