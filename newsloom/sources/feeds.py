@@ -119,7 +119,9 @@ def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
         first_link = e["link"][0]
         link = F.when(namespaced, F.when(e["link"].isNull() | (F.size(e["link"]) == 0), F.lit(""))
                       .otherwise(F.coalesce(first_link["_href"], F.lit(""))))\
-            .otherwise(_ref_text(first_link["_VALUE"]))
+            .otherwise(F.when(first_link.isNull(), F.lit(""))
+                       .when(F.coalesce(first_link["_VALUE"], F.lit("")) == "", F.lit(None).cast("string"))
+                       .otherwise(first_link["_VALUE"]))
         pub = F.when(namespaced, _ref_text(e["published"])).otherwise(_ref_text(e["pubDate"]))
         desc = F.when(namespaced, _ref_text(e["summary"])).otherwise(_ref_text(e["description"]))
         return F.struct(_ref_text(e["title"]).alias("title"), link.alias("link"), pub.alias("published"),
