@@ -13,3 +13,21 @@ def bind(value: Column, fn) -> Column:
     keeps a single evaluation.
     """
     return F.transform(F.array(value), fn)[0]
+
+
+_MEMO: dict = {}
+
+
+def memo_column(key, builder) -> Column:
+    """Build a Column once per Spark application and reuse it.
+
+    Large expressions (JSON signals, exact rounding, URL repair) cost hundreds of
+    driver round trips to build; they refer to input columns by name, so one
+    built expression serves every DataFrame of the same application.
+    """
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    k = (sc.applicationId if sc is not None else None, key)
+    if k not in _MEMO:
+        _MEMO[k] = builder()
+    return _MEMO[k]

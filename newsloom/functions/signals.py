@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import bind
+from . import bind, memo_column
 from .numeric import py_round
 from .text import normalize_text
 
@@ -152,15 +152,22 @@ def finish_score(raw: Column) -> Column:
 
 def with_keyword_score(df: DataFrame, content: str = "content", tags: str = "tags") -> DataFrame:
     """Add ``keyword_score`` (DOUBLE, 3 decimals)."""
-    return df.withColumn("keyword_score", py_round(keyword_ratio(F.col(content), F.col(tags)), 3))
+    expr = memo_column(("keyword_score", content, tags),
+                       lambda: py_round(keyword_ratio(F.col(content), F.col(tags)), 3))
+    return df.withColumn("keyword_score", expr)
 
 
 def with_impact_score(df: DataFrame, mode: str = "weekly", signals: str = "sig") -> DataFrame:
     """Add ``impact_score`` (FLOAT, like a REAL column) from weights, ``keyword_score`` and signals."""
+    return df.withColumn("impact_score", memo_column(("impact_score", mode, signals),
+                                                     lambda: _impact_score_expr(mode, signals)))
+
+
+def _impact_score_expr(mode: str, signals: str) -> Column:
     cols = {k: F.col(f"{signals}.{k}") for k in SIGNALS}
     cols.update(domain_weight=F.col("domain_weight"), source_weight=F.col("source_weight"),
                 keyword_score=F.col("keyword_score"))
-    return df.withColumn("impact_score", finish_score(impact_raw(mode, **cols)).cast("float"))
+    return finish_score(impact_raw(mode, **cols)).cast("float")
 
 
 def with_scores(df: DataFrame, mode: str = "weekly", content: str = "content", tags: str = "tags",

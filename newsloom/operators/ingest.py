@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import memo_column
 from ..functions.text import repair_link, resolve_link
 from ..session import checkpoint_dir
 from ..sources.feeds import decode_payload, parse_feed
@@ -27,9 +28,10 @@ def valid_items(items: DataFrame) -> DataFrame:
 
     ``original_link`` is the resolved link before repair (needed by :func:`rewrite_urls`).
     """
-    resolved = resolve_link(F.col("link"), F.col("feed_url"))
+    resolved = memo_column("resolve_link", lambda: resolve_link(F.col("link"), F.col("feed_url")))
     df = items.withColumn("original_link", resolved)
-    df = df.withColumn("link", repair_link(F.col("original_link"), F.col("content")))
+    df = df.withColumn("link", memo_column("repair_link",
+                                           lambda: repair_link(F.col("original_link"), F.col("content"))))
     return df.where((F.col("title") != "") & (F.col("link") != ""))
 
 

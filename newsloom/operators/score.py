@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import memo_column
 from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score
 from ..sources.catalog import DEFAULT_WEIGHT, article_lookup_key, source_lookup
 from .util import is_empty, lookup_join
@@ -50,7 +51,8 @@ def with_signals(articles: DataFrame, responses: DataFrame | None) -> DataFrame:
         return articles.withColumn("sig", offline_signals())
     resp = responses.select(F.col("raw_id").alias("_rid"), F.col("response").alias("_response"))
     joined = articles.join(resp, articles["id"] == resp["_rid"], "left")
-    sig = F.when(F.col("_rid").isNull(), offline_signals()).otherwise(parse_signals(F.col("_response")))
+    sig = memo_column("with_signals", lambda: F.when(F.col("_rid").isNull(), offline_signals())
+                      .otherwise(parse_signals(F.col("_response"))))
     return joined.withColumn("sig", sig).drop("_rid", "_response").where(F.col("sig.ok"))
 
 

@@ -27,8 +27,15 @@ DOMAINS = (
 CATALOG_GLOBAL = '{"default_weight": 0.5, "min_score_threshold": 0.6}'
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A provided table; the DataFrame (file listing and schema) is reused within one application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
