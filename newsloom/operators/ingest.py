@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import memo_column
 from ..functions.text import repair_link, resolve_link
 from ..session import checkpoint_dir
+from .util import lookup_join
 from ..sources.feeds import decode_payload, parse_feed
 
 RAW_COLUMNS = ["id", "source", "title", "url", "published_at", "content", "ingested_at"]
@@ -87,7 +88,12 @@ def rewrite_urls(raw: DataFrame, items: DataFrame) -> DataFrame:
                         F.col("k.original_link").alias("_o"), "new_url")
     existing = raw.select(F.col("url").alias("_existing"))
     rw = rw.join(existing, rw["new_url"] == existing["_existing"], "left_anti")
-    j = raw.join(rw, (raw["source"] == rw["_s"]) & (raw["title"] == rw["_t"]) & (raw["url"] == rw["_o"]), "left")
+    # Find the stored rows to change on narrow columns, then apply by id: the wide
+    # raw table (content) is never shuffled for a rewrite that touches few rows.
+    keys = raw.select("id", "source", "title", "url")
+    hits = keys.join(rw, (keys["source"] == rw["_s"]) & (keys["title"] == rw["_t"]) & (keys["url"] == rw["_o"]))
+    hits = hits.select("id", "new_url")
+    j = lookup_join(raw, hits, "id", "left")
     return j.select(*[F.coalesce(F.col("new_url"), F.col("url")).alias("url") if c == "url" else F.col(c)
                       for c in raw.columns], F.col("url").alias("url_before"))
 
