@@ -152,12 +152,17 @@ def resolve_fetch(attempts: DataFrame, keys=("source", "feed_url")) -> DataFrame
     agg = attempts.groupBy(*k).agg(
         F.min_by(F.struct("attempt_no", "url", "body"), ok_order).alias("hit"),
         F.min_by(F.struct("url", "error"), err_order).alias("miss"),
-        F.count_if(F.col("ok")).alias("_oks"))
+        F.count_if(F.col("ok")).alias("_oks"),
+        F.array_sort(F.collect_list(F.when(~F.col("ok"), F.struct("attempt_no", "url")))).alias("_failed"))
+    # The feed URL plus every candidate that failed before the first success (at most a few per feed).
+    before_hit = F.filter("_failed", lambda x: F.coalesce(x["attempt_no"] < F.col("hit.attempt_no"), F.lit(True)))
+    tried = F.array_distinct(F.concat(F.array(F.col(keys[-1])), F.transform(before_hit, lambda x: x["url"])))
     return agg.select(*k, F.when(F.col("_oks") > 0, F.col("hit.url")).alias("fetched_url"),
                       F.when(F.col("_oks") > 0, F.col("hit.attempt_no")).alias("attempt_no"),
                       F.when(F.col("_oks") > 0, F.col("hit.body")).alias("body"),
                       F.when(F.col("_oks") == 0, F.col("miss.url")).alias("error_url"),
-                      F.when(F.col("_oks") == 0, F.col("miss.error")).alias("error"))
+                      F.when(F.col("_oks") == 0, F.col("miss.error")).alias("error"),
+                      tried.alias("tried_urls"))
 
 
 _URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -207,3 +212,21 @@ def healthy_feeds(feeds: DataFrame, feed_status: DataFrame, enabled: bool = True
         return feeds
     ok = feed_status.where(F.col("status") == 200).select(F.col("feed_url").alias("_ok_url")).distinct()
     return feeds.join(ok, feeds["feed_url"] == ok["_ok_url"], "left_semi")
+
+
+def alternate_feed_requests(payloads: DataFrame, text_col: str = "text", tried_col: str | None = None) -> DataFrame:
+    """Feeds to fetch again: for each payload that failed to parse (even after repair), the
+    alternate RSS/Atom link found in its HTML, unless that URL was already tried (the feed URL
+    and the candidates that failed before the successful fetch: ``resolve_fetch``'s
+    ``tried_urls``; by default only the feed URL). Returns ``(source, feed_url, alt_url)``;
+    fetching is done outside."""
+    t = F.col(text_col)
+    first = F.from_xml(t, FEED_SCHEMA, XML_OPTIONS)
+    second = F.from_xml(repair_xml(t), FEED_SCHEMA, XML_OPTIONS)
+    failed = bind(first, lambda f: f.isNull() | f["_corrupt_record"].isNotNull()) & \
+        bind(second, lambda s: s.isNull() | s["_corrupt_record"].isNotNull())
+    alt = alternate_feed_url(t, F.col("feed_url"))
+    tried = F.col(tried_col) if tried_col else F.array(F.col("feed_url"))
+    out = payloads.where(failed).select("source", "feed_url", alt.alias("alt_url"), tried.alias("_tried"))
+    return out.where(F.col("alt_url").isNotNull() & ~F.coalesce(F.array_contains("_tried", F.col("alt_url")),
+                                                                  F.lit(False))).drop("_tried")
