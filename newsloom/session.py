@@ -43,8 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set on
-    the context). Only when neither is set (local tests) a scratch folder is
-    created and registered.
+    the context). Only a local-mode session (tests) without one gets a scratch
+    folder; on a cluster a missing setting is an error, since a machine-local
+    folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (for example on HDFS or object storage)")
     local = tempfile.mkdtemp(prefix="newsloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
