@@ -77,6 +77,11 @@ def repair_link(link, content) -> Column:
 _URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
+def _url_clean(c: Column) -> Column:
+    """What Python's urlsplit reads: leading control/space characters dropped, tabs and newlines removed."""
+    return F.regexp_replace(F.regexp_replace(c, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+
 def _part(c: Column, i: int) -> Column:
     return F.regexp_extract(c, _URL_PARTS, i)
 
@@ -101,12 +106,14 @@ def resolve_url(base, link) -> Column:
     """``urljoin(base, link)`` for http(s) bases: handles ``//host``, ``/abs``, ``rel``, ``?q``,
     ``#f`` and dot segments. A link that carries its own scheme is returned unchanged."""
     base, link = _col(base), _col(link)
+    cbase, clink = _url_clean(base), _url_clean(link)
     parts = F.struct(
         base.alias("base"), link.alias("link"),
-        *[_part(base, i).alias(f"b{i}") for i in (1, 2, 3, 4)],
-        *[_part(link, i).alias(f"l{i}") for i in (1, 2, 3, 4, 5)],
-        _has(link, "query").alias("lq"), _has(link, "fragment").alias("lf"),
-        _has(base, "query").alias("bq"), _has(link, "netloc").alias("ln"))
+        clink.alias("lc"),
+        *[_part(cbase, i).alias(f"b{i}") for i in (1, 2, 3, 4)],
+        *[_part(clink, i).alias(f"l{i}") for i in (1, 2, 3, 4, 5)],
+        _has(clink, "query").alias("lq"), _has(clink, "fragment").alias("lf"),
+        _has(cbase, "query").alias("bq"), _has(clink, "netloc").alias("ln"))
     return bind(parts, _resolve)
 
 
@@ -141,7 +148,7 @@ def _resolve(p: Column) -> Column:
             .when(base.isNull() | (base == ""), link)
             .when((l_scheme != "") & (F.lower(l_scheme) != F.lower(b_scheme)), link)
             .when(link == "", base)
-            .when(p["ln"], F.concat(b_scheme, F.lit(":"), F.regexp_replace(link, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
+            .when(p["ln"], F.concat(b_scheme, F.lit(":"), F.regexp_replace(p["lc"], r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
             .when(l_path == "",
                   with_tail(authority, b_path, F.when(l_has_q, l_query).otherwise(b_query), l_has_q | b_has_q))
             .when(l_path.startswith("/"), with_tail(authority, joined(F.split(l_path, "/")), l_query, l_has_q))
