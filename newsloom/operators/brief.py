@@ -137,7 +137,7 @@ def write_briefs(briefs: DataFrame, path: str, partition_col: str = "mode") -> N
     # first makes the file hold exactly the brief text.
     (briefs.where(F.col("markdown").isNotNull())
         .select(partition_col, F.regexp_replace("markdown", "\n\\z", "").alias("markdown"))
-        .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .repartition(partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col).text(path))
 
 

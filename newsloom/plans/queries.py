@@ -420,19 +420,20 @@ def q_score_with_fn(spark, d):
 
 
 def q_stream_ingest(spark, d):
-    """Payload files -> Structured Streaming (availableNow, one file per batch) -> sink.
+    """Payload files -> Structured Streaming (availableNow) -> sink.
 
-    The payloads are written twice (two files), so the second batch must add nothing.
-    Returns the distinct URLs stored by the stream."""
+    The payloads are written twice (two copies of the files, at their own
+    partitioning), so the second copy must add nothing. Returns the distinct URLs
+    stored by the stream."""
     import uuid
     from ..session import checkpoint_dir
     from ..streaming.ingest_stream import start_ingest_stream
     root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     payloads = B.feed_payloads(spark, d)
     for copy in ("a", "b"):
-        payloads.coalesce(1).write.mode("overwrite").parquet(f"{root}/in/{copy}")
+        payloads.write.mode("overwrite").parquet(f"{root}/in/{copy}")
     q = start_ingest_stream(spark, f"{root}/in/*", f"{root}/sink", f"{root}/checkpoint",
-                            seed=_stored(spark, d), as_of=AS_OF)
+                            seed=_stored(spark, d), as_of=AS_OF, files_per_batch=64)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/sink").select("url").distinct()
 
