@@ -158,3 +158,12 @@ def adaptive_brief_pruned(raw: DataFrame, scored: DataFrame, as_of: str, thresho
         return recent
     recent.unpersist()
     return adaptive_briefs(eligible_articles(raw, scored, threshold, allowed), as_of, k=k)
+
+
+def read_briefs(spark, path: str, mode: str | None = None) -> DataFrame:
+    """Read the brief sink back as ``(mode, format, content)``: the shape the reference serves
+    for its latest brief. ``mode`` picks one brief (partition pruning on the mode folder)."""
+    df = spark.read.text(path, wholetext=True)
+    if mode is not None:
+        df = df.where(F.col("mode") == mode)
+    return df.select("mode", F.lit("markdown").alias("format"), F.col("value").alias("content"))

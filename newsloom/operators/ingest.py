@@ -125,3 +125,23 @@ def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame |
     items = valid_items(feed_items(payloads)).checkpoint(eager=True)
     rewritten = rewrite_urls(raw, items).drop("url_before")
     return rewritten, ingest_new(rewritten, items, as_of)
+
+
+RAW_TYPES = {"id": "bigint", "source": "string", "title": "string", "url": "string", "published_at": "string",
+             "content": "string", "ingested_at": "timestamp"}
+
+
+def conform_raw(df: DataFrame, as_of) -> DataFrame:
+    """Bring a stored articles table to the current schema: missing columns are added (the
+    ingest time is back-filled with ``as_of``, like a column added with a NOW() default),
+    and columns are put in order with their types."""
+    as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    cols = []
+    for name, typ in RAW_TYPES.items():
+        if name in df.columns:
+            cols.append(F.col(name).cast(typ).alias(name))
+        elif name == "ingested_at":
+            cols.append(as_of_col.alias(name))
+        else:
+            cols.append(F.lit(None).cast(typ).alias(name))
+    return df.select(*cols)

@@ -462,5 +462,4 @@ def q_brief_sink(spark, d):
         sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
         top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
         BR.write_briefs(BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode)), path)
-    back = spark.read.text(path, wholetext=True)
-    return back.select("mode", F.col("value").alias("markdown"))
+    return BR.read_briefs(spark, path).select("mode", F.col("content").alias("markdown"))

@@ -178,3 +178,25 @@ def test_pruned_brief_equals_full(spark):
         full = adaptive_briefs(eligible_articles(raw, scored), "2024-01-31").orderBy("rank").collect()
         pruned = adaptive_brief_pruned(raw, scored, "2024-01-31").orderBy("rank").collect()
         assert [(r.id, r.window_days) for r in pruned] == [(r.id, r.window_days) for r in full]
+
+
+def test_conform_raw_backfills_ingest_time(spark):
+    from newsloom.operators.ingest import RAW_COLUMNS, conform_raw
+    old = spark.createDataFrame([(1, "s", "t", "https://a/1", None, "c")],
+                                "id int, source string, title string, url string, published_at string, content string")
+    out = conform_raw(old, "2024-01-31")
+    assert out.columns == RAW_COLUMNS
+    assert out.first()["ingested_at"] == AS_OF and dict(out.dtypes)["id"] == "bigint"
+
+
+def test_brief_sink_roundtrip(spark):
+    import uuid
+    from newsloom.operators.brief import read_briefs, write_briefs
+    from newsloom.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/b-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([("weekly", "# W\n- a\n"), ("ai_radar", "# R\n")], "mode string, markdown string")
+    write_briefs(df, path)
+    write_briefs(spark.createDataFrame([("weekly", "# W2\n")], "mode string, markdown string"), path)
+    got = {r.mode: (r.format, r.content) for r in read_briefs(spark, path).collect()}
+    assert got == {"weekly": ("markdown", "# W2\n"), "ai_radar": ("markdown", "# R\n")}
+    assert [r.content for r in read_briefs(spark, path, "ai_radar").collect()] == ["# R\n"]
