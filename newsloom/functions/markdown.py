@@ -15,8 +15,12 @@ OFFLINE_BRIEF_HEAD = ("## Weekly Database Engineering Brief\n\n"
 OFFLINE_NO_SOURCES = "- https://example.com"
 OFFLINE_MAX_URLS = 7
 SOURCES_HEADING = "## \U0001F4CE Sources\n"
-SOURCES_HEADING_PATTERN = r"(?imdU)^##\s+.*sources.*$"
-NEXT_HEADING_PATTERN = r"(?md)^##\s"
+# First heading line containing "sources" (any case): '##', whitespace (may span lines),
+# then the rest of that line. Split as (text before)(heading line)(rest).
+_WS = r"[\s\x1c-\x1f]"
+SOURCES_SPLIT = r"(?siU)\A(.*?)((?:(?<=\n)|\A)##" + _WS + r"+[^\n]*sources[^\n]*(?=\n|\z))(.*)\z"
+# The next '## ' heading after it ('###' does not count): (text before)(heading and the rest).
+NEXT_HEADING_SPLIT = r"(?sU)\A(.*?)((?<=\n)##" + _WS + r".*)\z"
 
 
 def article_line(title: Column, url: Column) -> Column:
@@ -92,15 +96,13 @@ def replace_sources_section(md: Column, source_urls: Column) -> Column:
                                          lambda u: u.isNotNull() & (u != "")))
         block = F.array_join(F.transform(urls, lambda u: F.concat(F.lit("- "), u)), "\n")
         section = F.concat(F.lit(SOURCES_HEADING), block, F.lit("\n"))
-        start = F.regexp_instr(text, F.lit(SOURCES_HEADING_PATTERN), 0)
-        header = F.regexp_extract(text, SOURCES_HEADING_PATTERN, 0)
-        after = start + F.length(header)              # 1-based position just after the heading line
-        rest = F.substring(text, after, F.lit(1 << 30))
-        nxt = F.regexp_instr(rest, F.lit(NEXT_HEADING_PATTERN), 0)
-        tail = F.when(nxt > 0, F.substring(rest, nxt, F.lit(1 << 30))).otherwise(F.lit(""))
-        replaced = F.concat(F.substring(text, 1, start - 1), section, tail)
+        found = text.rlike(SOURCES_SPLIT)
+        before = F.regexp_extract(text, SOURCES_SPLIT, 1)
+        rest = F.regexp_extract(text, SOURCES_SPLIT, 3)
+        tail = F.when(rest.rlike(NEXT_HEADING_SPLIT), F.regexp_extract(rest, NEXT_HEADING_SPLIT, 2)).otherwise(F.lit(""))
+        replaced = F.concat(before, section, tail)
         appended = F.concat(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+\z", ""), F.lit("\n\n"), section)
-        return F.when(F.size(urls) == 0, text).when(start > 0, replaced).otherwise(appended)
+        return F.when(F.size(urls) == 0, text).when(found, replaced).otherwise(appended)
 
     none = source_urls.isNull() | (F.size(source_urls) == 0) | md.isNull()
     return F.when(none, md).otherwise(bind(md, go))

@@ -43,3 +43,21 @@ def test_offline_brief_and_json_guard(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r["o"] for r in df.select("i", is_json_text(F.col("t")).alias("o")).orderBy("i").collect()]
     assert got == [True, True, True, True, True, False, False, False]
+
+
+def test_sources_section_after_astral_emoji_and_multiple_headings(spark):
+    urls = ["https://a.org/1"]
+    md = ("# \U0001F5DE️ Weekly \U0001F4CE\U0001F4CE brief\n## \U0001F4CE Sources\n(list URLs)\n"
+          "## Other sources\n- keep\n")
+    assert _apply(spark, replace_sources_section, md, urls) == \
+        "# \U0001F5DE️ Weekly \U0001F4CE\U0001F4CE brief\n## \U0001F4CE Sources\n- https://a.org/1\n## Other sources\n- keep\n"
+    # '##' followed by a newline still opens a heading (whitespace may span lines), '##x' does not
+    md2 = "intro\n##sources no\n##\nmy sources\nbody\n## Next\nz"
+    assert _apply(spark, replace_sources_section, md2, urls) == \
+        "intro\n##sources no\n## \U0001F4CE Sources\n- https://a.org/1\n## Next\nz"
+
+
+def test_prefix_repair_tokens_at_both_ends(spark):
+    urls = ["https://a.org/full/path"]
+    md = "https://a.org/full mid https://a.org/full"
+    assert _apply(spark, normalize_url_prefixes, md, urls) == "https://a.org/full/path mid https://a.org/full"
