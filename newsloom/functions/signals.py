@@ -120,11 +120,17 @@ def keyword_ratio(content: Column, tags: Column) -> Column:
     """Share of tags found (substring, case-insensitive, whitespace-normalised) in content, unrounded.
 
     ``tags`` should already be normalised with :func:`normalize_tags`. No tags -> 0.0.
-    Round with ``py_round(.., 3)`` on the materialised column (see :func:`with_scores`).
+    Normalising only collapses whitespace, so a tag without a space matches the
+    normalised text exactly when it matches the lower-cased raw text; the
+    whitespace regex over the whole text runs only for multi-word tags.
     """
-    hits = bind(F.lower(normalize_text(content)), lambda text: F.size(F.filter(tags, lambda t: text.contains(t))))
+    def hits(low: Column) -> Column:
+        norm_low = F.lower(normalize_text(content))
+        return F.size(F.filter(tags, lambda t: F.when(t.contains(" "), norm_low.contains(t))
+                                                .otherwise(low.contains(t))))
     n = F.size(tags)
-    return F.when(tags.isNull() | (n <= 0), F.lit(0.0)).otherwise(hits.cast("double") / n.cast("double"))
+    h = bind(F.lower(F.coalesce(content, F.lit(""))), hits)
+    return F.when(tags.isNull() | (n <= 0), F.lit(0.0)).otherwise(h.cast("double") / n.cast("double"))
 
 
 def normalize_tags(tags: Column) -> Column:

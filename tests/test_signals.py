@@ -73,3 +73,11 @@ def test_score_table(spark):
         raw = df.select(impact_raw(mode, **{n: F.col(n) for n in names}).alias("r"))
         got = raw.select(finish_score(F.col("r")).alias("s")).first()["s"]
         assert got == expected, (mode, vals, got)
+
+
+def test_keyword_ratio_single_and_multi_word_tags(spark):
+    from newsloom.functions.signals import keyword_ratio, normalize_tags
+    df = spark.createDataFrame([("Query  PLANNER\tand\u00a0Index\ttuning", ["planner", "index tuning", " Query   planner ", "", "zz"]),
+                                (None, ["", "a"]), ("text", [])], "c string, t array<string>")
+    got = [r["k"] for r in df.select(keyword_ratio(F.col("c"), normalize_tags(F.col("t"))).alias("k")).collect()]
+    assert got == [4 / 5, 1 / 2, 0.0]
