@@ -98,12 +98,12 @@ def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
     :func:`repair_xml` pass; if that fails too it is rejected (no items).
     """
     t = F.col(text_col)
-    first = F.from_xml(t, FEED_SCHEMA, XML_OPTIONS)
-    bad = bind(first, lambda f: f.isNull() | f["_corrupt_record"].isNotNull())
-    df = payloads.withColumn("_bad", bad)
+    # The strict parse is its own column: it is read twice below and parsed once.
+    df = payloads.withColumn("_first", F.from_xml(t, FEED_SCHEMA, XML_OPTIONS))
+    df = df.withColumn("_bad", F.col("_first").isNull() | F.col("_first._corrupt_record").isNotNull())
     df = df.withColumn("_text", F.when(F.col("_bad"), repair_xml(t)).otherwise(t))
     df = df.withColumn("_x", F.when(F.col("_bad"), F.from_xml(F.col("_text"), FEED_SCHEMA, XML_OPTIONS))
-                       .otherwise(first))
+                       .otherwise(F.col("_first"))).drop("_first")
     rejected = F.col("_x").isNull() | F.col("_x._corrupt_record").isNotNull()
     status = F.when(rejected, "rejected").when(F.col("_bad"), "repaired").otherwise("ok")
     ns = _root_default_ns(F.col("_text"))
