@@ -25,7 +25,7 @@ RADAR_DOMAINS = ("ai_data",)
 DEFAULT_MODE = "weekly"
 
 FLAT_COLUMNS = ["doc_ord", "domain_pos", "source_pos", "domain", "domain_weight", "tags",
-                "description", "name", "url", "weight", "priority", "default_weight", "min_score_threshold"]
+                "description", "name", "url", "weight", "priority", "default_weight", "min_score_threshold", "kind"]
 
 
 def parse_catalog(docs: DataFrame, text_col: str = "value", doc_ord_col: str = "doc_ord") -> DataFrame:
@@ -58,7 +58,7 @@ def flatten_catalog(parsed: DataFrame) -> DataFrame:
         clamp01_text(F.col("s.weight"), F.col("raw_default")).alias("weight"),
         F.col("s.priority").alias("priority"),
         clamp01_text(F.lit(None).cast("string"), F.col("raw_default")).alias("default_weight"),
-        "min_score_threshold")
+        "min_score_threshold", F.lit("v2").alias("kind"))
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -84,7 +84,8 @@ def parse_legacy_catalog(docs: DataFrame, text_col: str = "value", doc_ord_col:
         F.lit(None).cast("string").alias("description"),
         F.col("s.name").alias("name"), F.col("s.url").alias("url"),
         F.lit(None).cast("double").alias("weight"), F.lit(None).cast("string").alias("priority"),
-        F.lit(DEFAULT_WEIGHT).alias("default_weight"), F.lit(DEFAULT_MIN_SCORE).alias("min_score_threshold"))
+        F.lit(DEFAULT_WEIGHT).alias("default_weight"), F.lit(DEFAULT_MIN_SCORE).alias("min_score_threshold"),
+        F.lit("legacy").alias("kind"))
 
 
 def normalize_mode(mode) -> Column:
@@ -96,21 +97,24 @@ def select_sources(catalog: DataFrame, mode: str, radar_domains=RADAR_DOMAINS) -
     """Entries chosen for a run mode, with flags.
 
     ``selected``: the entry's domain is processed in this mode (ai_radar keeps
-    only ``radar_domains``). ``ingestable``: it has both a name and a URL.
-    ``filter_active``: at least one entry is selected; when false the run uses
-    no source filter at all (not an empty one).
+    only ``radar_domains``; legacy entries are always processed). ``ingestable``:
+    it has both a name and a URL. ``filter_active``: at least one v2 entry is
+    selected; when false the run uses no source filter at all (not an empty
+    one). Legacy entries never contribute names to the filter.
     """
     m = normalize_mode(mode)
-    picked = F.when(m == RADAR_MODE, F.col("domain").isin(*radar_domains)).otherwise(F.lit(True))
+    picked = (F.when(F.col("kind") == "legacy", F.lit(True))
+              .when(m == RADAR_MODE, F.col("domain").isin(*radar_domains)).otherwise(F.lit(True)))
     flagged = catalog.select("*", m.alias("mode"), picked.alias("selected"),
                              (F.col("name").isNotNull() & F.col("url").isNotNull()).alias("ingestable"))
-    any_selected = flagged.where("selected").select(F.count(F.lit(1)) > 0).scalar()
+    any_selected = flagged.where(F.col("selected") & (F.col("kind") == "v2")).select(F.count(F.lit(1)) > 0).scalar()
     return flagged.withColumn("filter_active", any_selected)
 
 
 def allowed_source_names(selection: DataFrame) -> DataFrame:
     """Distinct names the run filters on (a missing name counts as '')."""
-    return (selection.where("selected").select(F.coalesce("name", F.lit("")).alias("source")).distinct())
+    return (selection.where(F.col("selected") & (F.col("kind") == "v2"))
+            .select(F.coalesce("name", F.lit("")).alias("source")).distinct())
 
 
 def source_lookup(catalog: DataFrame) -> DataFrame:
@@ -120,6 +124,7 @@ def source_lookup(catalog: DataFrame) -> DataFrame:
     """
     key = F.lower(F.coalesce(F.col("name"), F.lit("unknown")))
     order = F.struct("doc_ord", "domain_pos", "source_pos")
+    catalog = catalog.where(F.col("kind") == "v2")  # weights and tags exist only in v2 catalogs
     picked = F.struct(F.col("domain"), F.col("domain_weight"), normalize_tags(F.col("tags")).alias("tags"),
                       F.col("weight"))
     return (catalog.groupBy(key.alias("lookup_key"))

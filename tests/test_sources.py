@@ -79,3 +79,13 @@ def test_read_templates(spark):
         f.write(ARTICLE_WEEKLY)
     rows = read_templates(spark, d).collect()
     assert [(r.template_name, r.template) for r in rows] == [("article_weekly", ARTICLE_WEEKLY)]
+
+
+def test_legacy_catalog_selects_all_and_filters_nothing(spark):
+    doc = json.dumps({"sources": {"ai_data": [{"name": "V", "url": "https://v.org"}],
+                                  "blogs": [{"name": "B", "url": "https://b.org"}]}})
+    cat = parse_legacy_catalog(spark.createDataFrame([(0, doc)], "doc_ord int, value string"))
+    sel = select_sources(cat, "ai_radar").collect()
+    assert all(r.selected for r in sel) and not any(r.filter_active for r in sel)
+    assert allowed_source_names(select_sources(cat, "weekly")).count() == 0
+    assert source_lookup(cat).count() == 0
