@@ -106,3 +106,9 @@ def replace_sources_section(md: Column, source_urls: Column) -> Column:
 
     none = source_urls.isNull() | (F.size(source_urls) == 0) | md.isNull()
     return F.when(none, md).otherwise(bind(md, go))
+
+
+def classify_prompt(template: str, content: Column) -> Column:
+    """Classification prompt: every ``{{content}}`` replaced by the normalised article text."""
+    from .text import normalize_text
+    return F.replace(F.lit(template), F.lit("{{content}}"), normalize_text(content))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.signals import OFFLINE_SIGNALS
 
@@ -19,10 +20,18 @@ OFFLINE_ANSWER = json.dumps({k: OFFLINE_SIGNALS[k] for k in ("db_engine", "topic
 
 
 def with_responses(articles: DataFrame, fn: Callable[[str], str], attempts: int = ATTEMPTS,
-                   pause_sec: float = 0.0, id_col: str = "id", text_col: str = "content") -> DataFrame:
+                   pause_sec: float = 0.0, id_col: str = "id", text_col: str = "content",
+                   prompt_mode: str | None = None) -> DataFrame:
     """``(raw_id, response)`` from ``fn(text)`` for every article (``mapInPandas``: Spark partitions
     the articles, each task feeds its rows to ``fn`` batch by batch). ``fn`` is tried ``attempts``
-    times; an exception or a None answer falls back to the offline answer."""
+    times; an exception or a None answer falls back to the offline answer.
+
+    With ``prompt_mode`` ('weekly' / 'ai_radar') ``fn`` receives the mode's classification
+    prompt (built JVM-side) instead of the bare text, as a model would."""
+    if prompt_mode is not None:
+        from ..functions.markdown import classify_prompt
+        from ..sources.templates import classify_template
+        articles = articles.withColumn(text_col, classify_prompt(classify_template(prompt_mode), F.col(text_col)))
     def run(batches):
         for pdf in batches:
             answers = []

@@ -200,3 +200,20 @@ def test_brief_sink_roundtrip(spark):
     got = {r.mode: (r.format, r.content) for r in read_briefs(spark, path).collect()}
     assert got == {"weekly": ("markdown", "# W2\n"), "ai_radar": ("markdown", "# R\n")}
     assert [r.content for r in read_briefs(spark, path, "ai_radar").collect()] == ["# R\n"]
+
+
+def test_scorer_hook_prompt_retry_and_fallback(spark):
+    import json
+    from newsloom.operators.scorer import OFFLINE_ANSWER, with_responses
+    from newsloom.sources.templates import CLASSIFY_WEEKLY
+    calls = {"n": 0}
+
+    def fn(prompt):
+        if "boom" in prompt:
+            raise RuntimeError("model down")
+        assert prompt.startswith(CLASSIFY_WEEKLY.split("{{content}}")[0])
+        return json.dumps({"relevance": len(prompt.split("Article:")[-1].strip())})
+
+    arts = spark.createDataFrame([(1, "a  b\tc"), (2, "boom")], "id long, content string")
+    got = {r.raw_id: r.response for r in with_responses(arts, fn, prompt_mode="weekly").collect()}
+    assert json.loads(got[1]) == {"relevance": 5} and got[2] == OFFLINE_ANSWER
