@@ -63,7 +63,7 @@ def main(argv=None) -> int:
     result = run_mode(raw, scored, responses, read_catalog(spark, args.catalog), payloads, links, args.mode,
                       args.as_of, feed_status=feed_status)
 
-    (result.raw.withColumn("ingested_date", F.to_date("ingested_at"))
+    (result.raw.withColumn("ingested_date", F.to_date("ingested_at"))  # (re)derived for every row
         .write.mode("overwrite").partitionBy("ingested_date").parquet(f"{args.out}/raw"))
     result.scored.write.mode("overwrite").parquet(f"{args.out}/scored")
     write_briefs(result.brief, f"{args.out}/briefs")

@@ -152,8 +152,10 @@ def adaptive_brief_pruned(raw: DataFrame, scored: DataFrame, as_of: str, thresho
     365-day set means the all-time branch is never chosen.
     """
     horizon = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(WINDOWS_DAYS[-1]))
-    recent = adaptive_briefs(eligible_articles(raw.where(F.col("ingested_at") >= horizon), scored, threshold,
-                                               allowed), as_of, k=k).cache()  # at most k rows
+    recent_raw = raw.where(F.col("ingested_at") >= horizon)
+    if "ingested_date" in raw.columns:  # implied by the line above; lets a date-partitioned table prune
+        recent_raw = recent_raw.where(F.col("ingested_date") >= F.to_date(horizon))
+    recent = adaptive_briefs(eligible_articles(recent_raw, scored, threshold, allowed), as_of, k=k).cache()
     if not recent.isEmpty():
         return recent
     recent.unpersist()

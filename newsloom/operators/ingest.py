@@ -134,7 +134,8 @@ RAW_TYPES = {"id": "bigint", "source": "string", "title": "string", "url": "stri
 def conform_raw(df: DataFrame, as_of) -> DataFrame:
     """Bring a stored articles table to the current schema: missing columns are added (the
     ingest time is back-filled with ``as_of``, like a column added with a NOW() default),
-    and columns are put in order with their types."""
+    and columns are put in order with their types. A partition column ``ingested_date``
+    is kept so that date filters can prune the scan."""
     as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     cols = []
     for name, typ in RAW_TYPES.items():
@@ -144,4 +145,6 @@ def conform_raw(df: DataFrame, as_of) -> DataFrame:
             cols.append(as_of_col.alias(name))
         else:
             cols.append(F.lit(None).cast(typ).alias(name))
+    if "ingested_date" in df.columns:
+        cols.append(F.col("ingested_date"))
     return df.select(*cols)

@@ -39,6 +39,8 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     m = (mode or "weekly").strip().lower()
     allowed = allowed_source_names(select_sources(catalog, m))
     raw_after, new_rows = collect(raw, payloads, as_of, feed_status)
+    if "ingested_date" in raw.columns:
+        new_rows = new_rows.withColumn("ingested_date", F.to_date("ingested_at"))
     raw_all = raw_after.select(*raw.columns).unionByName(new_rows.select(*raw.columns))
     new_scores = score_articles(raw_all, scored, responses, catalog, m, allowed)
     # The scored table is stored between steps, as in the reference; here a reliable checkpoint.

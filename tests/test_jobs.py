@@ -217,3 +217,22 @@ def test_scorer_hook_prompt_retry_and_fallback(spark):
     arts = spark.createDataFrame([(1, "a  b\tc"), (2, "boom")], "id long, content string")
     got = {r.raw_id: r.response for r in with_responses(arts, fn, prompt_mode="weekly").collect()}
     assert json.loads(got[1]) == {"relevance": 5} and got[2] == OFFLINE_ANSWER
+
+
+def test_pruned_brief_prunes_date_partitions(spark):
+    import uuid
+    from newsloom.operators.brief import adaptive_brief_pruned
+    from newsloom.operators.ingest import conform_raw
+    from newsloom.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+    d = lambda n: AS_OF - dt.timedelta(days=n)
+    rows = [(i, "s", f"t{i}", f"u{i}", None, None, d(age)) for i, age in [(1, 2), (2, 40), (3, 700), (4, 900)]]
+    raw = spark.createDataFrame(rows, "id long, source string, title string, url string, published_at string, "
+                                      "content string, ingested_at timestamp")
+    raw.withColumn("ingested_date", F.to_date("ingested_at")).write.partitionBy("ingested_date").parquet(path)
+    stored = conform_raw(spark.read.parquet(path), "2024-01-31")
+    scored = spark.createDataFrame([(i, 0.9, False) for i in range(1, 5)], "raw_id long, impact_score float, is_duplicate boolean")
+    top = adaptive_brief_pruned(stored, scored, "2024-01-31")
+    assert sorted(r.id for r in top.collect()) == [1, 2]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingested_date" in plan
