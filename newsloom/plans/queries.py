@@ -457,9 +457,12 @@ def q_brief_sink(spark, d):
     from ..sources.templates import article_template
     from ..session import checkpoint_dir
     path = f"{checkpoint_dir(spark).rstrip('/')}/briefs-{uuid.uuid4().hex}"
+    briefs = None
     for mode in ("weekly", "ai_radar"):
         raw = B.articles_raw(spark, d)
         sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
         top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
-        BR.write_briefs(BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode)), path)
+        b = BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode))
+        briefs = b if briefs is None else briefs.unionByName(b)
+    BR.write_briefs(briefs, path)  # one job: both modes share scans and exchanges
     return BR.read_briefs(spark, path).select("mode", F.col("content").alias("markdown"))
