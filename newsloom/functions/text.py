@@ -148,7 +148,9 @@ def _resolve(p: Column) -> Column:
             .when(base.isNull() | (base == ""), link)
             .when((l_scheme != "") & (F.lower(l_scheme) != F.lower(b_scheme)), link)
             .when(link == "", base)
-            .when(p["ln"], F.concat(b_scheme, F.lit(":"), F.regexp_replace(p["lc"], r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
+            # '//host/...' takes the base scheme; '///path' (empty host) is an absolute path
+            .when(p["ln"] & (p["l2"] != ""),
+                  F.concat(b_scheme, F.lit(":"), F.regexp_replace(p["lc"], r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
             .when(l_path == "",
                   with_tail(authority, b_path, F.when(l_has_q, l_query).otherwise(b_query), l_has_q | b_has_q))
             .when(l_path.startswith("/"), with_tail(authority, joined(F.split(l_path, "/")), l_query, l_has_q))

@@ -53,7 +53,7 @@ def test_resolve_url_matches_urljoin(spark):
     bases = ["http://h.example.com/fr/825?page=2&ref=x", "https://m.h.example.net/en/25#top",
              "https://h.example.org/en/853/", "https://h.example.org", "http://a/b/c/d;p?q"]
     links = ["/The", "the,", "../x", "./y/../z", "?q=1", "#frag", "//other.org/p", "g/", "..", ".", "a/./b/../c",
-             "/a/../../b", "mailto:x@y", "\n  https://o.org/x\n", " /path", "/a\tb", "\x01rel/x"]
+             "/a/../../b", "mailto:x@y", "\n  https://o.org/x\n", " /path", "/a\tb", "\x01rel/x", "///a/b", "//", "///"]
     pairs = [(b, l) for b in bases for l in links]
     df = spark.createDataFrame(pairs, "b string, l string")
     got = [r["o"] for r in df.select(resolve_url(F.col("b"), F.col("l")).alias("o")).collect()]
