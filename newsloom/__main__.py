@@ -9,6 +9,12 @@ writes new snapshots to ``OUT`` (never over its own inputs):
 * ``OUT/briefs``  one Markdown file per mode
 * ``OUT/health``  link-health summary
 
+With ``--in-place`` the ``--raw`` (partitioned by ``ingested_date``) and
+``--scored`` tables are updated where they are instead: new scores are
+appended (new articles get larger ids, so they never turn a stored score into
+a duplicate) and only the date partitions holding new or rewritten articles
+are replaced. The work then grows with the new data, not with the table.
+
 The exit status is 1 when the brief has broken links, as in the reference.
 """
 
@@ -46,6 +52,8 @@ def main(argv=None) -> int:
     ap.add_argument("--feed-status", help="parquet: feed_url, status (enables the feed health check)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
+    ap.add_argument("--in-place", action="store_true",
+                    help="update --raw and --scored where they are (only touched date partitions are rewritten)")
     args = ap.parse_args(argv)
 
     from .plans.jobs import run_mode
@@ -63,14 +71,44 @@ def main(argv=None) -> int:
     result = run_mode(raw, scored, responses, read_catalog(spark, args.catalog), payloads, links, args.mode,
                       args.as_of, feed_status=feed_status)
 
-    (result.raw.withColumn("ingested_date", F.to_date("ingested_at"))  # (re)derived for every row
-        .write.mode("overwrite").partitionBy("ingested_date").parquet(f"{args.out}/raw"))
-    result.scored.write.mode("overwrite").parquet(f"{args.out}/scored")
     write_briefs(result.brief, f"{args.out}/briefs")
     result.health.write.mode("overwrite").parquet(f"{args.out}/health")
+    if args.in_place and args.raw and args.scored:
+        _update_in_place(spark, args, raw, result)
+    else:
+        (result.raw.withColumn("ingested_date", F.to_date("ingested_at"))  # (re)derived for every row
+            .write.mode("overwrite").partitionBy("ingested_date").parquet(f"{args.out}/raw"))
+        result.scored.write.mode("overwrite").parquet(f"{args.out}/scored")
     healthy = spark.read.parquet(f"{args.out}/health").where("NOT healthy").isEmpty()
     return 0 if healthy else 1
 
 
+def _update_in_place(spark, args, raw, result) -> None:
+    """Append new scores; replace only the date partitions that hold new or rewritten articles.
+
+    Everything written is first materialised (checkpoint), so nothing still reads
+    the partitions being replaced.
+    """
+    from .session import checkpoint_dir
+    checkpoint_dir(spark)
+    prev_scores = spark.read.parquet(args.scored).select("raw_id")
+    new_scores = result.scored.join(prev_scores, "raw_id", "left_anti").checkpoint(eager=True)
+    new_rows = result.new_rows.withColumn("ingested_date", F.to_date("ingested_at"))
+    rewritten = result.rewritten.withColumnRenamed("url", "_new_url")
+    with_date = raw.withColumn("ingested_date", F.coalesce("ingested_date", F.to_date("ingested_at"))) \
+        if "ingested_date" in raw.columns else raw.withColumn("ingested_date", F.to_date("ingested_at"))
+    touched = (new_rows.select("ingested_date")
+               .unionByName(with_date.join(rewritten, "id", "left_semi").select("ingested_date")).distinct())
+    # Touched partitions: a handful of dates, so the date list is broadcast.
+    kept = with_date.join(F.broadcast(touched), "ingested_date", "left_semi")
+    kept = kept.join(F.broadcast(rewritten), "id", "left").withColumn(
+        "url", F.coalesce("_new_url", "url")).drop("_new_url")
+    cols = list(RAW_TYPES) + ["ingested_date"]
+    changed = kept.select(*cols).unionByName(new_rows.select(*cols)).checkpoint(eager=True)
+    new_scores.write.mode("append").parquet(args.scored)
+    (changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingested_date").parquet(args.raw))
+
+
 if __name__ == "__main__":
     sys.exit(main())

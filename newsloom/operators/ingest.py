@@ -111,7 +111,8 @@ def ingest_new(raw: DataFrame, items: DataFrame, as_of) -> DataFrame:
                            as_of_col.alias("ingested_at"))
 
 
-def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame | None = None) -> tuple:
+def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame | None = None,
+            keep_url_before: bool = False) -> tuple:
     """The collect job: (healthy feeds) -> parse -> valid items -> URL rewrite -> insert-if-absent.
 
     Returns ``(raw_after_rewrite, new_rows)``; the caller appends ``new_rows``.
@@ -123,8 +124,9 @@ def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame |
     # Items feed both the rewrite and the insert: parse the feeds once (reliable
     # checkpoint in the shared folder, which also cuts the lineage).
     items = valid_items(feed_items(payloads)).checkpoint(eager=True)
-    rewritten = rewrite_urls(raw, items).drop("url_before")
-    return rewritten, ingest_new(rewritten, items, as_of)
+    rewritten = rewrite_urls(raw, items)
+    new_rows = ingest_new(rewritten.drop("url_before"), items, as_of)
+    return (rewritten if keep_url_before else rewritten.drop("url_before")), new_rows
 
 
 RAW_TYPES = {"id": "bigint", "source": "string", "title": "string", "url": "string", "published_at": "string",

@@ -19,10 +19,12 @@ from ..sources.templates import article_template
 
 @dataclass
 class RunResult:
-    raw: DataFrame
-    scored: DataFrame
+    raw: DataFrame          # articles after the run (stored rows with rewritten URLs, plus new rows)
+    scored: DataFrame       # scored table after the run (checkpointed)
     brief: DataFrame
     health: DataFrame
+    new_rows: DataFrame     # articles inserted by this run
+    rewritten: DataFrame    # (id, url) of stored articles whose URL this run repaired
 
 
 def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | None, catalog: DataFrame,
@@ -38,7 +40,8 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     spark = raw.sparkSession
     m = (mode or "weekly").strip().lower()
     allowed = allowed_source_names(select_sources(catalog, m))
-    raw_after, new_rows = collect(raw, payloads, as_of, feed_status)
+    raw_after, new_rows = collect(raw, payloads, as_of, feed_status, keep_url_before=True)
+    rewritten = raw_after.where(F.col("url") != F.col("url_before")).select("id", "url")
     if "ingested_date" in raw.columns:
         new_rows = new_rows.withColumn("ingested_date", F.to_date("ingested_at"))
     raw_all = raw_after.select(*raw.columns).unionByName(new_rows.select(*raw.columns))
@@ -52,4 +55,4 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     top = adaptive_brief_pruned(raw_all, scored_all, as_of, threshold, allowed)
     brief = render_briefs(top, {"mode": m}, as_of, template or article_template(m))
     health = link_health_summary(brief, link_status, key="mode")
-    return RunResult(raw_all, scored_all, brief, health)
+    return RunResult(raw_all, scored_all, brief, health, new_rows, rewritten)
