@@ -105,9 +105,11 @@ def _update_in_place(spark, args, raw, result) -> None:
         "url", F.coalesce("_new_url", "url")).drop("_new_url")
     cols = list(RAW_TYPES) + ["ingested_date"]
     changed = kept.select(*cols).unionByName(new_rows.select(*cols)).checkpoint(eager=True)
-    new_scores.write.mode("append").parquet(args.scored)
+    # Articles first, scores second: if the run stops in between, the next run finds the
+    # new articles unscored and scores them; scores never point at articles not stored.
     (changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingested_date").parquet(args.raw))
+    new_scores.write.mode("append").parquet(args.scored)
 
 
 if __name__ == "__main__":
