@@ -47,7 +47,7 @@ def offline_brief(prompt: Column) -> Column:
 def is_json_text(text: Column) -> Column:
     """TRUE when the whole text is one JSON value (object, array, string, number, literal)."""
     t = F.trim(F.regexp_replace(text, r"^[ \t\n\r]+|[ \t\n\r]+$", ""))
-    scalar = t.rlike(r'^(?:-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity|"(?:[^"\\\x00-\x1f]|\\.)*")$')
+    scalar = t.rlike(r'^(?:-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity|"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")$')
     container = (t.rlike(r"(?s)^[\[{].*[\]}]$")
                  & F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "v STRING, _corrupt_record STRING",
                                {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record"})
