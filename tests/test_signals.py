@@ -38,10 +38,11 @@ def test_clamp_json_true(spark):
 
 def test_parse_signals_texts(spark):
     texts = ['```json\n{"relevance": 0.9}\n```', '{"relevance": 0.9} trailing', "{'relevance': 0.9}", "[1]", "5", "",
-             '{"relevance": 0.9, "db_engine": null}', '{"relevance": "3", "topic": "Perf"}', '{"a": NaN}']
+             '{"relevance": 0.9, "db_engine": null}', '{"relevance": "3", "topic": "Perf"}', '{"a": NaN}',
+             '{"a": 1} {"b": 2}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, r string")
     out = [r["s"] for r in df.select("i", parse_signals(F.col("r")).alias("s")).orderBy("i").collect()]
-    assert [o["ok"] for o in out] == [False, False, False, False, False, False, True, True, True]
+    assert [o["ok"] for o in out] == [False, False, False, False, False, False, True, True, True, False]
     assert out[6]["db_engine"] is None and out[6]["topic"] == "tooling" and out[6]["relevance"] == 0.9
     assert out[7]["relevance"] == 0.6 and out[7]["db_engine"] == "general" and out[7]["topic"] == "Perf"
     assert out[8]["relevance"] == 0.5
