@@ -1,10 +1,11 @@
 """Token files in a static range asymmetric numeral system (rANS).
 
-One frequency table is counted over the whole corpus and shared by all blocks. A block holds whole documents; its ids
-are dealt over interleaved lanes, and all lanes take a coding step together in numpy. Each block carries its
-documents' ids and lengths, checkpoints (lane states and word position every few thousand steps) from which parts of
-a block can be decoded in parallel, and a checksum of its ids. Blocks are rows of Parquet files, so Spark commits
-them, any store holds them, and each decodes without the others.
+Documents are laid out in ascending doc_id order over shards. A shard's ids fall into runs of a few million; a frequency
+table counted over all ids of a run is stored with it and shared by its blocks. A block holds whole documents; its ids
+are dealt over interleaved lanes, and all lanes take a coding step together in numpy. Each block carries its documents'
+ids and lengths, checkpoints (lane states and word position every few hundred steps) from which parts of a block can be
+decoded in parallel, and a checksum of its ids. Runs are rows of Parquet files, so Spark commits them, any store holds
+them, and each is decoded without the others.
 """
 
 from __future__ import annotations
@@ -23,18 +24,21 @@ from .tokenize import WORD_BPE, Vocabulary, encoded
 SCALE_BITS = 22
 LANES = 512
 BLOCK_IDS = 1 << 18  # ids after which a block ends with the document
+RUN_IDS = 1 << 23  # ids after which a run ends with the document
 CHECK_STEPS = 256  # steps between two checkpoints
 LOW = np.uint64(1 << 31)
 
-BLOCK = ("shard int, block int, n_ids long, steps int, doc_ids binary, doc_nulls binary, lengths binary, words binary, "
-         "states binary, places binary, crc long")
+BLOCK = pa.struct([("block", pa.int32()), ("n_ids", pa.int64()), ("steps", pa.int32()), ("doc_ids", pa.binary()),
+                   ("doc_nulls", pa.binary()), ("lengths", pa.binary()), ("words", pa.binary()), ("states", pa.binary()),
+                   ("places", pa.binary()), ("crc", pa.int64())])
+RUN = ("shard int, run int, symbols binary, frequencies binary, blocks array<struct<block:int, n_ids:long, steps:int, "
+       "doc_ids:binary, doc_nulls:binary, lengths:binary, words:binary, states:binary, places:binary, crc:long>>")
 
 
 def frequencies(counts: np.ndarray, bits: int = SCALE_BITS) -> np.ndarray:
-    """Counts scaled to a sum of ``2**bits``; every id keeps at least 1, so any text can be encoded."""
-    n, total = len(counts), 1 << bits
-    share = counts.astype(np.float64) / max(1, counts.sum())
-    f = 1 + np.floor(share * (total - n)).astype(np.int64)
+    """Counts scaled to a sum of ``2**bits``; what occurs keeps at least 1, what doesn't has 0."""
+    there, total = counts > 0, 1 << bits
+    f = there + np.floor(counts / max(1, counts.sum()) * (total - there.sum())).astype(np.int64)
     f[np.argmax(f)] += total - f.sum()
     return f
 
@@ -99,127 +103,116 @@ class Coder:
         return out.reshape(-1)
 
 
-def count_ids(docs: DataFrame, vocabulary: Vocabulary, end_id: int) -> np.ndarray:
-    """How often each id occurs in all texts, end ids included. Bounded by the vocabulary's size."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for rows, ids, _ in encoded(batches, vocabulary):
-            own = np.bincount(ids, minlength=max(len(total), end_id + 1))
-            own[end_id] += rows.num_rows
-            own[:len(total)] += total
-            total = own
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["id", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(0, np.int64)
-    at = rows.column("id").to_numpy()
-    if len(at):
-        out = np.zeros(int(at.max()) + 1, np.int64)
-        out[at] = rows.column("n").to_numpy()
-    return out
-
-
-def vocabulary_size(vocabulary: Vocabulary) -> int:
-    from .tokenize import encoder
-    return encoder(vocabulary).library.get_vocab_size(with_added_tokens=True)
-
-
-def write_ids(docs: DataFrame, path: str, freq: np.ndarray, vocabulary: Vocabulary, end_id: int, shards: int) -> None:
-    """Encodes ``docs`` (doc_id, text) into block rows under ``path``, in ascending doc_id order over the shards."""
-    shared = docs.sparkSession.sparkContext.broadcast(freq)  # one long per id of the vocabulary
+def encode_run(coder: Coder, first_block: int, doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray,
+               ids: np.ndarray) -> list[dict]:
+    """The blocks of a run: each ends with the document that fills it."""
+    ends, blocks, begin = np.cumsum(lengths), [], 0
+    while begin < len(lengths):
+        base = int(ends[begin - 1]) if begin else 0
+        end = min(len(lengths), int(np.searchsorted(ends, base + BLOCK_IDS, "left")) + 1)
+        part = ids[base:int(ends[end - 1])]
+        words, states, places, steps = coder.encode(part)
+        blocks.append({
+            "block": first_block + len(blocks), "n_ids": len(part), "steps": steps,
+            "doc_ids": doc_ids[begin:end].astype("<i8").tobytes(), "doc_nulls": np.packbits(nulls[begin:end]).tobytes(),
+            "lengths": lengths[begin:end].astype("<i8").tobytes(), "words": words.tobytes(), "states": states.tobytes(),
+            "places": places.tobytes(), "crc": zlib.crc32(part.astype("<u4").tobytes())})
+        begin = end
+    return blocks
+
+
+def decode_block(coder: Coder, block: dict) -> np.ndarray:
+    """A block's ids, as little-endian unsigned 32-bit integers; raises where they don't match the checksum."""
+    states = np.frombuffer(block["states"], "<u8").reshape(-1, coder.lanes)
+    ids = coder.decode(np.frombuffer(block["words"], "<u4"), states, np.frombuffer(block["places"], "<i8"), block["steps"])
+    ids = ids[:block["n_ids"]].astype("<u4")
+    if zlib.crc32(ids.tobytes()) != block["crc"]:
+        raise ValueError(f"block {block['block']} is damaged")
+    return ids
+
+
+def run_coder(symbols: bytes, freq: bytes) -> Coder:
+    at = np.frombuffer(symbols, "<u4")
+    table = np.zeros(int(at.max()) + 1 if len(at) else 1, np.int64)
+    table[at] = np.frombuffer(freq, "<u4")
+    return Coder(table)
+
+
+def write_ids(docs: DataFrame, path: str, vocabulary: Vocabulary, end_id: int, shards: int) -> None:
+    """Encodes ``docs`` (doc_id, text) into run rows under ``path``, in ascending doc_id order over the shards. A task
+    holds one run's ids."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        coder, shard, block = Coder(shared.value), TaskContext.get().partitionId(), 0
+        shard, run, block = TaskContext.get().partitionId(), 0, 0
         held: list[tuple] = []  # (doc ids, nulls, lengths, ids)
         size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, size, block
+            nonlocal held, size, run, block
             doc_ids, nulls, lengths, ids = (np.concatenate(c) for c in zip(*held))
-            words, states, places, steps = coder.encode(ids)
-            row = [shard, block, len(ids), steps, doc_ids.astype("<i8").tobytes(), np.packbits(nulls).tobytes(),
-                   lengths.astype("<i8").tobytes(), words.tobytes(), states.tobytes(), places.tobytes(),
-                   zlib.crc32(ids.astype("<u4").tobytes())]
-            held, size, block = [], 0, block + 1
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 6, pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
-                                              [c.split()[0] for c in BLOCK.split(", ")])
+            freq = frequencies(np.bincount(ids))
+            blocks = encode_run(Coder(freq), block, doc_ids, nulls, lengths, ids)
+            at = np.flatnonzero(freq)
+            row = [pa.array([shard], pa.int32()), pa.array([run], pa.int32()), pa.array([at.astype("<u4").tobytes()], pa.binary()),
+                   pa.array([freq[at].astype("<u4").tobytes()], pa.binary()), pa.array([blocks], pa.list_(BLOCK))]
+            held, size, run, block = [], 0, run + 1, block + len(blocks)
+            return pa.RecordBatch.from_arrays(row, ["shard", "run", "symbols", "frequencies", "blocks"])
 
         for rows, ids, ends in encoded(batches, vocabulary):
-            n = np.diff(ends, prepend=0)
-            ids = np.insert(ids.astype(np.int64), ends, end_id)
-            ends = np.cumsum(n + 1)
+            n = np.diff(ends, prepend=0) + 1
+            ids = np.insert(ids.astype(np.uint32), ends, end_id)
             keys = rows.column("doc_id")
-            nulls = keys.is_null().to_numpy(zero_copy_only=False)
-            keys = keys.fill_null(0).to_numpy()
-            begin = 0
-            while begin < len(ends):
-                base = int(ends[begin - 1]) if begin else 0
-                end = min(len(ends), int(np.searchsorted(ends, base + BLOCK_IDS - size, "left")) + 1)
-                held.append((keys[begin:end], nulls[begin:end], (n + 1)[begin:end], ids[base:int(ends[end - 1])]))
-                size += len(held[-1][3])
-                begin = end
-                if size >= BLOCK_IDS:
-                    yield flush()
+            held.append((keys.fill_null(0).to_numpy(), keys.is_null().to_numpy(zero_copy_only=False), n, ids))
+            size += len(ids)
+            if size >= RUN_IDS:
+                yield flush()
         if held:
             yield flush()
 
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
      .repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-     .mapInArrow(write, BLOCK).write.parquet(path))
+     .mapInArrow(write, RUN).write.parquet(path))
 
 
-def read_ids(spark: SparkSession, path: str, freq: np.ndarray) -> DataFrame:
-    """Decodes block rows: per document shard, block, place, doc_id, n_tokens, ids (binary, little-endian unsigned
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Decodes run rows: per document shard, block, place, doc_id, n_tokens, ids (binary, little-endian unsigned
     32-bit). A block whose ids don't match its checksum raises."""
-    shared = spark.sparkContext.broadcast(freq)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
         for batch in batches:
-            for b in batch.to_pylist():
-                states = np.frombuffer(b["states"], "<u8").reshape(-1, LANES)
-                ids = coder.decode(np.frombuffer(b["words"], "<u4"), states, np.frombuffer(b["places"], "<i8"), b["steps"])
-                raw = ids[:b["n_ids"]].astype("<u4").tobytes()
-                if zlib.crc32(raw) != b["crc"]:
-                    raise ValueError(f"block {b['block']} of shard {b['shard']} is damaged")
-                lengths = np.frombuffer(b["lengths"], "<i8")
-                nulls = np.unpackbits(np.frombuffer(b["doc_nulls"], np.uint8), count=len(lengths)).astype(bool)
-                ends = (np.cumsum(lengths) * 4).tolist()
-                parts = [raw[m:n] for m, n in zip([0, *ends[:-1]], ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b["shard"]] * len(parts), pa.int32()), pa.array([b["block"]] * len(parts), pa.int32()),
-                     pa.array(range(len(parts)), pa.int32()),
-                     pa.array(np.frombuffer(b["doc_ids"], "<i8"), pa.int64(), mask=nulls),
-                     pa.array(lengths, pa.int64()), pa.array(parts, pa.binary())],
-                    ["shard", "block", "place", "doc_id", "n_tokens", "ids"])
+            for k in range(batch.num_rows):
+                run = batch.slice(k, 1).to_pylist()[0]
+                coder = run_coder(run["symbols"], run["frequencies"])
+                for b in run["blocks"]:
+                    raw = decode_block(coder, b).tobytes()
+                    lengths = np.frombuffer(b["lengths"], "<i8")
+                    nulls = np.unpackbits(np.frombuffer(b["doc_nulls"], np.uint8), count=len(lengths)).astype(bool)
+                    ends = (np.cumsum(lengths) * 4).tolist()
+                    parts = [raw[m:n] for m, n in zip([0, *ends[:-1]], ends)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([run["shard"]] * len(parts), pa.int32()), pa.array([b["block"]] * len(parts), pa.int32()),
+                         pa.array(range(len(parts)), pa.int32()),
+                         pa.array(np.frombuffer(b["doc_ids"], "<i8"), pa.int64(), mask=nulls),
+                         pa.array(lengths, pa.int64()), pa.array(parts, pa.binary())],
+                        ["shard", "block", "place", "doc_id", "n_tokens", "ids"])
 
     return spark.read.parquet(path).mapInArrow(
         read, "shard int, block int, place int, doc_id long, n_tokens long, ids binary")
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary = WORD_BPE, end_id: int = 1, shard_bytes: int = 48 << 20,
-                     ) -> tuple[str, np.ndarray]:
-    """Writes all ``docs`` (doc_id, text) as rANS token files in ascending doc_id order; returns the folder and the
-    frequency table (also kept there as a one-row table under ``table``).
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary = WORD_BPE, end_id: int = 1, shard_bytes: int = 32 << 20) -> str:
+    """Writes all ``docs`` (doc_id, text) as rANS token files in ascending doc_id order; returns their folder.
 
     Null texts are empty ones (the end id alone), null doc_ids come first, rows with one doc_id are ordered by their
-    text, other columns are left out, an empty table gives files without blocks."""
+    text, other columns are left out, an empty table gives files without runs."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    counts = count_ids(docs, vocabulary, end_id)
-    full = np.zeros(vocabulary_size(vocabulary), np.int64)
-    full[:len(counts)] = counts
-    freq = frequencies(full)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     path = shared_path(spark, "ids")
-    spark.createDataFrame([(freq.astype("<i8").tobytes(),)], "freq binary").write.parquet(f"{path}/table")
-    write_ids(docs, f"{path}/blocks", freq, vocabulary, end_id, max(1, -(-total // shard_bytes)))
-    return path, freq
+    write_ids(docs, path, vocabulary, end_id, max(1, -(-total // shard_bytes)))
+    return path
 
 
 def document_starts(rows: DataFrame) -> DataFrame:
@@ -244,7 +237,7 @@ def document_starts(rows: DataFrame) -> DataFrame:
 
 
 def op7_token_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, freq = encode_documents(documents(spark, sf_dir, "doc_id", "text"))
-    rows = read_ids(spark, f"{path}/blocks", freq).select(
+    path = encode_documents(documents(spark, sf_dir, "doc_id", "text"))
+    rows = read_ids(spark, path).select(
         "shard", "block", "place", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return document_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")

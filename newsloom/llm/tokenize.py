@@ -1,22 +1,31 @@
 """Token ids of many texts with the ``tokenizers`` library, each distinct space-separated chunk encoded once.
 
-A text is cut at single spaces, where both vocabularies start a new word in any case, so the ids of a text are
-the ids of its chunks in order. Arrow finds the distinct chunks of a slice of rows; the library encodes those the
-worker has not met yet; numpy lays the ids out. Texts where a space touches other white space (one word may then
-reach over the cut) go to the library whole.
+A text is cut before single spaces and line breaks, where both vocabularies start a new word in any case, so the ids of
+a text are the ids of its chunks in order. Arrow finds the distinct chunks of a slice of rows; the library encodes
+those the worker has not met yet; numpy lays the ids out. A chunk that is one run of Latin letters, perhaps with
+sentence marks after it, is two words for both vocabularies, and the library's model encodes those directly. Texts
+where white space touches white space (one word may then reach over the cut) go to the library whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# A run of letters that no normaliser changes but for A-Z, and the marks that may follow it.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_WORD = re.compile(f"([ \n]?)([{_LETTERS}]+)([.,!?;:]*)")
+_LOWER = re.compile("()([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
+
 SLICE_BYTES = 6 << 20  # text bytes laid out at a time
-KEEP_CHUNKS = 1_000_000  # chunks a worker remembers before it starts anew
+KEEP_CHUNKS = 800_000  # chunks a worker remembers before it starts anew
+KEEP_WORDS = 200_000  # and words
 KEEP_CHARS = 64  # longer chunks are not remembered
 
 _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -55,6 +64,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(vocabulary.path())
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.library.model
         self.spaced = vocabulary.spaced
         # A chunk that is always one id of its own marks the cuts when many chunks are encoded in one call.
         self.mark = " |" if self.spaced else " | "
@@ -64,16 +74,40 @@ class Encoder:
         self.widths = np.zeros(max(words.values()) + 1, np.int64)
         for word, k in words.items():
             self.widths[k] = len(word.removesuffix("</w>"))
+        self.pattern = _WORD if self.spaced else _LOWER
+        # The vocabulary writes each byte as one character: printable ones as themselves, the rest from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(256 + k) for k, b in enumerate(rest)}
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.words: dict[str, list[int]] = {"": []}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used, self.n = np.zeros(4096, np.uint32), 0, 0
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _word(self, word: str) -> list[int]:
+        """Ids of one word (as the library cuts texts) from the library's model."""
+        if (ids := self.words.get(word)) is None:
+            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+            if len(self.words) > KEEP_WORDS:
+                self.words = {"": []}
+            self.words[word] = ids
+        return ids
+
+    def _plain(self, chunk: str) -> list[int] | None:
+        """Ids of a chunk of letters and sentence marks; None for any other."""
+        if not (m := self.pattern.fullmatch(chunk)) or len(chunk) > KEEP_CHARS:
+            return None
+        lead, core, marks = m.groups()
+        if lead == "\n":
+            return self._word("\n") + self._word(core) + self._word(marks)
+        return self._word(lead + core) + self._word(marks)
+
     def _cut(self, chunks: list[str], ids: np.ndarray) -> np.ndarray | None:
         """Where the ids of each chunk end when all were encoded as one text: by the bytes the ids stand for.
         None where an id reaches over a cut or the normaliser changed lengths."""
@@ -96,14 +130,16 @@ class Encoder:
 
     def _add(self, chunks: list[str]) -> None:
         """Encode chunks and append them to the remembered ones, in order."""
+        rows = [self._plain(c) for c in chunks]
+        other = [c for c, r in zip(chunks, rows) if r is None]
         found = {}
-        short = [c for c in chunks if "|" not in c and 0 < len(c) <= KEEP_CHARS]
+        short = [c for c in other if "|" not in c and 0 < len(c) <= KEEP_CHARS]
         ready = [c for c in short if (c[0] == " ") == self.spaced and (self.spaced or c.isascii())]
         for group in (ready, sorted(set(short).difference(ready))):
             for at in range(0, len(group), 20_000):
                 part = group[at:at + 20_000]
                 found.update(zip(part, self._together(part)))
-        rows = [found[c] if c in found else np.asarray(self.whole(c), np.uint32) for c in chunks]
+        rows = [(found[c] if c in found else self.whole(c)) if r is None else r for c, r in zip(chunks, rows)]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         total = int(lengths.sum())
         while self.used + total > len(self.flat):
@@ -112,7 +148,7 @@ class Encoder:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
         if rows:
-            self.flat[self.used:self.used + total] = np.concatenate(rows)
+            self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(rows), np.uint32, total)
         self.starts[self.n:self.n + len(rows)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[self.n:self.n + len(rows)] = lengths
         for k, c in enumerate(chunks):
@@ -126,12 +162,13 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         odd: dict[int, np.ndarray] = {}
         if self.spaced:
-            strange = pc.match_substring_regex(texts, rf"{_SPACES} | {_SPACES}|\x00")
+            strange = pc.match_substring_regex(texts, rf"{_SPACES}{_SPACES}|\x00")
             if pc.any(strange).as_py():
                 for k in np.flatnonzero(strange.to_numpy(zero_copy_only=False)):
                     odd[int(k)] = np.asarray(self.whole(texts[int(k)].as_py()), np.uint32)
                 texts = pc.if_else(strange, "", texts)
-            lists = pc.split_pattern(pc.replace_substring(texts, " ", "\x00 "), "\x00")
+            cut = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
+            lists = pc.split_pattern(cut, "\x00")
         else:
             lists = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
         chunks = lists.flatten()
