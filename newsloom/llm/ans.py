@@ -58,7 +58,7 @@ class Coder:
         """``(words, states, places, steps)``: words in the order they are read; at each checkpoint, the lanes'
         states and the number of words read before it."""
         steps = -(-len(ids) // self.lanes)
-        grid = np.zeros(steps * self.lanes, np.int64)
+        grid = np.full(steps * self.lanes, ids[0] if len(ids) else 0, np.int64)  # filled up with an id that has a frequency
         grid[:len(ids)] = ids
         grid = grid.reshape(steps, self.lanes)
         x = np.full(self.lanes, LOW, np.uint64)
