@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, shared_path
+from .common import documents, shared_path, stored
 from .tokenize import WORD_BPE, Vocabulary, encoded
 
-SCALE_BITS = 22
-LANES = 512
+SCALE_BITS = 20
+LANES = 1024
 BLOCK_IDS = 1 << 18  # ids after which a block ends with the document
 RUN_IDS = 1 << 23  # ids after which a run ends with the document
-CHECK_STEPS = 256  # steps between two checkpoints
+CHECK_STEPS = 64  # steps between two checkpoints
 LOW = np.uint64(1 << 31)
 
 BLOCK = pa.struct([("block", pa.int32()), ("n_ids", pa.int64()), ("steps", pa.int32()), ("doc_ids", pa.binary()),
@@ -52,7 +52,7 @@ class Coder:
         self.c = (np.cumsum(freq) - freq).astype(np.uint64)
         self.limit = self.f << np.uint64(63 - bits)
         self.mask = np.uint64((1 << bits) - 1)
-        self.ends = np.cumsum(freq)
+        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)  # by slot
 
     def encode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """``(words, states, places, steps)``: words in the order they are read; at each checkpoint, the lanes'
@@ -92,7 +92,7 @@ class Coder:
         out = np.empty((end - begin, self.lanes), np.int64)
         for t in range(begin, end):
             slot = x & self.mask
-            s = np.searchsorted(self.ends, slot.astype(np.int64), "right")
+            s = self.symbol[slot]
             out[t - begin] = s
             x = self.f[s] * (x >> self.bits) + slot - self.c[s]
             under = x < LOW
@@ -240,4 +240,5 @@ def op7_token_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = encode_documents(documents(spark, sf_dir, "doc_id", "text"))
     rows = read_ids(spark, path).select(
         "shard", "block", "place", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    rows = stored(spark, rows, "read")  # the sums below read it several times
     return document_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -24,7 +24,7 @@ _WORD = re.compile(f"([ \n]?)([{_LETTERS}]+)([.,!?;:]*)")
 _LOWER = re.compile("()([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
 
 SLICE_BYTES = 6 << 20  # text bytes laid out at a time
-KEEP_CHUNKS = 800_000  # chunks a worker remembers before it starts anew
+KEEP_CHUNKS = 800_000  # chunks a worker remembers before it drops the rarer half
 KEEP_WORDS = 200_000  # and words
 KEEP_CHARS = 64  # longer chunks are not remembered
 
@@ -84,9 +84,38 @@ class Encoder:
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.words: dict[str, list[int]] = {"": []}
-        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.starts, self.lengths, self.hits = (np.zeros(1024, np.int64) for _ in range(3))
         self.flat, self.used, self.n = np.zeros(4096, np.uint32), 0, 0
 
+    def _ids(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of remembered chunks one after another, and where each chunk's ids end."""
+        lengths = self.lengths[entry]
+        ends = np.cumsum(lengths)
+        source = np.repeat(self.starts[entry] - (ends - lengths), lengths)
+        source += np.arange(len(source))
+        return self.flat[source], ends
+
+    def _drop_rare(self) -> None:
+        """Keeps the half of the chunks that was met more often, with halved counts."""
+        hits = self.hits[:self.n]
+        keep = np.flatnonzero(hits > np.median(hits))
+        chunks = list(self.place)  # in the order of their places
+        flat, ends = self._ids(keep)
+        lengths, hits = self.lengths[keep], hits[keep] // 2
+        self.forget()
+        self._reserve(len(keep), len(flat))
+        self.flat[:len(flat)], self.lengths[:len(keep)], self.hits[:len(keep)] = flat, lengths, hits
+        self.starts[:len(keep)] = ends - lengths
+        self.used, self.n = len(flat), len(keep)
+        self.place = {chunks[k]: at for at, k in enumerate(keep.tolist())}
+
+    def _reserve(self, chunks: int, ids: int) -> None:
+        while self.used + ids > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + chunks > len(self.starts):
+            self.starts, self.lengths, self.hits = (
+                np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths, self.hits))
+
     def whole(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
@@ -142,11 +171,7 @@ class Encoder:
         rows = [(found[c] if c in found else self.whole(c)) if r is None else r for c, r in zip(chunks, rows)]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         total = int(lengths.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + len(rows) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        self._reserve(len(rows), total)
         if rows:
             self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(rows), np.uint32, total)
         self.starts[self.n:self.n + len(rows)] = self.used + np.cumsum(lengths) - lengths
@@ -175,7 +200,7 @@ class Encoder:
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
         if self.n + len(words) > KEEP_CHUNKS:
-            self.forget()
+            self._drop_rare()
         get = self.place.get
         at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
@@ -184,12 +209,8 @@ class Encoder:
             self._add([words[k] for k in missing])
             at[missing] = first + np.arange(len(missing))
         entry = at[coded.indices.to_numpy()] if len(chunks) else np.zeros(0, np.int64)
-        lengths = self.lengths[entry]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.repeat(self.starts[entry] - (ends - lengths), lengths)
-        source += np.arange(total)
-        ids = self.flat[source]
+        self.hits[:self.n] += np.bincount(entry, minlength=self.n)
+        ids, ends = self._ids(entry)
         bounds = np.concatenate([[0], ends])[np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()]
         if odd:
             parts = np.split(ids, bounds[:-1]) if len(bounds) else []
