@@ -6,9 +6,11 @@ documents share a table exactly if they share a half key in both collections. Ca
 full shingle sets.
 
 Documents with the same set are one class from the start. In every bucket, all classes are first compared with the
-bucket's smallest; after the links found so far are joined into components, only pairs in one bucket whose
-components still differ are compared. So a bucket of any size costs its own length when it is one group, no link
-between components is lost, and no bucket is cut short.
+bucket's smallest, and the links found are joined into components. Classes that buckets tie together form a cluster;
+where a cluster still has several components, its classes are put into blocks by component, and one task per two blocks
+compares every class with every other by marking its shingles in the blocks' list, giving a spanning forest. Two blocks
+of one component are left out. So a group of near copies costs its own length, no pairs are written for the
+rest, no link between components is lost, and no bucket is cut short.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, documents, stored
@@ -25,6 +27,7 @@ from .shingles import mix64, shingle_sets
 from .tokenize import slices
 
 HALVES = 16  # half keys in each of the two collections: 256 tables from 32 half keys
+BLOCK_SHINGLES = 400_000  # shingles of the classes in a block, about
 HALF_HASHES = 3  # min-hashes in a half key: at similarity 0.8 a pair is in no common table with chance 2e-5
 PERCENT = 80
 
@@ -110,6 +113,36 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b")
 
 
+def _block_links(percent: int):
+    """A spanning forest of the links between two blocks (or inside one), as pairs of class and root."""
+
+    def link(part):
+        import pandas as pd
+        part = part.sort_values(["block", "rep"])
+        reps, size = part["rep"].to_numpy(), part["shingles"].map(len).to_numpy(np.int64)
+        ids = np.unique(np.concatenate(part["shingles"].to_list()), return_inverse=True)[1]
+        begin = np.cumsum(size) - size
+        inside = part["b1"].iloc[0] == part["b2"].iloc[0]
+        second = len(reps) if inside else int((part["block"] == part["b1"]).sum())
+        mark, root = np.zeros(int(ids.max()) + 1, bool), np.arange(len(reps))
+        for k in range(second):
+            to = k + 1 if inside else second  # compare with those after it, or with the other block
+            if to >= len(reps):
+                break
+            own = ids[begin[k]:begin[k] + size[k]]
+            mark[own] = True
+            common = np.add.reduceat(mark[ids[begin[to]:]], begin[to:] - begin[to], dtype=np.int64)
+            mark[own] = False
+            hit = to + np.flatnonzero(100 * common >= percent * (size[k] + size[to:] - common))
+            if len(hit):
+                tied = np.unique(root[np.append(hit, k)])
+                root[np.isin(root, tied)] = tied[0]
+        some = root != np.arange(len(reps))
+        return pd.DataFrame({"a": reps[some], "b": reps[root[some]]})
+
+    return link
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, halves: int = HALVES,
                     hashes: int = HALF_HASHES) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept (doc_id = component_id), a row per row.
@@ -142,8 +175,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     keys = tables.select("rep", F.explode("first").alias("f"), "second").select(
         "rep", "f", F.explode("second").alias("s")).select("rep", F.xxhash64("f.k", "f.half", "s.k", "s.half").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("y")).where("a < y").select("key", "a")
-    members = stored(spark, keys.join(buckets, "key"), "members")
-    stars = stored(spark, members.where("a < rep").select("a", F.col("rep").alias("b")).distinct(), "pairs")
+    stars = stored(spark, keys.join(buckets, "key").where("a < rep").select("a", F.col("rep").alias("b")).distinct(), "pairs")
 
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
     # Only the classes' smallest documents are read again; one row each, also where rows repeat.
@@ -157,29 +189,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     links = stored(spark, confirmed(fitting, sets, percent), "links")
 
     comp = stored(spark, components(spark, links), "components")
-    # Buckets that hold more than one component: compare across components only.
-    placed = members.select("key", "rep").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").join(
-        sizes, "rep").select("key", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    placed = stored(spark, placed.join(mixed, "key", "left_semi"), "mixed")
-    x, y = placed.alias("x"), placed.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                    & ratio(F.col("x.n_shingles"), F.col("y.n_shingles"))).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    across = stored(spark, across.join(stars, ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        more = stored(spark, confirmed(across, sets, percent), "links")
-        if not more.isEmpty():
-            names = comp.select(F.col("node"), "component")
-            renamed = more.join(names.withColumnRenamed("node", "a").withColumnRenamed("component", "ca"), "a", "left").join(
-                names.withColumnRenamed("node", "b").withColumnRenamed("component", "cb"), "b", "left").select(
-                F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-            top = components(spark, renamed)
-            all_nodes = names.union(more.select(F.col("a").alias("node"), F.col("a").alias("component"))).union(
-                more.select(F.col("b").alias("node"), F.col("b").alias("component"))).groupBy("node").agg(
-                F.min("component").alias("component"))
-            comp = stored(spark, all_nodes.join(top.select(F.col("node").alias("component"), F.col("component").alias("top")),
-                                                "component", "left").select("node", F.coalesce("top", "component").alias("component")), "components")
+    # Clusters of classes that buckets tie together; those with several components are compared in blocks.
+    clusters = stored(spark, components(spark, stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
+    placed = clusters.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").join(sizes, "rep").select(
+        "cluster", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles")
+    mixed = placed.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("cluster")
+    so_far = F.sum("n_shingles").over(Window.partitionBy("cluster").orderBy("component", "rep"))
+    placed = stored(spark, placed.join(mixed, "cluster", "left_semi").withColumn(
+        "block", F.floor((so_far - F.col("n_shingles")) / BLOCK_SHINGLES)), "blocks")
+    blocks = placed.groupBy("cluster", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    one = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
+    tasks = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.block") <= F.col("y.block")) & ~one).select(
+        "x.cluster", F.col("x.block").alias("b1"), F.col("y.block").alias("b2"))
+    tasks = tasks.withColumn("block", F.explode(F.array_distinct(F.array("b1", "b2"))))
+    rows_in = placed.select("cluster", "block", "rep").join(tasks, ["cluster", "block"]).join(
+        sets.withColumnRenamed("doc_id", "rep"), "rep")
+    more = rows_in.groupBy("cluster", "b1", "b2").applyInPandas(_block_links(percent), "a long, b long")
+    comp = components(spark, links.union(more))
 
     named = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").where(
         (F.col("n") > 1) | F.col("component").isNotNull()).select(*key, F.coalesce("component", "rep").alias("component_id"))
