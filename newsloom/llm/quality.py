@@ -22,12 +22,12 @@ from .common import stored
 
 BUCKETS = 1 << 14
 RANK = 8
-SAMPLE_ROWS = 6_000  # labelled rows that the machine is fitted on, at most
-EPOCHS = 12
+SAMPLE_ROWS = 3_000  # labelled rows that the machine is fitted on, at most
+EPOCHS = 10
 DENSE = 16
 
 _HASHES: dict[bytes, int] = {}
-_KEEP = 400_000
+_KEEP = 150_000
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
@@ -145,12 +145,23 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                  *[pa.array([f[k].tobytes() for f in found], pa.binary()) for k in range(3)]],
                 ["doc_id", "quality", "at", "value", "dense"])
 
-    # At most sample_rows small rows are broadcast, and as many feature rows reach the driver.
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").mapInArrow(
-        see, "doc_id long, quality int, at binary, value binary, dense binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["at"], r["value"], r["dense"]))
-    return fit([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"], np.float32),
-                 np.frombuffer(r["dense"], np.float32), r["quality"]) for r in rows])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["at"], r["value"], r["dense"]))
+        m = fit([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"], np.float32),
+                  np.frombuffer(r["dense"], np.float32), r["quality"]) for r in rows])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([m.bias], pa.float64()), pa.array([m.weights.tobytes()], pa.binary()),
+             pa.array([m.factors.tobytes()], pa.binary())], ["bias", "weights", "factors"])
+
+    # At most sample_rows small rows are broadcast; as many feature rows meet in the one task that fits the machine.
+    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").mapInArrow(
+        see, "doc_id long, quality int, at binary, value binary, dense binary")
+    found = seen.repartition(1).mapInArrow(learn, "bias double, weights binary, factors binary").collect()
+    if not found:
+        return fit([])
+    factors = np.frombuffer(found[0]["factors"])
+    return Machine(found[0]["bias"], np.frombuffer(found[0]["weights"]), factors.reshape(-1, RANK))
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", out: str = "score") -> DataFrame:

@@ -14,7 +14,7 @@ _TABLE[9:14] = 32
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 _HASHES: dict[str, int] = {}
-_KEEP = 500_000
+_KEEP = 250_000
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

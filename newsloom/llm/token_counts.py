@@ -51,9 +51,12 @@ def write_flat(docs: DataFrame, folder: str, vocabulary: Vocabulary = WORD_BPE,
                 ordinal += n
         store.move(draft, f"{top}/{name}")
 
+    spark = docs.sparkSession
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)  # also there when no partition writes
+    top.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(top)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         write, "file string, ordinal long, doc_id long")
-    return stored(docs.sparkSession, rows, "places")
+    return stored(spark, rows, "places")
 
 
 def separator_scan(spark: SparkSession, folder: str, end_id: int = END_ID, width: int = 2,

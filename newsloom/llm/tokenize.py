@@ -24,8 +24,8 @@ _WORD = re.compile(f"([ \n]?)([{_LETTERS}]+)([.,!?;:]*)")
 _LOWER = re.compile("()([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
 
 SLICE_BYTES = 6 << 20  # text bytes laid out at a time
-KEEP_CHUNKS = 800_000  # chunks a worker remembers before it drops the rarer half
-KEEP_WORDS = 200_000  # and words
+KEEP_CHUNKS = 600_000  # chunks a worker remembers before it drops the rarer half
+KEEP_WORDS = 150_000  # and words
 KEEP_CHARS = 64  # longer chunks are not remembered
 
 _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
