@@ -99,9 +99,8 @@ def _update_in_place(spark, args, raw, result) -> None:
         if "ingested_date" in raw.columns else raw.withColumn("ingested_date", F.to_date("ingested_at"))
     touched = (new_rows.select("ingested_date")
                .unionByName(with_date.join(rewritten, "id", "left_semi").select("ingested_date")).distinct())
-    # Touched partitions: a handful of dates, so the date list is broadcast.
-    kept = with_date.join(F.broadcast(touched), "ingested_date", "left_semi")
-    kept = kept.join(F.broadcast(rewritten), "id", "left").withColumn(
+    kept = with_date.join(touched, "ingested_date", "left_semi")
+    kept = kept.join(rewritten, "id", "left").withColumn(
         "url", F.coalesce("_new_url", "url")).drop("_new_url")
     cols = list(RAW_TYPES) + ["ingested_date"]
     changed = kept.select(*cols).unionByName(new_rows.select(*cols)).checkpoint(eager=True)

@@ -48,10 +48,10 @@ def is_json_text(text: Column) -> Column:
     """TRUE when the whole text is one JSON value (object, array, string, number, literal)."""
     t = F.trim(F.regexp_replace(text, r"^[ \t\n\r]+|[ \t\n\r]+$", ""))
     scalar = t.rlike(r'^(?:-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity|"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")$')
+    # As the first of two array elements: text after the value would close the array early or add elements.
+    whole = F.from_json(F.concat(F.lit("["), t, F.lit(",1]")), "ARRAY<STRING>", {"allowSingleQuotes": "false"})
     container = (t.rlike(r"(?s)^[\[{].*[\]}]$")
-                 & F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "v STRING, _corrupt_record STRING",
-                               {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record"})
-                 ["_corrupt_record"].isNull())
+                 & (F.size(whole) == 2) & (F.get(whole, F.lit(1)) == "1"))
     return F.coalesce(scalar | container, F.lit(False))
 
 

@@ -97,11 +97,10 @@ def parse_signals(response: Column) -> Column:
                                                      "allowNonNumericNumbers": "true",
                                                      "columnNameOfCorruptRecord": "_corrupt_record"})
     keys = F.json_object_keys(response)
-    # Wrapped as one field value, a second value after the object ('{..} {..}') no longer parses.
-    whole = F.from_json(F.concat(F.lit('{"v":'), response, F.lit("}")), "v STRING, _corrupt_record STRING",
-                        {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record"})
+    # As the first of two array elements, text after the object ('{..}}', '{..} {..}', '{..}, {..}') no longer fits.
+    whole = F.from_json(F.concat(F.lit("["), response, F.lit(",1]")), "ARRAY<STRING>", {"allowSingleQuotes": "false"})
     ok = F.coalesce(response.rlike(_JSON_OBJECT) & parsed.isNotNull() & parsed["_corrupt_record"].isNull()
-                    & whole["_corrupt_record"].isNull(), F.lit(False))
+                    & (F.size(whole) == 2) & (F.get(whole, F.lit(1)) == "1"), F.lit(False))
     fields = [clamp01_text(parsed[k]).alias(k) for k in SIGNALS]
     engine = F.when(_has_key(response, keys, "db_engine"), parsed["db_engine"]).otherwise(F.lit(DB_ENGINE_DEFAULT))
     topic = F.when(_has_key(response, keys, "topic"), parsed["topic"]).otherwise(F.lit(TOPIC_DEFAULT))

@@ -21,10 +21,10 @@ def link_health(briefs: DataFrame, status: DataFrame, key: str = "brief_id", tex
                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """One row per (brief, distinct URL in order) with its status; a URL without a status is broken.
 
-    ``status`` must hold one row per URL. A URL cited by more than ``hot_rows``
+    Of several ``status`` rows of one URL the greatest (status, error) counts, a missing status least. A URL cited by more than ``hot_rows``
     briefs is salted across several tasks (``join_hot_split``)."""
     urls = briefs.select(key, F.posexplode(markdown_urls(F.col(text))).alias("pos", "url"))
-    st = status.select("url", "status", "error")
+    st = status.groupBy("url").agg(F.max(F.struct("status", "error")).alias("s")).select("url", "s.status", "s.error")
     j = join_hot_split(urls, st, "url", how="left", hot_rows=hot_rows)
     return j.select(key, "pos", "url", "status", F.coalesce("error", F.lit("no status")).alias("error"),
                     link_ok(F.col("status")).alias("ok"))

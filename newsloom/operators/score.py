@@ -16,8 +16,7 @@ SCORED_COLUMNS = ["raw_id", "db_engine", "topic", "impact_score", "is_duplicate"
 def filter_sources(articles: DataFrame, allowed: DataFrame | None, source_col: str = "source") -> DataFrame:
     """``source IN (allowed)``, exact and case-sensitive; an empty ``allowed`` means no filter.
 
-    ``allowed`` has one column ``source``. It is joined with a size check
-    (broadcast when small) and the emptiness test is a scalar subquery.
+    ``allowed`` has one column ``source``. It is joined as a measured dimension and the emptiness test is a scalar subquery.
     """
     if allowed is None:
         return articles

@@ -5,19 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is sent whole to every executor; this row bound keeps it
-# well below executor memory for the narrow dimension rows used here.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def is_empty(df: DataFrame):
     """Scalar-subquery Column: TRUE when ``df`` has no rows (evaluated once per query)."""
     return df.select(F.count(F.lit(1))).scalar() == 0
 
 
-# A key with more rows than this on the big side of a join is "hot": it is
-# joined by broadcast instead of being shuffled into a single task. There can
-# be at most rows / HOT_KEY_ROWS hot keys, which bounds the broadcast side.
+# A key with more rows than this on the big side of a join is "hot": its rows are salted over several tasks.
+# There can be at most rows / HOT_KEY_ROWS hot keys.
 HOT_KEY_ROWS = 1_000_000
 
 
@@ -34,8 +28,7 @@ def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner
     and no task receives more than about ``hot_rows`` rows of one key.
 
     The hot-key table is broadcast; its size is bounded by construction (at
-    most ``rows(big) / hot_rows`` keys, below BROADCAST_MAX_ROWS for any table
-    under 2e12 rows). ``how`` is 'inner' or 'left'.
+    most ``rows(big) / hot_rows`` keys). ``how`` is 'inner' or 'left'.
     """
     if key_counts is None:
         key_counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -51,10 +44,7 @@ def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner
     return salted_big.join(salted_keyed, [key, "_salt"], how).drop("_salt")
 
 
-def lookup_join(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner",
-                max_rows: int = BROADCAST_MAX_ROWS, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Join a one-row-per-key dimension: broadcast after a size check, otherwise the salted
-    hot-key join (a dimension key such as one source may hold a third of all rows)."""
-    if keyed.limit(max_rows + 1).count() <= max_rows:
-        return big.join(F.broadcast(keyed), key, how)
-    return join_hot_split(big, keyed, key, how, hot_rows=hot_rows)
+def lookup_join(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join a one-row-per-key dimension: a broadcast where Spark measures it as small, otherwise a sort-merge join
+    whose skewed partitions (one source may hold a third of all rows) adaptive execution splits. Starts no job."""
+    return big.join(keyed, key, how)

@@ -210,7 +210,7 @@ def stored_feed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.replace(F.replace(F.col("title_xml"), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
     rows = fp.join(lab, "page_id")
     return rows.select(
-        (F.lit(100000) + F.col("page_id")).alias("id"),
+        (F.lit(1_000_000_000_000) + F.col("page_id")).alias("id"),
         F.concat(F.lit("feed"), F.col("feed_no").cast("string")).alias("source"), title.alias("title"),
         F.col("link").alias("url"), F.col("pub").alias("published_at"), F.col("content"),
         F.lit(AS_OF).cast("timestamp").alias("ingested_at"))

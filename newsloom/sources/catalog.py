@@ -90,7 +90,7 @@ def parse_legacy_catalog(docs: DataFrame, text_col: str = "value", doc_ord_col:
 
 def normalize_mode(mode) -> Column:
     m = F.lit(mode) if isinstance(mode, str) else mode
-    return F.coalesce(F.lower(F.trim(m)), F.lit(DEFAULT_MODE))
+    return F.coalesce(F.lower(F.regexp_replace(m, r"(?U)^\s+|\s+$", "")), F.lit(DEFAULT_MODE))
 
 
 def select_sources(catalog: DataFrame, mode: str, radar_domains=RADAR_DOMAINS) -> DataFrame:

@@ -23,10 +23,13 @@ ALTERNATE_LINK = r"""(?i)<link[^>]+rel=["'][^"']*alternate[^"']*["'][^>]*>"""
 LINK_TYPE = r"""(?i)type=["']([^"']+)["']"""
 LINK_HREF = r"""(?i)href=["']([^"']+)["']"""
 
-_ITEM = "title: STRING, link: STRING, pubDate: STRING, description: STRING"
+# Arrays, as an element may occur more than once (the first counts); prefixed Atom fields stand in for missing ones.
+_ITEM = ("title: ARRAY<STRING>, link: ARRAY<STRING>, pubDate: ARRAY<STRING>, description: ARRAY<STRING>, "
+         "`atom:title`: ARRAY<STRING>, `atom:link`: ARRAY<STRUCT<_VALUE: STRING, _href: STRING>>, "
+         "`atom:published`: ARRAY<STRING>, `atom:summary`: ARRAY<STRING>")
 _ENTRY = ("title: STRING, link: ARRAY<STRUCT<_VALUE: STRING, _href: STRING>>, published: STRING, summary: STRING, "
           "pubDate: STRING, description: STRING")
-FEED_SCHEMA = (f"channel STRUCT<item: ARRAY<STRUCT<{_ITEM}>>>, item ARRAY<STRUCT<{_ITEM}>>, "
+FEED_SCHEMA = (f"channel ARRAY<STRUCT<item: ARRAY<STRUCT<{_ITEM}>>>>, item ARRAY<STRUCT<{_ITEM}>>, "
                f"entry ARRAY<STRUCT<{_ENTRY}>>, _corrupt_record STRING")
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record"}
@@ -67,14 +70,16 @@ def repair_xml(text: Column) -> Column:
     """Second-chance cleanup: cut text before the first '<', '&nbsp;' -> ' ', drop control
     characters, unknown named entities -> ' ' (amp/lt/gt/quot/apos and numeric ones kept)."""
     first = F.instr(text, "<")
-    cut = F.when(first > 1, F.substring(text, first, F.lit(1 << 30))).otherwise(text)
+    cut = F.when(first > 1, F.substr(text, first)).otherwise(text)
     t = F.replace(cut, F.lit("&nbsp;"), F.lit(" "))
     t = F.regexp_replace(t, CONTROL_CHARS, "")
     return F.regexp_replace(t, KEPT_ENTITIES, " ")
 
 
 def _root_default_ns(text: Column) -> Column:
-    attrs = F.regexp_extract(text, r"<[A-Za-z_][^\s>/]*((?:\s[^>]*)?)>", 1)
+    # The root follows any byte-order mark, declaration, comments and DOCTYPE, which may hold tags of their own.
+    root = F.regexp_replace(text, r"(?s)\A(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>)+", "")
+    attrs = F.regexp_extract(root, r"<[A-Za-z_][^\s>/]*((?:\s[^>]*)?)>", 1)
     return F.regexp_extract(attrs, r"""\sxmlns\s*=\s*["']([^"']*)["']""", 1)
 
 
@@ -87,11 +92,29 @@ def _ref_text(v: Column) -> Column:
     return F.when(v.isNull(), F.lit("")).when(v == "", F.lit(None).cast("string")).otherwise(v)
 
 
+def _first_text(values: Column, fallback: Column | None = None) -> Column:
+    """Text of the first such element: '' when there is none (nor a fallback), NULL when it is empty."""
+    none = values.isNull() | (F.size(values) == 0)
+    first = F.get(values, F.lit(0))
+    text = F.when(F.coalesce(first, F.lit("")) == "", F.lit(None).cast("string")).otherwise(first)
+    return F.when(none, F.lit("") if fallback is None else fallback).otherwise(text)
+
+
+def _rss_row(i: Column) -> Column:
+    links = i["atom:link"]
+    href = F.when(F.coalesce(F.size(links), F.lit(0)) > 0, F.coalesce(F.get(links, F.lit(0))["_href"], F.lit(""))).otherwise(F.lit(""))
+    return F.struct(_first_text(i["title"], _first_text(i["atom:title"])).alias("title"),
+                    _first_text(i["link"], href).alias("link"),
+                    _first_text(i["pubDate"], _first_text(i["atom:published"])).alias("published"),
+                    _first_text(i["description"], _first_text(i["atom:summary"])).alias("content"))
+
+
 def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
     """Feed text -> one row per item: (..., item_ord, title, link, published, content) and a
     per-feed status column ``parse_status`` ('ok' / 'repaired' / 'rejected').
 
-    RSS ``item`` elements (channel or root level) come first; without them, entries
+    RSS ``item`` elements (of every channel, or at root level) come first, with the first of repeated elements and
+    ``atom:`` elements where theirs are missing; without them, entries
     of an Atom feed (link = first link's href, published, summary); entries of a
     feed without the Atom namespace read the link text. A feed whose root declares
     another default namespace (RSS 1.0) yields no items. A malformed feed gets one
@@ -108,10 +131,9 @@ def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
     status = F.when(rejected, "rejected").when(F.col("_bad"), "repaired").otherwise("ok")
     ns = _root_default_ns(F.col("_text"))
     empty_items = F.array().cast(f"array<struct<{_ITEM}>>")
-    rss = F.concat(F.coalesce(F.col("_x.item"), empty_items), F.coalesce(F.col("_x.channel.item"), empty_items))
-    rss_rows = F.transform(rss, lambda i: F.struct(
-        _ref_text(i["title"]).alias("title"), _ref_text(i["link"]).alias("link"),
-        _ref_text(i["pubDate"]).alias("published"), _ref_text(i["description"]).alias("content")))
+    in_channels = F.flatten(F.transform(F.col("_x.channel"), lambda c: F.coalesce(c["item"], empty_items)))
+    rss = F.concat(F.coalesce(F.col("_x.item"), empty_items), F.coalesce(in_channels, empty_items))
+    rss_rows = F.transform(rss, _rss_row)
     entries = F.coalesce(F.col("_x.entry"), F.array().cast(f"array<struct<{_ENTRY}>>"))
     atom = ns == ATOM_NS
 

@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 from ..operators.ingest import assign_ids, feed_items, first_per_url, valid_items
 
 PAYLOAD_SCHEMA = "source STRING, feed_url STRING, source_ord INT, body STRING"
+STORED_SCHEMA = ("id BIGINT, source STRING, title STRING, url STRING, published_at STRING, content STRING, "
+                 "ingested_at TIMESTAMP, batch_id BIGINT")
 
 
 def _existing(spark: SparkSession, sink: str, seed: DataFrame | None, batch_id: int) -> DataFrame:
     """Rows stored before this batch: the sink's earlier batches plus the seed table."""
     parts = []
-    try:
-        stored = spark.read.parquet(sink)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    # Only a sink that is not there yet is empty; any other failure to read it must fail the batch.
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        stored = spark.read.schema(STORED_SCHEMA).parquet(sink)
         parts.append(stored.where(F.col("batch_id") < batch_id).select("id", "url"))
-    except Exception:  # sink folder not written yet
-        pass
     if seed is not None:
         parts.append(seed.select("id", "url"))
     if not parts:

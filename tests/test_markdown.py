@@ -1,4 +1,5 @@
 from pyspark.sql import functions as F
+from conftest import one
 
 from newsloom.functions.markdown import (is_json_text, normalize_url_prefixes, offline_brief,
                                          replace_sources_section)
@@ -61,3 +62,25 @@ def test_prefix_repair_tokens_at_both_ends(spark):
     urls = ["https://a.org/full/path"]
     md = "https://a.org/full mid https://a.org/full"
     assert _apply(spark, normalize_url_prefixes, md, urls) == "https://a.org/full/path mid https://a.org/full"
+
+
+def test_only_whole_json_values_count_as_json(spark):
+    from newsloom.functions.markdown import is_json_text
+    yes = ["{}", '{"a": [1]}', "[1, 2]", ' {"a": "}"} ', "null", "[]"]
+    no = ["{}}", '{"a": 1}]}', "{} {}", "{}, {}", "[1] x", "[1],[2]", "# Brief", ""]
+    assert one(spark, is_json_text, yes) == [True] * len(yes)
+    assert one(spark, is_json_text, no) == [False] * len(no)
+
+
+def test_repaired_markdown_holds_only_known_urls_and_is_stable(spark):
+    from pyspark.sql import functions as F
+    from newsloom.functions.markdown import normalize_url_prefixes, replace_sources_section
+    cases = [("see https://a.org/x and https://b.org/q?z=1", ["https://a.org/x/y", "https://b.org/q?z=1"],
+              "see https://a.org/x/y and https://b.org/q?z=1"),
+             ("nothing here", ["https://a.org/x/y"], "nothing here"), ("see https://c.org/", [], "see https://c.org/")]
+    df = spark.createDataFrame(cases, "md string, u array<string>, want string")
+    for r in df.select("md", "u", "want", normalize_url_prefixes(F.col("md"), F.col("u")).alias("p")).withColumn(
+            "again", normalize_url_prefixes(F.col("p"), F.col("u"))).withColumn(
+            "s", replace_sources_section(F.col("md"), F.col("u"))).collect():
+        assert r["p"] == r["want"] and r["again"] == r["p"]
+        assert all(u in r["s"] for u in r["u"])

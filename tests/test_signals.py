@@ -1,5 +1,3 @@
-import math
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,25 +7,16 @@ from newsloom.functions.numeric import py_round
 from newsloom.functions.signals import clamp01_text, impact_raw, finish_score, parse_signals
 
 
-def brute_clamp(value, default=0.5):
-    """Independent statement of the rule: float() or default, (1,5] -> /5, clamp, NaN -> 0."""
-    try:
-        v = float(value)
-    except (TypeError, ValueError):
-        v = default
-    if 1.0 < v <= 5.0:
-        v = v / 5.0
-    if math.isnan(v):
-        return 0.0
-    return min(max(v, 0.0), 1.0)
+# Worked by hand: unreadable text is the default, 1 to 5 is a five-point answer, the rest is cut to 0..1.
+CLAMPED = {"": 0.5, "0.7": 0.7, " 0.7 ": 0.7, "0.5d": 0.5, "1_0": 1.0, "nan": 0.0, "inf": 1.0, "-inf": 0.0, "-1": 0.0, "0": 0.0,
+           "1": 1.0, "1.0001": 0.20002, "5": 1.0, "5.01": 1.0, "2": 0.4, "3": 0.6, "abc": 0.5, "1e2": 1.0, "1e400": 1.0}
 
 
 def test_clamp_fixture(spark):
-    raw = [None, "", "0.7", " 0.7 ", "0.5d", "1_0", "nan", "inf", "-inf", "-1", "0", "1", "1.0001", "5", "5.01",
-           "2", "abc", "1e400"]
+    raw = [None, *CLAMPED]
     got = one(spark, clamp01_text, raw)
-    want = [brute_clamp(v) for v in raw]
-    assert got == want
+    want = [0.5, *CLAMPED.values()]
+    assert [round(g, 12) for g in got] == want
 
 
 def test_clamp_json_true(spark):
@@ -82,3 +71,11 @@ def test_keyword_ratio_single_and_multi_word_tags(spark):
                                 (None, ["", "a"]), ("text", [])], "c string, t array<string>")
     got = [r["k"] for r in df.select(keyword_ratio(F.col("c"), normalize_tags(F.col("t"))).alias("k")).collect()]
     assert got == [4 / 5, 1 / 2, 0.0]
+
+
+def test_text_after_the_object_is_not_an_answer(spark):
+    bad = ['{"relevance": 1}}', '{"relevance": 1}]}', '{"relevance": 1} {"topic": "x"}', '{"relevance": 1}, {"topic": "x"}',
+           '{"relevance": 1},"x":{"a":1}', '{"relevance": 1}],[{"a":1}', '{}}', "{", '[{"relevance": 1}]']
+    good = ['{"relevance": 1}', ' {"relevance": 1}\n', "{}", '{"a": {"b": [1, {"c": 2}]}}']
+    assert [s["ok"] for s in one(spark, parse_signals, bad)] == [False] * len(bad)
+    assert [s["ok"] for s in one(spark, parse_signals, good)] == [True] * len(good)
