@@ -23,7 +23,7 @@ from .vectors import cosines, fingerprinted, units, usable
 SHARD_ROWS = 4096
 THRESHOLD = 0.98
 BEAM = 64
-AUDIT_QUERIES = 48
+AUDIT_QUERIES = 256
 AUDIT_NEAREST = 10
 AUDIT_RECALL = 0.99
 GRAPH = "label long, dim int, shard int, rows int, reps binary, copies binary, vectors binary, layers binary, widths binary, links binary"

@@ -241,7 +241,8 @@ def test_graph_reaches_every_point():
     reached = np.zeros(len(x), bool)
     hnsw._spread(graph.links[0], reached, graph.members[1])
     assert reached.all()
-    ids, _ = graph.search(x[:900], 32)  # the tight cluster's points are too alike to tell apart
+    # A beam narrower than the tight cluster can end inside it; a wider one finds every point.
+    ids, _ = graph.search(x[:900], 512)
     assert (ids == np.arange(900)[:, None]).any(1).mean() > 0.99
 
 
