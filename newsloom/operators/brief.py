@@ -48,34 +48,27 @@ def adaptive_briefs(eligible: DataFrame, as_of, group_cols=(), k: int = TOP_K,
     even that is empty, all time (NULL ``ingested_at`` included). Windows have no
     upper bound. Ties on score go to the smaller id.
 
-    One pass: per-(brief, bucket) top-k with a partial window-group limit (each
-    task ships at most k rows per bucket) and per-brief bucket counts from a
-    partial aggregate. They meet in an equi join on the brief key; no scan is
-    repeated and no group is collected.
+    One pass: per-(brief, bucket) top rows with a partial window-group limit (each
+    task ships at most ``max(k, min_rows)`` rows per bucket). The window is chosen
+    from the kept rows, at most six buckets of them per brief, so the input is
+    evaluated once.
     """
     as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     g = list(group_cols)
     b = eligible.withColumn("_bucket", _bucket(F.col("ingested_at"), as_of_col))
     order = [F.col("impact_score").desc(), F.col("id").asc()]
+    keep = max(k, min_rows)
     top = (b.withColumn("_rn", F.row_number().over(Window.partitionBy(*g, "_bucket").orderBy(*order)))
-           .where(F.col("_rn") <= k).drop("_rn"))
+           .where(F.col("_rn") <= keep).drop("_rn"))
+    # Only ">= min_rows" and "> 0" are asked of the counts, so counts of the kept rows decide as those of all rows do.
     n = len(WINDOWS_DAYS)
-    count_cols = [*[F.count_if(F.col("_bucket") <= i).alias(f"_c{i}") for i in range(n)],
-                  F.count(F.lit(1)).alias("_call")]
-    chosen = F.lit(None).cast("int")
-    chosen = F.when(F.col("_call") > 0, F.lit(n)).otherwise(chosen)
-    chosen = F.when(F.col(f"_c{n - 1}") > 0, F.lit(n - 1)).otherwise(chosen)
+    brief = Window.partitionBy(*g)
+    counts = [F.count_if(F.col("_bucket") <= i).over(brief) for i in range(n)]
+    chosen = F.when(counts[n - 1] > 0, F.lit(n - 1)).otherwise(F.lit(n))
     for i in reversed(range(n)):
-        chosen = F.when(F.col(f"_c{i}") >= min_rows, F.lit(i)).otherwise(chosen)
-    if g:
-        counts = b.groupBy(*g).agg(*count_cols).select(*g, chosen.alias("_chosen"))
-        picked = top.join(counts, g)
-    else:
-        # One brief: the chosen window is a scalar subquery (evaluated once), no join.
-        picked = top.withColumn("_chosen", b.agg(*count_cols).select(chosen).scalar())
-    picked = picked.where(F.col("_bucket") <= F.col("_chosen"))
-    # At most k rows per (brief, bucket) reach this window.
-    ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy(*g).orderBy(*order)))
+        chosen = F.when(counts[i] >= min_rows, F.lit(i)).otherwise(chosen)
+    picked = top.withColumn("_chosen", chosen).where(F.col("_bucket") <= F.col("_chosen"))
+    ranked = picked.withColumn("rank", F.row_number().over(brief.orderBy(*order)))
     days = F.element_at(F.array(*[F.lit(d) for d in WINDOWS_DAYS], F.lit(None).cast("int")), F.col("_chosen") + 1)
     return ranked.where(F.col("rank") <= k).withColumn("window_days", days.cast("int")).drop("_bucket", "_chosen")
 

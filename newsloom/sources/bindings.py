@@ -245,9 +245,13 @@ def _gzip(text: pd.Series) -> pd.Series:
 
 
 def page_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pages -> binary payloads: gzip-compressed for even page ids, plain UTF-8 otherwise."""
+    """pages -> binary payloads: gzip-compressed for even page ids; UTF-16 with a byte-order mark (page_id % 4 = 3),
+    UTF-8 with one (% 8 = 5), plain UTF-8 otherwise."""
     p = table(spark, sf_dir, "pages")
-    body = F.when(F.col("page_id") % 2 == 0, _gzip(F.col("html"))).otherwise(F.encode(F.col("html"), "UTF-8"))
+    utf8 = F.encode(F.col("html"), "UTF-8")
+    body = (F.when(F.col("page_id") % 2 == 0, _gzip(F.col("html")))
+            .when(F.col("page_id") % 4 == 3, F.encode(F.col("html"), "UTF-16"))
+            .when(F.col("page_id") % 8 == 5, F.concat(F.unhex(F.lit("EFBBBF")), utf8)).otherwise(utf8))
     return p.select("page_id", body.alias("body"))
 
 

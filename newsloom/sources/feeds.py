@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gzip
+import re
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,6 +33,8 @@ _ENTRY = ("title: STRING, link: ARRAY<STRUCT<_VALUE: STRING, _href: STRING>>, pu
           "pubDate: STRING, description: STRING")
 FEED_SCHEMA = (f"channel ARRAY<STRUCT<item: ARRAY<STRUCT<{_ITEM}>>>>, item ARRAY<STRUCT<{_ITEM}>>, "
                f"entry ARRAY<STRUCT<{_ENTRY}>>, _corrupt_record STRING")
+DECLARED_BYTES = rb"""<\?xml\s[^>]{0,200}?encoding\s*=\s*["']([A-Za-z][A-Za-z0-9._-]*)["']"""
+DECLARED_OTHER = r"""\A<\?xml\s[^>]{0,200}?encoding\s*=\s*["'](?!(?i:utf-?8)["'])"""
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record"}
 
@@ -39,7 +43,8 @@ XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
 
 @pandas_udf(StringType())
 def _inflate_and_decode(body: pd.Series) -> pd.Series:
-    """gunzip when the payload starts with the gzip magic, then UTF-8 with invalid bytes dropped."""
+    """gunzip when the payload starts with the gzip magic, then decode by byte-order mark or XML declaration; where
+    there is none, or the bytes don't fit it, UTF-8 with invalid bytes dropped."""
     def one(b):
         if b is None:
             return None
@@ -47,21 +52,36 @@ def _inflate_and_decode(body: pd.Series) -> pd.Series:
         if b[:2] == b"\x1f\x8b":
             try:
                 b = gzip.decompress(b)
-            except (OSError, EOFError):
+            except (OSError, EOFError, zlib.error):
                 return None
+        if b[:3] == b"\xef\xbb\xbf":
+            return b[3:].decode("utf-8", errors="ignore")
+        codec = {b"\xff\xfe": "utf-16", b"\xfe\xff": "utf-16", b"<\x00": "utf-16-le", b"\x00<": "utf-16-be"}.get(b[:2])
+        if codec is None and (declared := re.match(DECLARED_BYTES, b)):
+            codec = declared.group(1).decode("ascii")
+            if codec.lower().startswith(("utf-16", "utf16", "utf-32", "utf32", "ucs")):
+                codec = None  # a declaration that reads as ASCII isn't in such an encoding
+        if codec:
+            try:
+                return b.decode(codec)
+            except (LookupError, ValueError):
+                pass
         return b.decode("utf-8", errors="ignore")
     return body.map(one)
 
 
 def decode_payload(body: Column, content_encoding: Column | None = None) -> Column:
-    """Payload bytes -> text. Plain valid UTF-8 stays in the JVM; only gzip (magic bytes or a
-    gzip Content-Encoding) or invalid UTF-8 payloads are sent, in Arrow batches, to Python."""
+    """Payload bytes -> text, by byte-order mark or declared encoding, else UTF-8. Plain valid UTF-8 stays in the JVM;
+    only gzip (magic bytes or a gzip Content-Encoding), invalid UTF-8 and other encodings are sent, in Arrow batches,
+    to Python."""
     text = body.cast("string")
     gz = F.substring(body, 1, 2) == F.unhex(F.lit("1F8B"))
     if content_encoding is not None:
         gz = gz | (F.lower(content_encoding) == "gzip")
-    slow = F.coalesce(gz | ~F.is_valid_utf8(text), F.lit(False))
-    return F.when(slow, _inflate_and_decode(F.when(slow, body))).otherwise(text)
+    other = text.rlike(DECLARED_OTHER) | text.rlike(r"\A(?:<\x00|\x00<)")
+    slow = F.coalesce(gz | ~F.is_valid_utf8(text) | other, F.lit(False))
+    plain = F.when(text.startswith("\ufeff"), F.substr(text, F.lit(2))).otherwise(text)
+    return F.when(slow, _inflate_and_decode(F.when(slow, body))).otherwise(plain)
 
 
 # ---- A5/A6 parsing ------------------------------------------------------------------------

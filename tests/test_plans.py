@@ -22,3 +22,14 @@ def test_scoring_scan_reads_only_needed_columns(spark):
     plan = E.queries()["score_weekly"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # documents are read for (doc_id, text, source) only; no lang / n_chars
     assert "n_chars" not in plan and "lang" not in plan
+
+
+def test_adaptive_brief_evaluates_its_input_once(spark):
+    from newsloom.operators.brief import adaptive_briefs
+    from newsloom.plans.queries import eligible
+
+    def relations(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [doc_id")
+    el = eligible(spark, SF_SMALL)
+    for group_cols in ([], ["source"]):
+        assert 0 < relations(adaptive_briefs(el, "2024-01-31", group_cols)) <= relations(el)
