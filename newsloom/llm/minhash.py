@@ -88,19 +88,20 @@ def _prints(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, the set's fingerprint, shingles (the whole set)."""
+    """``docs`` (doc_id, text, key1, key2) -> doc_id, shingles (the whole set), where the set's fingerprint is the keys."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 3 << 20):
                 sets = shingle_sets(part.column("text"), width)
                 prints = _prints(sets)
+                same = (prints[:, 0] == part.column("key1").to_numpy()) & (prints[:, 1] == part.column("key2").to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "key1", "key2", "shingles"])
+                    [part.column("doc_id").filter(pa.array(same)),
+                     pa.array([s.view(np.int64) for s, fits in zip(sets, same) if fits], pa.list_(pa.int64()))],
+                    ["doc_id", "shingles"])
 
-    return docs.mapInArrow(build, "doc_id long, key1 long, key2 long, shingles array<long>")
+    return docs.mapInArrow(build, "doc_id long, shingles array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,10 +179,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     stars = stored(spark, keys.join(buckets, "key").where("a < rep").select("a", F.col("rep").alias("b")).distinct(), "pairs")
 
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
-    # Only the classes' smallest documents are read again; one row each, also where rows repeat.
-    texts = docs.join(wanted, "doc_id", "left_semi")
-    sets = full_sets(texts, width).join(chosen.select("doc_id", "key1", "key2"), ["doc_id", "key1", "key2"], "left_semi")
-    sets = stored(spark, sets.select("doc_id", "shingles").dropDuplicates(["doc_id"]), "sets")
+    # Only the classes' smallest documents are read again, repeated rows once; the join's partitioning serves distinct()
+    # too, so texts move once and sets not at all. Texts of one document that differ but have its set give equal rows,
+    # which find the same links.
+    texts = docs.join(wanted.join(chosen.select("doc_id", "key1", "key2"), "doc_id"), "doc_id").distinct()
+    sets = stored(spark, full_sets(texts, width), "sets")
     sizes = sketch.select("rep", "n_shingles")
     ratio = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  no pair beyond it can reach the similarity
     fitting = stars.join(sizes.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na")), "a").join(
