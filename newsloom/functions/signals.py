@@ -96,11 +96,17 @@ def parse_signals(response: Column) -> Column:
     parsed = F.from_json(response, _RESPONSE_SCHEMA, {"allowSingleQuotes": "false",
                                                      "allowNonNumericNumbers": "true",
                                                      "columnNameOfCorruptRecord": "_corrupt_record"})
-    keys = F.json_object_keys(response)
     # As the first of two array elements, text after the object ('{..}}', '{..} {..}', '{..}, {..}') no longer fits.
     whole = F.from_json(F.concat(F.lit("["), response, F.lit(",1]")), "ARRAY<STRING>", {"allowSingleQuotes": "false"})
-    ok = F.coalesce(response.rlike(_JSON_OBJECT) & parsed.isNotNull() & parsed["_corrupt_record"].isNull()
-                    & (F.size(whole) == 2) & (F.get(whole, F.lit(1)) == "1"), F.lit(False))
+    once = F.struct(parsed.alias("parsed"), F.json_object_keys(response).alias("keys"),
+                    ((F.size(whole) == 2) & (F.get(whole, F.lit(1)) == "1")).alias("alone"), response.alias("text"))
+    return bind(once, _signals_of)
+
+
+def _signals_of(r: Column) -> Column:
+    parsed, keys, response = r["parsed"], r["keys"], r["text"]
+    ok = F.coalesce(response.rlike(_JSON_OBJECT) & parsed.isNotNull() & parsed["_corrupt_record"].isNull() & r["alone"],
+                    F.lit(False))
     fields = [clamp01_text(parsed[k]).alias(k) for k in SIGNALS]
     engine = F.when(_has_key(response, keys, "db_engine"), parsed["db_engine"]).otherwise(F.lit(DB_ENGINE_DEFAULT))
     topic = F.when(_has_key(response, keys, "topic"), parsed["topic"]).otherwise(F.lit(TOPIC_DEFAULT))
@@ -126,12 +132,13 @@ def keyword_ratio(content: Column, tags: Column) -> Column:
     normalised text exactly when it matches the lower-cased raw text; the
     whitespace regex over the whole text runs only for multi-word tags.
     """
-    def hits(low: Column) -> Column:
-        norm_low = F.lower(normalize_text(content))
-        return F.size(F.filter(tags, lambda t: F.when(t.contains(" "), norm_low.contains(t))
-                                                .otherwise(low.contains(t))))
+    # Bound values: the normalised text is built once per row, and only where a tag has several words.
+    several = F.exists(tags, lambda t: t.contains(" "))
+    texts = F.struct(F.lower(F.coalesce(content, F.lit(""))).alias("low"),
+                     F.when(several, F.lower(normalize_text(content))).alias("norm"))
     n = F.size(tags)
-    h = bind(F.lower(F.coalesce(content, F.lit(""))), hits)
+    h = bind(texts, lambda x: F.size(F.filter(tags, lambda t: F.when(t.contains(" "), x["norm"].contains(t))
+                                              .otherwise(x["low"].contains(t)))))
     return F.when(tags.isNull() | (n <= 0), F.lit(0.0)).otherwise(h.cast("double") / n.cast("double"))
 
 
@@ -182,16 +189,3 @@ def with_scores(df: DataFrame, mode: str = "weekly", content: str = "content", t
                 signals: str = "sig") -> DataFrame:
     """Add ``keyword_score`` (DOUBLE) and ``impact_score`` (FLOAT)."""
     return with_impact_score(with_keyword_score(df, content, tags), mode, signals)
-
-
-def impact_score_sql(mode: str = "weekly", **cols: str) -> str:
-    """Same formula as SQL text (shared by the DuckDB oracle)."""
-    from .numeric import py_round_sql
-    weights = AI_RADAR_WEIGHTS if mode == "ai_radar" else WEEKLY_WEIGHTS
-    total = None
-    for name, w in weights:
-        term = f"(({cols[name]}) * CAST({w} AS DOUBLE))"
-        total = term if total is None else f"({total} + {term})"
-    boosted = (f"(CASE WHEN ({cols['domain_weight']}) = CAST({TOP_DOMAIN_WEIGHT} AS DOUBLE) "
-               f"THEN {total} * CAST({TOP_DOMAIN_BOOST} AS DOUBLE) ELSE {total} END)")
-    return py_round_sql(f"least({boosted}, CAST(1.0 AS DOUBLE))", 3)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .score import filter_sources
+from .util import is_empty
 
 # Fixed values that must equal the reference's behaviour.
 WINDOWS_DAYS = (7, 14, 30, 90, 365)
@@ -138,21 +139,29 @@ def adaptive_brief_pruned(raw: DataFrame, scored: DataFrame, as_of: str, thresho
                           allowed: DataFrame | None = None, k: int = TOP_K) -> DataFrame:
     """Single brief that reads only the last 365 days unless that is empty.
 
-    The look-back predicate is applied to ``raw`` before the join, so on a stored
-    table partitioned (or sorted) by ingest date it prunes the scan. Only when no
-    eligible article falls inside 365 days is the all-time selection run, as in
-    the reference. Equal to ``adaptive_briefs`` over the whole table: a non-empty
-    365-day set means the all-time branch is never chosen.
+    The look-back predicate is applied to ``raw`` before the join, so a table
+    partitioned (or sorted) by ingest date prunes its scan. A scalar subquery over the
+    recent rows lifts the predicate when no eligible article falls inside 365 days, as
+    the reference then asks for all time; nothing runs while the plan is built. Equal to
+    ``adaptive_briefs`` over the whole table: a non-empty 365-day set means the all-time
+    branch is never chosen.
     """
     horizon = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(WINDOWS_DAYS[-1]))
-    recent_raw = raw.where(F.col("ingested_at") >= horizon)
+    recent = [F.coalesce(F.col("ingested_at") >= horizon, F.lit(False))]
     if "ingested_date" in raw.columns:  # implied by the line above; lets a date-partitioned table prune
-        recent_raw = recent_raw.where(F.col("ingested_date") >= F.to_date(horizon))
-    recent = adaptive_briefs(eligible_articles(recent_raw, scored, threshold, allowed), as_of, k=k).cache()
-    if not recent.isEmpty():
-        return recent
-    recent.unpersist()
-    return adaptive_briefs(eligible_articles(raw, scored, threshold, allowed), as_of, k=k)
+        recent.append(F.coalesce(F.col("ingested_date") >= F.to_date(horizon), F.lit(False)))
+
+    def eligible(rows: DataFrame) -> DataFrame:
+        return eligible_articles(rows, scored, threshold, allowed)
+
+    in_range = raw
+    for r in recent:
+        in_range = in_range.where(r)
+    none = is_empty(eligible(in_range).select("id").limit(1))
+    rows = raw
+    for r in recent:
+        rows = rows.where(r | none)
+    return adaptive_briefs(eligible(rows), as_of, k=k)
 
 
 def read_briefs(spark, path: str, mode: str | None = None) -> DataFrame:

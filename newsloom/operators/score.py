@@ -50,9 +50,11 @@ def with_signals(articles: DataFrame, responses: DataFrame | None) -> DataFrame:
         return articles.withColumn("sig", offline_signals())
     resp = responses.select(F.col("raw_id").alias("_rid"), F.col("response").alias("_response"))
     joined = articles.join(resp, articles["id"] == resp["_rid"], "left")
-    sig = memo_column("with_signals", lambda: F.when(F.col("_rid").isNull(), offline_signals())
-                      .otherwise(parse_signals(F.col("_response"))))
-    return joined.withColumn("sig", sig).drop("_rid", "_response").where(F.col("sig.ok"))
+    # Generated from an array that is empty for an unusable answer: the filter isn't copied below, so each answer is parsed once.
+    sig = memo_column("with_signals", lambda: F.filter(
+        F.array(F.when(F.col("_rid").isNull(), offline_signals()).otherwise(parse_signals(F.col("_response")))),
+        lambda s: s["ok"]))
+    return joined.select(*[F.col(c) for c in articles.columns], F.explode(sig).alias("sig"))
 
 
 def with_source_weights(articles: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -74,9 +76,9 @@ def score_articles(raw: DataFrame, scored: DataFrame | None, responses: DataFram
                    mode: str = "weekly", allowed: DataFrame | None = None) -> DataFrame:
     """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE).
 
-    ``content`` (the widest column) is only read map-side: the catalog lookup is a
-    broadcast join and the keyword ratio is computed on the scan, so the anti
-    join and the responses join shuffle narrow rows only.
+    ``content`` (the widest column) is only read map-side: the keyword ratio is
+    computed on the scan, so the anti join and the responses join shuffle narrow
+    rows only.
     """
     base = filter_sources(raw.select("id", "source", "content"), allowed)
     narrow = with_keyword_score(with_source_weights(base, catalog)).drop("content", "tags")

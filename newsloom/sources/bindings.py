@@ -21,7 +21,7 @@ AS_OF = "2024-01-31 00:00:00"
 DOMAINS = (
     ("d0", 0.8, ("the", "tion", "que")),
     ("d1", 0.7, ("der", "und", "ein")),
-    ("d2", 1.0, ("an", "er", "in", "on", "re", "th", "ea")),
+    ("ai_data", 1.0, ("an", "er", "in", "on", "re", "th", "ea")),
     ("d3", 0.9, ("los", "de")),
 )
 CATALOG_GLOBAL = '{"default_weight": 0.5, "min_score_threshold": 0.6}'
@@ -54,17 +54,25 @@ def articles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents ⋈ events -> model_responses(raw_id, response): valid objects, JSON nulls and non-JSON text."""
+    """documents ⋈ events -> model_responses(raw_id, response): valid objects with integers, quoted numbers and
+    decimals, JSON nulls, objects with a brace too many and non-JSON text."""
     doc = table(spark, sf_dir, "documents").select("doc_id")
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     k = F.get_json_object("props", "$.k").cast("int")
     d = F.col("doc_id")
+
+    def tenths(x, below):
+        n = x % below
+        return F.concat(F.floor(n / 10).cast("string"), F.lit("."), (n % 10).cast("string"))
+
     body = F.concat(
         F.lit('{"relevance": '), (k % 7).cast("string"),
         F.lit(', "architectural_impact": '), ((k + d) % 7).cast("string"),
         F.lit(', "production_impact": "'), (d % 5).cast("string"),
-        F.lit('", "topic": "'), F.col("event_type"), F.lit('"}'))
+        F.lit('", "security_impact": '), tenths(k * 3 + d, 60), F.lit(', "retrieval_complexity": '), tenths(d, 11),
+        F.lit(', "topic": "'), F.col("event_type"), F.lit('"}'))
     response = (F.when(d % 11 == 0, F.lit("not json"))
+                .when(d % 17 == 0, F.concat(body, F.lit("}")))
                 .when(d % 13 == 0, F.lit('{"relevance": null, "db_engine": null}'))
                 .otherwise(body))
     return doc.join(ev, doc.doc_id == ev.event_id).select(d.alias("raw_id"), response.alias("response"))

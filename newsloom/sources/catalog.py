@@ -32,10 +32,12 @@ def parse_catalog(docs: DataFrame, text_col: str = "value", doc_ord_col: str = "
     """Rows of v2 catalog JSON text -> one row per source entry.
 
     Order key ``(doc_ord, domain_pos, source_pos)`` is document order. Weights are
-    clamped like the reference (default = the document's global default weight).
+    clamped like the reference (default = the document's global default weight). A
+    document or domain without sources gives one row of kind ``global``: it carries the
+    catalog-level values and is neither selected nor looked up. Broken JSON fails the job.
     """
     parsed = docs.select(F.col(doc_ord_col).alias("doc_ord"),
-                         F.from_json(F.col(text_col), CATALOG_SCHEMA).alias("c"))
+                         F.from_json(F.col(text_col), CATALOG_SCHEMA, {"mode": "FAILFAST"}).alias("c"))
     return flatten_catalog(parsed)
 
 
@@ -44,11 +46,11 @@ def flatten_catalog(parsed: DataFrame) -> DataFrame:
     min_score = F.coalesce(py_float(F.col("c.global.min_score_threshold")), F.lit(DEFAULT_MIN_SCORE))
     domains = parsed.select(
         "doc_ord", raw_default.alias("raw_default"), min_score.alias("min_score_threshold"),
-        F.posexplode(F.map_entries("c.domains")).alias("domain_pos", "d"))
+        F.posexplode_outer(F.map_entries("c.domains")).alias("domain_pos", "d"))
     entries = domains.select(
         "doc_ord", "domain_pos", "raw_default", "min_score_threshold",
         F.col("d.key").alias("domain"), F.col("d.value").alias("dv"),
-        F.posexplode(F.col("d.value.sources")).alias("source_pos", "s"))
+        F.posexplode_outer(F.col("d.value.sources")).alias("source_pos", "s"))
     return entries.select(
         "doc_ord", "domain_pos", "source_pos", "domain",
         clamp01_text(F.col("dv.weight"), F.col("raw_default")).alias("domain_weight"),
@@ -58,7 +60,7 @@ def flatten_catalog(parsed: DataFrame) -> DataFrame:
         clamp01_text(F.col("s.weight"), F.col("raw_default")).alias("weight"),
         F.col("s.priority").alias("priority"),
         clamp01_text(F.lit(None).cast("string"), F.col("raw_default")).alias("default_weight"),
-        "min_score_threshold", F.lit("v2").alias("kind"))
+        "min_score_threshold", F.when(F.col("source_pos").isNull(), "global").otherwise("v2").alias("kind"))
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -103,6 +105,7 @@ def select_sources(catalog: DataFrame, mode: str, radar_domains=RADAR_DOMAINS) -
     one). Legacy entries never contribute names to the filter.
     """
     m = normalize_mode(mode)
+    catalog = catalog.where(F.col("kind") != "global")
     picked = (F.when(F.col("kind") == "legacy", F.lit(True))
               .when(m == RADAR_MODE, F.col("domain").isin(*radar_domains)).otherwise(F.lit(True)))
     flagged = catalog.select("*", m.alias("mode"), picked.alias("selected"),

@@ -3,9 +3,10 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from newsloom.sources.catalog import (allowed_source_names, parse_legacy_catalog, read_catalog, select_sources,
+from newsloom.sources.catalog import (allowed_source_names, parse_catalog, parse_legacy_catalog, read_catalog, select_sources,
                                       source_lookup)
 from newsloom.sources.feeds import decode_payload
 from newsloom.sources.templates import ARTICLE_WEEKLY, read_templates
@@ -89,3 +90,17 @@ def test_legacy_catalog_selects_all_and_filters_nothing(spark):
     assert all(r.selected for r in sel) and not any(r.filter_active for r in sel)
     assert allowed_source_names(select_sources(cat, "weekly")).count() == 0
     assert source_lookup(cat).count() == 0
+
+
+def test_catalog_level_values_hold_without_sources(spark):
+    docs = spark.createDataFrame([(0, '{"global": {"default_weight": 0.9, "min_score_threshold": 0.7}, "domains": {}}')],
+                                 "doc_ord int, value string")
+    cat = parse_catalog(docs)
+    assert [(r.kind, r.default_weight, r.min_score_threshold) for r in cat.collect()] == [("global", 0.9, 0.7)]
+    assert select_sources(cat, "weekly").count() == 0 and source_lookup(cat).count() == 0
+
+
+def test_broken_catalog_fails(spark):
+    docs = spark.createDataFrame([(0, '{"domains": {')], "doc_ord int, value string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        parse_catalog(docs).collect()
