@@ -215,6 +215,41 @@ def test_posting_lists_equal_brute_force(spark):
     assert ann.search(table.where("false"), queries).count() == 0
 
 
+def exact_neighbours(rows, queries, top=5):
+    """Rows: different (id, vector); a row's score is the best over the query id's vectors."""
+    items = {(i, tuple(v)) for i, v in rows}
+    cos = lambda a, b: np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b))
+    want = {}
+    for q in {i for i, _ in queries}:
+        own = {tuple(v) for i, v in queries if i == q}
+        scored = sorted((-round(max(cos(v, w) for w in own), 6), i) for i, v in items if i != q)
+        want[q] = [i for _, i in scored[:top]]
+    return want
+
+
+def test_posting_lists_repeated_rows(spark):
+    rng = np.random.default_rng(12)
+    usable = [(i, v) for i, v, _ in near_rows() if i is not None and v and len(v) == 8 and None not in v
+              and np.isfinite(v).all() and np.any(v)]
+    far = [(700 + k, rng.normal(size=8).astype(np.float32).tolist()) for k in range(3)]
+    usable += far * 6 + [(1, far[0][1]), (700, usable[1][1])]  # rows six times, ids with two vectors that cross
+    centre = rng.normal(size=8)
+    usable += [(800, (centre + rng.normal(scale=0.01, size=8)).astype(np.float32).tolist()) for _ in range(40)]  # one id, many vectors
+    usable += [(801 + k, (centre + rng.normal(scale=0.3, size=8)).astype(np.float32).tolist()) for k in range(6)]
+    table = spark.createDataFrame(usable, "vec_id long, embedding array<float>")
+    asked = [(i, v) for i, v in usable if i % 50 == 0 or i in (1, 701)]
+    got = ann.search(table, spark.createDataFrame(asked, "query_id long, embedding array<float>")).toPandas()
+    want = exact_neighbours(usable, asked)
+    assert want[0] == [400, 401, 402, 403, 404]
+    hit = 0
+    for q, ids in want.items():
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine["rank"].tolist() == [1, 2, 3, 4, 5] and q not in set(mine.vec_id)
+        hit += len(set(ids) & set(mine.vec_id)) / len(set(ids))
+    assert got[got.query_id == 0].sort_values("rank").vec_id.tolist() == want[0]
+    assert hit >= 0.9 * len(want)
+
+
 def test_vector_links_equal_brute_force(spark):
     rows = near_rows()
     for shard_rows in (4096, 40):
