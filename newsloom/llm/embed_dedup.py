@@ -2,8 +2,8 @@
 
 Exact copies are one class. A label's classes are dealt into shards; each shard's graph is built once and stored as one
 row. For every two shards of a label, one task searches the first's graph with the second's vectors: a vector whose
-beam is half full of links gets a wider one, and an audit against exact neighbours widens all beams until it
-passes. Found pairs are verified in double precision; a task gives link counts and a spanning forest, never pairs, and
+beam is half full of links, or full of vectors no farther than just under the threshold, gets a wider one, and an audit
+against exact neighbours widens all beams until it passes. Found pairs are verified in double precision; a task gives link counts and a spanning forest, never pairs, and
 the forests' edges are joined into components.
 """
 
@@ -23,6 +23,7 @@ from .vectors import cosines, fingerprinted, units, usable
 SHARD_ROWS = 4096
 THRESHOLD = 0.98
 BEAM = 64
+MARGIN = 0.05  # a beam whose last similarity is within it of the threshold may have ended before a link
 AUDIT_QUERIES = 256
 AUDIT_NEAREST = 10
 AUDIT_RECALL = 0.99
@@ -84,7 +85,8 @@ def audited_links(graph: Graph, own: np.ndarray, queries: np.ndarray, threshold:
             ids, sims = graph.search(q32[rows], beam)
             r, c = np.nonzero((sims >= loose) & (ids >= 0))
             flags[rows[r], ids[r, c]] = True
-            wider.append(rows[(sims[:, beam // 2] >= loose) & (ids[:, beam // 2] >= 0)])  # links fill half the beam
+            half = (sims[:, beam // 2] >= loose) & (ids[:, beam // 2] >= 0)  # links fill half the beam
+            wider.append(rows[half | ((sims[:, -1] >= threshold - MARGIN) & (ids[:, -1] >= 0))])
         todo, beam = np.concatenate(wider), beam * 4
     for at in range(0, len(todo), 256):  # a beam as wide as the shard is a scan
         rows = todo[at:at + 256]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.llm import ann, ans, chat, embed_dedup, hnsw, minhash, mixing, packing, quality, sharding, token_counts
 from newsloom.llm.common import components, shared_path
 from newsloom.llm.tokenize import BYTE_BPE, WORD_BPE, Encoder
+from newsloom.llm.vectors import units as unit_vectors
 
 SF = "/root/testdata/sf0.001"
 HARD = ["", None, "a", "One two  three\n\nfour", " lead", "tail ", "x | y|", "É̀ ΣΑΣ don't", "<|endoftext|> </turn>", "same words here now",
@@ -268,6 +269,31 @@ def test_vector_links_equal_brute_force(spark):
     assert embed_dedup.link_vectors(vectors(spark, rows).where("false")).count() == 0
 
 
+class Trapped(hnsw.Graph):
+    """A graph whose beams end inside the cluster (all but the last point) until they are wider than it."""
+
+    def search(self, queries, width):
+        sims = queries @ self.x.T
+        if width <= 600:
+            sims[:, -1] = -np.inf
+        ids = np.argsort(-sims, axis=1)[:, :width]
+        return ids, np.take_along_axis(sims, ids, 1)
+
+
+def test_links_beyond_a_near_cluster():
+    rng = np.random.default_rng(4)
+    c, d = np.eye(32)[:2]
+    turn = lambda a: np.cos(a) * c + np.sin(a) * d
+    angle = np.arccos(0.97)
+    cluster = c + rng.normal(scale=0.001, size=(600, 32))  # just under the threshold from the query
+    own = np.concatenate([rng.normal(size=(600, 32)), cluster, [turn(angle + np.arccos(0.985))]])
+    queries = np.concatenate([rng.normal(size=(1500, 32)), [turn(angle)]])
+    graph = Trapped(unit_vectors(own).astype(np.float32), [], [])
+    want = unit_vectors(queries) @ unit_vectors(own).T >= 0.98
+    assert want.sum() == 1
+    assert (embed_dedup.audited_links(graph, own, queries, 0.98) == want).all()
+
+
 def test_graph_reaches_every_point():
     rng = np.random.default_rng(6)
     x = np.concatenate([rng.normal(size=(900, 8)), rng.normal(size=8) * 5 + rng.normal(scale=0.01, size=(300, 8))])
