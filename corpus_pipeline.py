@@ -23,16 +23,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group linked at five-word-shingle similarity 0.8 or more; documents
-    without words stay. Of repeated rows with one doc_id the one with the smallest text stays."""
-    gone = minhash.near_duplicates(docs, width=5).where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").where(
-        F.col("doc_id").isNotNull()).select("doc_id")
-    once = left.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    several = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("_row")).select("_row.*")
-    return once.unionByName(several)
+    """One row of each group linked at five-word-shingle similarity 0.8 or more: the smallest id's, null ids last and
+    ties by a hash of the row. Every row is compared by its own text, also where ids repeat or are null; rows without
+    words stay, of those that repeat an id and its text one."""
+    key = "_row"
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or doc_id is null")
+    if shared.isEmpty():  # ids serve as row keys
+        gone = minhash.near_duplicates(docs, width=5).where(~F.col("kept")).select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = stored(spark, docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), width=5).select(
+        F.col("doc_id").alias(key), "n_shingles", "component_id")
+    found = stored(spark, found, "groups")
+    # The group of a row without words: its id and text; each null id is a document of its own.
+    group = F.struct(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("links"),
+                     F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("id"),
+                     F.when(F.col("n_shingles") == 0, F.sha2(F.col("text").cast("binary"), 256)).alias("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", F.xxhash64("text").alias("h1"),
+                     F.xxhash64(*docs.columns).alias("h2"), key)
+    placed = rows.join(found, key).where((F.col("n_shingles") > 0) | F.col("doc_id").isNotNull()).select(
+        key, group.alias("group"), order.alias("order"))
+    best = placed.groupBy("group").agg(F.min("order").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = stored(spark, placed.join(best, placed["group"].eqNullSafe(best["group"])).where("order != best").select(key), "gone")
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -408,3 +408,20 @@ def test_pipeline_stages(spark, docs):
     got = pipeline.run(spark, SF)
     assert got.count() and got.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] <= 1024
     assert pipeline.dedup_stage(spark, docs, SF).select("doc_id").distinct().count() == len(HARD) + 1 - 2
+
+
+def test_dedup_compares_every_row(spark):
+    import corpus_pipeline as pipeline
+    text = lambda k: " ".join(f"w{k}x{n}" for n in range(40))
+    rows = [(1, text(1)), (1, text(2)), (1, text(3)),  # one id, three texts, none of them copies
+            (0, text(2)),  # the second's copy under a smaller id
+            (5, text(3) + " end"),  # near the third, under a greater id
+            (6, text(6)), (6, text(6)), (None, text(7)), (None, text(7)), (None, text(6)), (None, text(8)),
+            (8, ""), (8, ""), (8, None), (None, None), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = sorted(map(repr, pipeline.dedup_stage(spark, table, SF).select("doc_id", "text").toPandas().astype(object).where(
+        lambda x: x.notna(), None).itertuples(index=False, name=None)))
+    want = [(1, text(1)), (0, text(2)), (1, text(3)), (6, text(6)), (None, text(7)), (None, text(8)), (8, ""), (8, None),
+            (None, None), (None, None)]
+    shape = lambda i, x: repr((None if i is None else float(i), x))
+    assert got == sorted(shape(*r) for r in want)
