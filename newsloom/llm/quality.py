@@ -25,6 +25,7 @@ RANK = 8
 SAMPLE_ROWS = 3_000  # labelled rows that the machine is fitted on, at most
 EPOCHS = 10
 DENSE = 16
+FEATURES = "doc_id long, quality int, at binary, value binary, dense binary"
 
 _HASHES: dict[bytes, int] = {}
 _KEEP = 150_000
@@ -127,12 +128,10 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(3)) == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Fits the machine on at most ``sample_rows`` labelled, not held-out rows: those with the least hashes of their
-    id, half of them of each label. Rows with null ids or labels, or labels without a document, teach nothing; of a
-    document with several labels each counts."""
+def taught(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
+    """The feature rows that ``train`` fits on, one per document and label: FEATURES."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
-        F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     order = F.xxhash64("doc_id", F.lit(17))
     half = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(sample_rows // 2) for q in (0, 1)]
     sample = stored(docs.sparkSession, half[0].unionByName(half[1]), "sample")
@@ -145,6 +144,21 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                  *[pa.array([f[k].tobytes() for f in found], pa.binary()) for k in range(3)]],
                 ["doc_id", "quality", "at", "value", "dense"])
 
+    # At most sample_rows small rows are broadcast; the rows of a document are reduced to one, on the map side first, so
+    # as many feature rows at most meet in the one task that fits the machine.
+    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").mapInArrow(
+        see, FEATURES)
+    parts = ["at", "value", "dense"]
+    return seen.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64(*parts), *parts)).alias("m")).select(
+        "doc_id", "quality", *[f"m.{c}" for c in parts])
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
+    """Fits the machine on at most ``sample_rows`` labelled, not held-out rows: those with the least hashes of their
+    id, half of them of each label. Rows with null ids or labels, or labels without a document, teach nothing; of a
+    document with several labels each counts, equal label rows once. Of a repeated doc_id with different texts, the one
+    with the least hash teaches."""
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in batch.to_pylist()]
         rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["at"], r["value"], r["dense"]))
@@ -154,10 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             [pa.array([m.bias], pa.float64()), pa.array([m.weights.tobytes()], pa.binary()),
              pa.array([m.factors.tobytes()], pa.binary())], ["bias", "weights", "factors"])
 
-    # At most sample_rows small rows are broadcast; as many feature rows meet in the one task that fits the machine.
-    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").mapInArrow(
-        see, "doc_id long, quality int, at binary, value binary, dense binary")
-    found = seen.repartition(1).mapInArrow(learn, "bias double, weights binary, factors binary").collect()
+    found = taught(docs, labels, sample_rows).repartition(1).mapInArrow(learn, "bias double, weights binary, factors binary").collect()
     if not found:
         return fit([])
     factors = np.frombuffer(found[0]["factors"])

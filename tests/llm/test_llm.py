@@ -356,6 +356,18 @@ def test_quality(spark, docs, nothing):
     assert quality.score(nothing, quality.train(nothing, labels)).count() == 0
 
 
+def test_quality_of_a_repeated_document(spark):
+    rows = [(k, f"text of {k}") for k in range(1, 60)]
+    taught = [k for k, _ in rows if zlib.crc32(str(k).encode()) % 3 != 1]
+    hot = taught[0]
+    table = spark.createDataFrame(rows + [(hot, f"text of {hot} again {n % 7}") for n in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows] + [(hot, hot % 2)] * 50, "doc_id long, quality int")
+    seen = quality.taught(table, labels, 200).toPandas()
+    assert sorted(seen.doc_id) == taught
+    again = quality.taught(table.repartition(5), labels, 200).toPandas()
+    assert again.sort_values("doc_id").value.tolist() == seen.sort_values("doc_id").value.tolist()
+
+
 def test_machine_equals_all_pairs():
     rng = np.random.default_rng(9)
     m = quality.Machine(0.3, rng.normal(size=quality.BUCKETS + quality.DENSE), rng.normal(size=(quality.BUCKETS + quality.DENSE, 4)))
