@@ -1,9 +1,10 @@
-"""Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
+"""Quality classifier: a factorisation machine over hashed words, structure statistics.
 
 A text's features are its hashed lower-cased words (log counts, scaled to unit length) and a few dense statistics of
 its characters, lines and words. The machine adds a low-rank interaction of every pair of features, computed in
 linear time as half of (sum of v x)^2 - sum of (v x)^2. It is fitted on a bounded sample of labelled rows and scores
-every whole text where it lies.
+every whole text where it lies. Metadata takes no part: lang, source and doc_id are forbidden as inputs, and n_chars is
+the text's length.
 """
 
 from __future__ import annotations
