@@ -49,7 +49,8 @@ def source_tokens(docs: DataFrame, vocabulary: Vocabulary = BYTE_BPE) -> DataFra
 
 
 def fine_block(seed: int = 0) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(FINE)).cast("int")
+    """A row's fine block, by doc_id and text: different texts of a hot id fall into different blocks."""
+    return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(FINE)).cast("int")
 
 
 def _statistics(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
@@ -62,12 +62,17 @@ def spread(counts: np.ndarray, owners: np.ndarray, room: list[int]) -> list[list
     return runs
 
 
+def part_of(order: tuple[str, ...] = ()) -> Column:
+    return F.pmod(F.xxhash64("_h", *order), F.lit(PARTS)).cast("int")
+
+
 def bounded_ring(rows: DataFrame, shards: int, key: str = "doc_id", slack: float = 0.0,
                  virtual_nodes: int = VIRTUAL_NODES, order: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``shard`` and ``slot`` (gapless from 0 in its shard) to ``rows``.
 
-    Rows of one arc are ranked by the hash of ``key``, the key and the columns ``order``; equal rows are
-    interchangeable. A null key has a hash like any other. An empty table stays empty."""
+    Rows of one arc are ranked by a part, a hash of the key and the columns ``order``, so that rows of a hot key are
+    ranked in many windows; inside a part by the hash of ``key``, the key and ``order``. Equal rows are interchangeable
+    and stand in one part. A null key has a hash like any other. An empty table stays empty."""
     spark = rows.sparkSession
     points, owners = ring(shards, virtual_nodes)
 
@@ -77,7 +82,7 @@ def bounded_ring(rows: DataFrame, shards: int, key: str = "doc_id", slack: float
 
     hashed = rows.withColumn("_h", F.xxhash64(F.col(key)))
     hashed = hashed.withColumn("_arc", arc_of("_h")).withColumn(
-        "_part", F.pmod(F.shiftright(F.col("_h"), 20), F.lit(PARTS)).cast("int"))
+        "_part", part_of(order))
     hashed = stored(spark, hashed, "arcs")
     found = hashed.groupBy("_arc", "_part").agg(F.count(F.lit(1)).alias("n")).collect()  # at most arcs x parts
     counts = np.zeros((len(points), PARTS), np.int64)

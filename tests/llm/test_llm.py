@@ -125,6 +125,16 @@ def test_mixing(spark, docs, nothing):
     assert (plan.groupby(plan.source.fillna("-")).room.sum() <= plan.groupby(plan.source.fillna("-")).budget.max()).all()
 
 
+def test_rows_of_a_hot_key_are_dealt(spark):
+    rows = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"),
+                                    F.lit("s").alias("source"))
+    assert rows.select(mixing.fine_block().alias("b")).distinct().count() > 1500
+    narrow = rows.select("doc_id", F.crc32("text").alias("c"), F.xxhash64("doc_id").alias("_h"))
+    assert narrow.select(sharding.part_of(("c",)).alias("p")).distinct().count() == sharding.PARTS
+    got = sharding.shard_documents(rows, 4).toPandas()
+    assert sorted(zip(got.shard, got.slot)) == [(s, k) for s in range(4) for k in range(500)]
+
+
 def test_packing(spark, docs, nothing, ids_of):
     got = packing.pack_documents(docs, 64, group_pieces=8).toPandas()
     whole = defaultdict(list)
