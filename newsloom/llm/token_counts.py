@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, prefix_scan, shared_path, stored
-from .tokenize import WORD_BPE, Vocabulary, encoded
+from .tokenize import PLAIN_WORD_BPE, Vocabulary, encoded
 
-END_ID = 49407  # the vocabulary's end-of-text id, which no ordinary text encodes to
+END_ID = 49407  # the vocabulary's end-of-text id; special strings being plain text here, no text encodes to it
 BLOCK_BYTES = 4 << 20
 TASK_BYTES = 32 << 20
 
@@ -30,7 +30,7 @@ def _store(uri: str):
     return fs.FileSystem.from_uri(uri) if ":" in uri else (fs.LocalFileSystem(), uri)
 
 
-def write_flat(docs: DataFrame, folder: str, vocabulary: Vocabulary = WORD_BPE, end_id: int = END_ID) -> DataFrame:
+def write_flat(docs: DataFrame, folder: str, vocabulary: Vocabulary = PLAIN_WORD_BPE, end_id: int = END_ID) -> DataFrame:
     """Writes ``docs`` (doc_id, text) as flat files of unsigned 16-bit ids, one per input partition, and returns
     (stored) which document is where: file, ordinal, doc_id. A file gets its name when it is complete, and a task
     that runs again writes the same file."""

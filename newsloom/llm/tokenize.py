@@ -33,10 +33,12 @@ _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A vocabulary file; ``spaced``: the space before a word belongs to the word's ids."""
+    """A vocabulary file; ``spaced``: the space before a word belongs to the word's ids; ``plain``: the strings of its
+    special tokens in a text are ordinary text (else the library finds the tokens themselves)."""
     file: str
     spaced: bool
     folder: str | None = None
+    plain: bool = False
 
     def path(self) -> str:
         if self.folder:
@@ -47,6 +49,7 @@ class Vocabulary:
 
 BYTE_BPE = Vocabulary("byte_bpe_50k.json", True)
 WORD_BPE = Vocabulary("word_bpe_49k.json", False)
+PLAIN_WORD_BPE = Vocabulary("word_bpe_49k.json", False, plain=True)
 
 _ENCODERS: dict = {}
 
@@ -63,7 +66,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary.path())
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        if vocabulary.plain:
+            self.library.encode_special_tokens = True
+        # Texts with such a string, in any case, are encoded whole.
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = "(?i)" + "|".join(map(re.escape, special)) if special and not vocabulary.plain else None
         self.model = self.library.model
         self.spaced = vocabulary.spaced
         # A chunk that is always one id of its own marks the cuts when many chunks are encoded in one call.
@@ -122,7 +129,11 @@ class Encoder:
     def _word(self, word: str) -> list[int]:
         """Ids of one word (as the library cuts texts) from the library's model."""
         if (ids := self.words.get(word)) is None:
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+            if word.isascii():  # only the space or line break before it has another character
+                spelt = self.letters[ord(word[0])] + word[1:] if word[0] in " \n" else word
+            else:
+                spelt = word.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(spelt)]
             if len(self.words) > KEEP_WORDS:
                 self.words = {"": []}
             self.words[word] = ids
@@ -186,12 +197,14 @@ class Encoder:
             texts = texts.cast(pa.string())
         texts = pc.fill_null(texts, "")
         odd: dict[int, np.ndarray] = {}
+        strange = pc.match_substring_regex(texts, self.special) if self.special else pa.array([False] * len(texts), pa.bool_())
+        if self.spaced:
+            strange = pc.or_(strange, pc.match_substring_regex(texts, rf"{_SPACES}{_SPACES}|\x00"))
+        if pc.any(strange).as_py():
+            for k in np.flatnonzero(strange.to_numpy(zero_copy_only=False)):
+                odd[int(k)] = np.asarray(self.whole(texts[int(k)].as_py()), np.uint32)
+            texts = pc.if_else(strange, "", texts)
         if self.spaced:
-            strange = pc.match_substring_regex(texts, rf"{_SPACES}{_SPACES}|\x00")
-            if pc.any(strange).as_py():
-                for k in np.flatnonzero(strange.to_numpy(zero_copy_only=False)):
-                    odd[int(k)] = np.asarray(self.whole(texts[int(k)].as_py()), np.uint32)
-                texts = pc.if_else(strange, "", texts)
             cut = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
             lists = pc.split_pattern(cut, "\x00")
         else:

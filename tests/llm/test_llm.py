@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import ann, ans, chat, embed_dedup, hnsw, minhash, mixing, packing, quality, sharding, token_counts
 from newsloom.llm.common import components, shared_path
-from newsloom.llm.tokenize import BYTE_BPE, WORD_BPE, Encoder
+from newsloom.llm.tokenize import BYTE_BPE, PLAIN_WORD_BPE, WORD_BPE, Encoder
 from newsloom.llm.vectors import units as unit_vectors
 
 SF = "/root/testdata/sf0.001"
@@ -33,20 +33,29 @@ def nothing(docs):
     return docs.where("false")
 
 
-def library_ids(vocabulary, text):
-    return Encoder(vocabulary).library.encode(text or "", add_special_tokens=False).ids
+def library(vocabulary):
+    """The tokenizers library itself, on the vocabulary's file."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(public_tokenizers.path(vocabulary.file))
+    if vocabulary.plain:
+        own.encode_special_tokens = True
+    return own
 
 
 @pytest.fixture(scope="module")
 def ids_of():
-    made = {v: Encoder(v).library for v in (BYTE_BPE, WORD_BPE)}
+    made = {v: library(v) for v in (BYTE_BPE, WORD_BPE, PLAIN_WORD_BPE)}
     return lambda v, t: made[v].encode(t or "", add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("vocabulary", [BYTE_BPE, WORD_BPE])
+SPECIAL = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", "A<|ENDOFTEXT|> b", "end <|endoftext|>\n\n next", "<|endoftext"]
+
+
+@pytest.mark.parametrize("vocabulary", [BYTE_BPE, WORD_BPE, PLAIN_WORD_BPE])
 def test_chunked_ids_equal_the_library(vocabulary, ids_of):
     own = Encoder(vocabulary)
-    for texts in (HARD, HARD[::-1], ["naïve, été. Ünd ßo!", "A.\nB c;", "ends.\n"]):
+    for texts in (HARD, HARD[::-1], SPECIAL, ["naïve, été. Ünd ßo!", "A.\nB c;", "ends.\n"]):
         ids, ends = own.texts(pa.array(texts, pa.string()))
         for text, part in zip(texts, np.split(ids, ends[:-1])):
             assert part.tolist() == ids_of(vocabulary, text)
@@ -76,7 +85,7 @@ def test_separator_scan(spark, docs, nothing, ids_of):
     for block in (64, 1 << 20):  # blocks much shorter than documents, and longer than files
         got = token_counts.separator_scan(spark, folder, block_bytes=block).join(places, ["file", "ordinal"])
         found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"]) for r in got.where("ended").collect())
-        assert found == sorted((r["doc_id"] is None, r["doc_id"] or 0, len(ids_of(WORD_BPE, r["text"]))) for r in docs.collect())
+        assert found == sorted((r["doc_id"] is None, r["doc_id"] or 0, len(ids_of(PLAIN_WORD_BPE, r["text"]))) for r in docs.collect())
     folder = shared_path(spark, "test")
     assert token_counts.write_flat(nothing.select("doc_id", "text"), folder).count() == 0
     assert token_counts.separator_scan(spark, folder).count() == 0
