@@ -17,6 +17,7 @@ from .mixing import op3_temperature_mix
 from .packing import op4_best_fit_packing
 from .quality import op6_factorisation_machine
 from .ranked import op11_blas_search
+from .repair import op12_re_pair_repair
 from .sharding import op2_bounded_ring
 from .token_counts import op1_separator_scan
 
@@ -25,7 +26,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
         op1_separator_scan, op2_bounded_ring, op3_temperature_mix, op4_best_fit_packing, op5_posting_lists,
         op6_factorisation_machine, op7_token_ans, op8_hnsw_dedup, op9_tensored_minhash, op10_reply_trees,
-        op11_blas_search)}
+        op11_blas_search, op12_re_pair_repair)}
 
 
-SQL: dict[str, str] = {"op11_blas_search": sql.OP11}
+SQL: dict[str, str] = {"op11_blas_search": sql.OP11, "op12_re_pair_repair": sql.OP12}
