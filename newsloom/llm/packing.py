@@ -33,19 +33,19 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: Vocabulary, end_id: int,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, ids, ends in encoded(batches, vocabulary):
-            raw, out, begin = ids.astype("<u4"), [], 0
-            tail = np.array([end_id], "<u4")
-            for doc, end in zip(rows.column("doc_id").to_pylist(), ends.tolist()):
-                own = np.concatenate([raw[begin:end], tail])
-                begin = end
-                first = (len(own) - 1) % capacity + 1
-                at = 0
-                for k in range(-(-len(own) // capacity)):
-                    to = first + k * capacity
-                    out.append((doc, k, at, to - at, zlib.crc32(own[at:to].tobytes())))
-                    at = to
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+            flat = memoryview(np.insert(ids, ends, end_id).astype("<u4")).cast("B")
+            sizes = np.diff(ends, prepend=0) + 1
+            count = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(sizes)), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            first = ((sizes - 1) % capacity + 1)[row]
+            start = np.where(piece > 0, first + (piece - 1) * capacity, 0)
+            length = np.where(piece > 0, capacity, first)
+            begin = 4 * ((np.cumsum(sizes) - sizes)[row] + start)
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECE)
@@ -91,20 +91,23 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.asarray(fills, np.int64)
 
 
-def _packer(capacity: int):
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
+def _packed(items: DataFrame, groups: int, capacity: int, salt: int) -> DataFrame:
+    """Each group packed in a task of its own: rows are dealt by group number, so no task gets two."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)  # one group: about GROUP_PIECES narrow rows
+        if not parts:
+            return
+        part = pd.concat(parts).sort_values(["length", "doc_id", "piece", "ids_crc32", "copy"],
+                                            ascending=[False, True, True, True, True])
         lengths = part["length"].to_numpy(np.int64)
         bins, offsets, fills = best_fit_decreasing(lengths, capacity)
         certified = len(fills) == lower_bound(lengths, capacity)
-        return part.assign(bin=bins, offset=offsets, settled=(fills[bins] == capacity) | certified)
-    return pack
-
+        yield part.assign(bin=bins, offset=offsets, settled=(fills[bins] == capacity) | certified)
 
-def _packed(items: DataFrame, groups: int, capacity: int, salt: int) -> DataFrame:
     group = F.pmod(F.xxhash64(F.lit(salt), "doc_id", "piece", "ids_crc32", "start", F.col("copy")), F.lit(groups)).cast("int")
-    return items.withColumn("group", group).groupBy("group").applyInPandas(
-        _packer(capacity), f"{PIECE}, copy long, group int, bin long, offset long, settled boolean")
+    dealt = items.withColumn("group", group).repartitionById(groups, F.col("group"))
+    return dealt.mapInPandas(pack, f"{PIECE}, copy long, group int, bin long, offset long, settled boolean")
 
 
 def pack(items: DataFrame, capacity: int = 1024, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
