@@ -35,22 +35,37 @@ class Target:
     budget: float | None = None
 
 
-def source_tokens(docs: DataFrame, vocabulary: Vocabulary = BYTE_BPE) -> DataFrame:
-    """Tokens (an end id per document included) by source and fine block; ``docs``: doc_id, source, text."""
+def document_tokens(docs: DataFrame, vocabulary: Vocabulary = BYTE_BPE) -> DataFrame:
+    """One narrow row per document of ``docs`` (doc_id, source, text): source, fine block, key (a hash of id and text)
+    and tokens (an end id included)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, ends in encoded(batches, vocabulary):
             yield pa.RecordBatch.from_arrays(
-                [rows.column("source"), rows.column("fine"), pa.array(np.diff(ends, prepend=0) + 1, pa.int64())],
-                ["source", "fine", "n"])
+                [rows.column("source"), rows.column("fine"), rows.column("key"),
+                 pa.array(np.diff(ends, prepend=0) + 1, pa.int64())], ["source", "fine", "key", "tokens"])
+
+    return docs.select("source", fine_block().alias("fine"), row_key().alias("key"), "text").mapInArrow(
+        count, "source string, fine int, key long, tokens long")
+
+
+def source_tokens(docs: DataFrame, vocabulary: Vocabulary = BYTE_BPE) -> DataFrame:
+    """Tokens by source and fine block; ``docs``: doc_id, source, text."""
+    return block_tokens_of(document_tokens(docs, vocabulary))
+
+
+def block_tokens_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("source", "fine").agg(F.sum("tokens").alias("tokens"))
+
 
-    return docs.select("source", fine_block().alias("fine"), "text").mapInArrow(
-        count, "source string, fine int, n long").groupBy("source", "fine").agg(F.sum("n").alias("tokens"))
+def row_key(seed: int = 0) -> Column:
+    """A hash of a row's id and text: equal rows share it."""
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
 
 
 def fine_block(seed: int = 0) -> Column:
     """A row's fine block, by doc_id and text: different texts of a hot id fall into different blocks."""
-    return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(FINE)).cast("int")
+    return F.pmod(row_key(seed), F.lit(FINE)).cast("int")
 
 
 def _statistics(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
@@ -135,39 +150,44 @@ def mix(docs: DataFrame, target: Target = Target(), vocabulary: Vocabulary = BYT
     (place in the mixture, 0 to 1: sorted by it, sources interleave by their weights).
 
     By default no document is left out: the largest source relative to its weight is used once, others up to
-    twice. With a smaller budget, a block on the edge gives documents in hashed order while they fit. A null source
-    is a source; a null text is one end id; repeated rows are taken alike; extra columns are kept; an empty table
-    stays empty. Text is shuffled only where the block plan is too large to broadcast, and for blocks on an edge."""
+    twice. With a smaller budget, a block on the edge gives documents in hashed order while they fit, repeated rows all
+    or none. A null source is a source; a null text is one end id; extra columns are kept; an empty table stays empty.
+    Texts are encoded once, into one narrow stored row each, which also decides the edges. Text is shuffled only where
+    the block plan or the rows chosen at the edges are too many to broadcast."""
     spark = docs.sparkSession
-    narrow = docs.select("doc_id", F.col("source").cast("string").alias("source"), "text")
-    fine = stored(spark, source_tokens(narrow, vocabulary), "fine")
-    plan = stored(spark, mixture(fine, target, block_tokens, seed), "plan")
-    own = [c for c in docs.columns]
-    left = docs.withColumn("_fine", fine_block())
-    sources = plan.select(F.col("source").alias("_source"), F.col("n_blocks").alias("_n")).distinct()
-    left = left.join(sources, F.col("source").cast("string").eqNullSafe(F.col("_source"))).withColumn(
-        "_block", F.pmod("_fine", "_n"))
+    narrow = stored(spark, document_tokens(docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), "text"), vocabulary), "tokens")
+    plan = stored(spark, mixture(block_tokens_of(narrow), target, block_tokens, seed), "plan")
     plan = plan.select(*[F.col(c).alias(f"_p_{c}") for c in plan.columns])
-    rows = left.join(plan, F.col("_source").eqNullSafe(F.col("_p_source")) & (F.col("_block") == F.col("_p_block")))
-    turn = F.xxhash64(F.lit(seed), "_p_epoch", "doc_id", "text")
-    inside = F.pmod(turn, F.lit(1 << 20)) / F.lit(float(1 << 20))
+    sources = plan.select(F.col("_p_source").alias("_source"), F.col("_p_n_blocks").alias("_n")).distinct()
+
+    def placed(rows: DataFrame, source: Column) -> DataFrame:
+        """Rows (with _fine and _key) once per epoch that their block is used in."""
+        left = rows.join(sources, source.eqNullSafe(F.col("_source"))).withColumn("_block", F.pmod("_fine", "_n"))
+        return left.join(plan, F.col("_source").eqNullSafe(F.col("_p_source")) & (F.col("_block") == F.col("_p_block"))
+                         ).withColumn("_edge", F.col("_p_room") < F.col("_p_tokens")).withColumn(
+            "_turn", F.xxhash64(F.lit(seed), "_p_epoch", "_key"))
+
+    # The rows that fit at an edge, from the narrow table.
+    block = ["_p_source", "_p_block", "_p_epoch"]
+    edge = placed(narrow.select(F.col("source").alias("_of"), F.col("fine").alias("_fine"), F.col("key").alias("_key"),
+                                "tokens"), F.col("_of")).where("_edge")
+    per_key = edge.groupBy(*block, "_turn", "_key", "_p_room").agg(F.sum("tokens").alias("_tokens"))
+    so_far = F.sum("_tokens").over(Window.partitionBy(*block).orderBy("_turn", "_key").rowsBetween(
+        Window.unboundedPreceding, 0))
+    fits = per_key.withColumn("_sum", so_far).where(F.col("_sum") <= F.col("_p_room")).select(
+        F.col("_p_source").alias("_f_source"), F.col("_p_epoch").alias("_f_epoch"), F.col("_key").alias("_f_key"))
+    fits = stored(spark, fits, "fits")
+
+    own = docs.columns
+    rows = placed(docs.withColumns({"_fine": fine_block(), "_key": row_key()}), F.col("source").cast("string"))
+    inside = F.pmod("_turn", F.lit(1 << 20)) / F.lit(float(1 << 20))
     at = (F.col("_p_epoch").cast("double") * F.col("_p_epoch_tokens") + F.col("_p_before")
           + inside * F.col("_p_room")) / F.col("_p_budget")
-    rows = rows.select(*own, F.col("_p_epoch").alias("mix_epoch"), at.alias("mix_at"), "_p_source", "_p_block",
-                       "_p_room", (F.col("_p_room") < F.col("_p_tokens")).alias("_edge"), turn.alias("_turn"))
-    edge = rows.where("_edge")
-
-    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, ends in encoded(batches, vocabulary):
-            yield part.append_column("_tokens", pa.array(np.diff(ends, prepend=0) + 1, pa.int64()))
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in edge.schema)
-    edge = edge.mapInArrow(sized, f"{fields}, _tokens long")
-    so_far = F.sum("_tokens").over(Window.partitionBy("_p_source", "_p_block", "mix_epoch").orderBy(
-        "_turn", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    edge = edge.withColumn("_sum", so_far).where(F.col("_sum") <= F.col("_p_room"))
-    keep = [*own, "mix_epoch", "mix_at"]
-    return rows.where("not _edge").select(*keep).unionByName(edge.select(*keep))
+    keep = [*own, F.col("_p_epoch").alias("mix_epoch"), at.alias("mix_at")]
+    chosen = rows.where("_edge").join(fits, F.col("_p_source").eqNullSafe(F.col("_f_source")) & (
+        F.col("_p_epoch") == F.col("_f_epoch")) & (F.col("_key") == F.col("_f_key")), "left_semi")
+    return rows.where("not _edge").select(*keep).unionByName(chosen.select(*keep))
 
 
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
