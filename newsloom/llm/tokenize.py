@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,8 @@ import pyarrow.compute as pc
 
 # A run of letters that no normaliser changes but for A-Z, and the marks that may follow it.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-_WORD = re.compile(f"([ \n]?)([{_LETTERS}]+)([.,!?;:]*)")
-_LOWER = re.compile("()([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
+_WORD = f"^(?P<lead>[ \n]?)(?P<core>[{_LETTERS}]+)(?P<marks>[.,!?;:]*)$"
+_LOWER = "^(?P<lead>)(?P<core>[a-z\u00df-\u00f6\u00f8-\u00ff]+)(?P<marks>[.,!?;:]*)$"
 
 SLICE_BYTES = 6 << 20  # text bytes laid out at a time
 KEEP_CHUNKS = 600_000  # chunks a worker remembers before it drops the rarer half
@@ -61,6 +61,50 @@ def encoder(vocabulary: Vocabulary) -> Encoder:
     return _ENCODERS[vocabulary]
 
 
+class Remembered:
+    """The ids of many strings one after another, and how often each was met."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.starts, self.lengths, self.hits = (np.zeros(1024, np.int64) for _ in range(3))
+        self.flat, self.used, self.n = np.zeros(4096, np.uint32), 0, 0
+
+    def places(self, strings: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.place.get, strings, repeat(-1)), np.int64, len(strings))
+
+    def ids(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these entries one after another, and where each one's end."""
+        lengths = self.lengths[entry]
+        ends = np.cumsum(lengths)
+        source = np.repeat(self.starts[entry] - (ends - lengths), lengths)
+        source += np.arange(len(source))
+        return self.flat[source], ends
+
+    def add(self, strings: list[str], ids: np.ndarray, lengths: np.ndarray, hits: np.ndarray | int = 0) -> np.ndarray:
+        """Appends strings that are not there yet; returns their places."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(strings) > len(self.starts):
+            self.starts, self.lengths, self.hits = (
+                np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths, self.hits))
+        self.flat[self.used:self.used + len(ids)] = ids
+        at = slice(self.n, self.n + len(strings))
+        self.starts[at] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[at], self.hits[at] = lengths, hits
+        self.place.update(zip(strings, range(self.n, self.n + len(strings))))
+        self.used, self.n = self.used + len(ids), self.n + len(strings)
+        return np.arange(at.start, at.stop)
+
+    def frequent(self) -> Remembered:
+        """The half of the strings that was met more often, with halved counts."""
+        hits = self.hits[:self.n]
+        keep = np.flatnonzero(hits > np.median(hits))
+        strings = list(self.place)  # in the order of their places
+        out = Remembered()
+        out.add([strings[k] for k in keep.tolist()], self.ids(keep)[0], self.lengths[keep], hits[keep] // 2)
+        return out
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         from tokenizers import Tokenizer
@@ -86,67 +130,43 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(256 + k) for k, b in enumerate(rest)}
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.words: dict[str, list[int]] = {"": []}
-        self.starts, self.lengths, self.hits = (np.zeros(1024, np.int64) for _ in range(3))
-        self.flat, self.used, self.n = np.zeros(4096, np.uint32), 0, 0
-
-    def _ids(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of remembered chunks one after another, and where each chunk's ids end."""
-        lengths = self.lengths[entry]
-        ends = np.cumsum(lengths)
-        source = np.repeat(self.starts[entry] - (ends - lengths), lengths)
-        source += np.arange(len(source))
-        return self.flat[source], ends
-
-    def _drop_rare(self) -> None:
-        """Keeps the half of the chunks that was met more often, with halved counts."""
-        hits = self.hits[:self.n]
-        keep = np.flatnonzero(hits > np.median(hits))
-        chunks = list(self.place)  # in the order of their places
-        flat, ends = self._ids(keep)
-        lengths, hits = self.lengths[keep], hits[keep] // 2
-        self.forget()
-        self._reserve(len(keep), len(flat))
-        self.flat[:len(flat)], self.lengths[:len(keep)], self.hits[:len(keep)] = flat, lengths, hits
-        self.starts[:len(keep)] = ends - lengths
-        self.used, self.n = len(flat), len(keep)
-        self.place = {chunks[k]: at for at, k in enumerate(keep.tolist())}
-
-    def _reserve(self, chunks: int, ids: int) -> None:
-        while self.used + ids > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + chunks > len(self.starts):
-            self.starts, self.lengths, self.hits = (
-                np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths, self.hits))
+        self.chunks, self.words = Remembered(), Remembered()
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _word(self, word: str) -> list[int]:
         """Ids of one word (as the library cuts texts) from the library's model."""
-        if (ids := self.words.get(word)) is None:
-            if word.isascii():  # only the space or line break before it has another character
-                spelt = self.letters[ord(word[0])] + word[1:] if word[0] in " \n" else word
-            else:
-                spelt = word.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(spelt)]
-            if len(self.words) > KEEP_WORDS:
-                self.words = {"": []}
-            self.words[word] = ids
-        return ids
-
-    def _plain(self, chunk: str) -> list[int] | None:
-        """Ids of a chunk of letters and sentence marks; None for any other."""
-        if not (m := self.pattern.fullmatch(chunk)) or len(chunk) > KEEP_CHARS:
-            return None
-        lead, core, marks = m.groups()
-        if lead == "\n":
-            return self._word("\n") + self._word(core) + self._word(marks)
-        return self._word(lead + core) + self._word(marks)
+        if not word:
+            return []
+        if word.isascii():  # only the space or line break before it has another character
+            spelt = self.letters[ord(word[0])] + word[1:] if word[0] in " \n" else word
+        else:
+            spelt = word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(spelt)]
+
+    def _plain(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(which, ids, lengths)``: the chunks of letters and sentence marks, and their ids. Each is a line break or
+        nothing, a word with the space before it, and the marks; distinct words are encoded once."""
+        parts = pc.extract_regex(chunks, self.pattern)
+        fits = pc.and_(parts.is_valid(), pc.less_equal(pc.utf8_length(chunks), KEEP_CHARS))
+        which = np.flatnonzero(fits.to_numpy(zero_copy_only=False))
+        lead, core, marks = parts.take(pa.array(which)).flatten()
+        new_line = pc.equal(lead, "\n")
+        first = pc.binary_join_element_wise(pc.if_else(new_line, "", lead), core, "")
+        words = pa.concat_arrays([pc.if_else(new_line, "\n", ""), first, marks]).dictionary_encode()
+        known = words.dictionary.to_pylist()
+        if self.words.n + len(known) > KEEP_WORDS:
+            self.words = Remembered()
+        at = self.words.places(known)
+        missing = np.flatnonzero(at < 0)
+        new = [known[k] for k in missing.tolist()]
+        rows = [self._word(w) for w in new]
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        at[missing] = self.words.add(new, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
+        entry = at[words.indices.to_numpy()].reshape(3, len(which)).T.ravel()
+        ids, _ = self.words.ids(entry)
+        return which, ids, self.words.lengths[entry].reshape(-1, 3).sum(axis=1)
 
     def _cut(self, chunks: list[str], ids: np.ndarray) -> np.ndarray | None:
         """Where the ids of each chunk end when all were encoded as one text: by the bytes the ids stand for.
@@ -168,28 +188,24 @@ class Encoder:
         ends = ends.tolist()
         return [ids[m:n] for m, n in zip([0, *ends[:-1]], ends)]
 
-    def _add(self, chunks: list[str]) -> None:
-        """Encode chunks and append them to the remembered ones, in order."""
-        rows = [self._plain(c) for c in chunks]
-        other = [c for c, r in zip(chunks, rows) if r is None]
+    def _add(self, chunks: list[str]) -> np.ndarray:
+        """Encodes chunks that are not remembered; returns their places."""
+        at = np.empty(len(chunks), np.int64)
+        which, ids, lengths = self._plain(pa.array(chunks, pa.string()))
+        at[which] = self.chunks.add([chunks[k] for k in which.tolist()], ids, lengths)
+        rest = np.setdiff1d(np.arange(len(chunks)), which)
+        other = [chunks[k] for k in rest.tolist()]
         found = {}
         short = [c for c in other if "|" not in c and 0 < len(c) <= KEEP_CHARS]
         ready = [c for c in short if (c[0] == " ") == self.spaced and (self.spaced or c.isascii())]
         for group in (ready, sorted(set(short).difference(ready))):
-            for at in range(0, len(group), 20_000):
-                part = group[at:at + 20_000]
+            for begin in range(0, len(group), 20_000):
+                part = group[begin:begin + 20_000]
                 found.update(zip(part, self._together(part)))
-        rows = [(found[c] if c in found else self.whole(c)) if r is None else r for c, r in zip(chunks, rows)]
+        rows = [found[c] if c in found else self.whole(c) for c in other]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        total = int(lengths.sum())
-        self._reserve(len(rows), total)
-        if rows:
-            self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(rows), np.uint32, total)
-        self.starts[self.n:self.n + len(rows)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[self.n:self.n + len(rows)] = lengths
-        for k, c in enumerate(chunks):
-            self.place[c] = self.n + k
-        self.used, self.n = self.used + total, self.n + len(rows)
+        at[rest] = self.chunks.add(other, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
+        return at
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)``: the ids of all texts one after another, and where each text's ids end. Null: none."""
@@ -212,18 +228,15 @@ class Encoder:
         chunks = lists.flatten()
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if self.n + len(words) > KEEP_CHUNKS:
-            self._drop_rare()
-        get = self.place.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        if self.chunks.n + len(words) > KEEP_CHUNKS:
+            self.chunks = self.chunks.frequent()
+        at = self.chunks.places(words)
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            first = self.n
-            self._add([words[k] for k in missing])
-            at[missing] = first + np.arange(len(missing))
+            at[missing] = self._add([words[k] for k in missing.tolist()])
         entry = at[coded.indices.to_numpy()] if len(chunks) else np.zeros(0, np.int64)
-        self.hits[:self.n] += np.bincount(entry, minlength=self.n)
-        ids, ends = self._ids(entry)
+        self.chunks.hits[:self.chunks.n] += np.bincount(entry, minlength=self.chunks.n)
+        ids, ends = self.chunks.ids(entry)
         bounds = np.concatenate([[0], ends])[np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()]
         if odd:
             parts = np.split(ids, bounds[:-1]) if len(bounds) else []
