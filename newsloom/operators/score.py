@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from ..functions import memo_column
 from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score
 from ..sources.catalog import DEFAULT_WEIGHT, article_lookup_key, source_lookup
-from .util import is_empty, lookup_join
+from .util import is_empty, lookup_join, stored
+
+# At most this many ids are broadcast (8 bytes each) to filter the scan of article texts.
+BROADCAST_IDS = 4_000_000
+# At most this many dates are written into the partition filter of that scan.
+FILTER_DATES = 1_000
 
 SCORED_COLUMNS = ["raw_id", "db_engine", "topic", "impact_score", "is_duplicate"]
 
@@ -72,18 +77,50 @@ def with_source_weights(articles: DataFrame, catalog: DataFrame) -> DataFrame:
         F.coalesce(F.col("source_weight"), dflt).alias("source_weight"))
 
 
+def content_of(raw: DataFrame, ids: DataFrame, columns: list[str]) -> tuple[DataFrame, bool]:
+    """``(rows, exact)``: ``columns`` of the ``raw`` rows whose id is in ``ids`` (id and, if ``raw`` has it,
+    ingested_date; stored and narrow), read so that the texts of other rows stay on disk where the layout allows.
+
+    The ids' range is pushed into the scan as literals: new articles have the largest ids, so row groups of scored
+    ones are skipped. Where ``raw`` is partitioned by ingest date, only the dates of ``ids`` are listed. Up to
+    BROADCAST_IDS ids then filter the rows map-side, before anything is computed on a text, and ``exact`` is true.
+    With more ids the rows come unfiltered (within range and dates): the caller joins its narrow result to ``ids``,
+    as the texts are not to be shuffled."""
+    n, low, high = ids.agg(F.count(F.lit(1)), F.min("id"), F.max("id")).first()
+    if low is None:
+        return raw.select(*columns).where("false"), True
+    rows = raw.where(F.col("id").between(low, high))
+    if "ingested_date" in raw.columns:
+        dates = [r[0] for r in ids.select("ingested_date").distinct().limit(FILTER_DATES + 1).collect()]
+        if len(dates) <= FILTER_DATES:
+            known = F.col("ingested_date").isin([d for d in dates if d is not None])
+            rows = rows.where(known | F.col("ingested_date").isNull() if None in dates else known)
+    rows = rows.select(*columns)
+    if n > BROADCAST_IDS:
+        return rows, False
+    return rows.join(F.broadcast(ids.select(F.col("id").alias("_id"))), F.col("id") == F.col("_id"), "left_semi"), True
+
+
 def score_articles(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | None, catalog: DataFrame,
                    mode: str = "weekly", allowed: DataFrame | None = None) -> DataFrame:
     """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE).
 
-    ``content`` (the widest column) is only read map-side: the keyword ratio is
-    computed on the scan, so the anti join and the responses join shuffle narrow
-    rows only.
+    With a ``scored`` table the unscored ids are found first, on (id, source), and stored; ``content`` (the widest
+    column) is then read for those (:func:`content_of`). The keyword ratio is computed on the scan, so only narrow
+    rows are shuffled: ``content`` never is.
     """
-    base = filter_sources(raw.select("id", "source", "content"), allowed)
-    narrow = with_keyword_score(with_source_weights(base, catalog)).drop("content", "tags")
-    todo = unscored_articles(narrow, scored) if scored is not None else narrow
-    scored_new = with_impact_score(with_signals(todo, responses), mode)
+    columns = ["id", "source", "content"]
+    todo = None
+    if scored is None:
+        base = filter_sources(raw.select(*columns), allowed)
+    else:
+        narrow = raw.select("id", "source", *[c for c in ("ingested_date",) if c in raw.columns])
+        todo = stored(unscored_articles(narrow, scored, allowed).drop("source"), "unscored")
+        base, exact = content_of(raw, todo, columns)
+    rows = with_keyword_score(with_source_weights(base, catalog)).drop("content", "tags")
+    if todo is not None and not exact:
+        rows = rows.join(todo.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_semi")
+    scored_new = with_impact_score(with_signals(rows, responses), mode)
     return scored_new.select(
         F.col("id").alias("raw_id"), F.col("sig.db_engine").alias("db_engine"), F.col("sig.topic").alias("topic"),
         "impact_score", F.lit(False).alias("is_duplicate"))

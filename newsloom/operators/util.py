@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the session's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read again. Cuts the lineage and survives a
+    lost executor like a checkpoint; later steps also read single columns and Spark knows the table's size."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_empty(df: DataFrame):
     """Scalar-subquery Column: TRUE when ``df`` has no rows (evaluated once per query)."""
     return df.select(F.count(F.lit(1))).scalar() == 0
