@@ -18,7 +18,8 @@ ITEM_ORDER = ("source_ord", "item_ord")
 def feed_items(payloads: DataFrame, body_col: str = "body") -> DataFrame:
     """Payloads ``(source, feed_url, source_ord, body)`` -> parsed items (rejected feeds give none)."""
     body = F.col(body_col)
-    text = decode_payload(body) if dict(payloads.dtypes)[body_col] == "binary" else body
+    encoding = F.col("content_encoding") if "content_encoding" in payloads.columns else None
+    text = decode_payload(body, encoding) if dict(payloads.dtypes)[body_col] == "binary" else body
     parsed = parse_feed(payloads.withColumn("_text", text).drop(body_col), text_col="_text")
     return parsed.where(F.col("item_ord").isNotNull())
 
@@ -112,18 +113,29 @@ def ingest_new(raw: DataFrame, items: DataFrame, as_of) -> DataFrame:
 
 
 def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame | None = None,
-            keep_url_before: bool = False) -> tuple:
-    """The collect job: (healthy feeds) -> parse -> valid items -> URL rewrite -> insert-if-absent.
+            keep_url_before: bool = False, answers: DataFrame | None = None) -> tuple:
+    """The collect job: (healthy feeds) -> fetch rounds or payloads -> parse -> valid items -> URL rewrite ->
+    insert-if-absent.
 
-    Returns ``(raw_after_rewrite, new_rows)``; the caller appends ``new_rows``.
+    ``payloads`` holds the feeds' bodies; with ``answers`` (a crawler's results by URL) only their source, feed_url and
+    source_ord are used, and each feed's body comes from its fetch rounds (``sources.fetch``). Returns
+    ``(raw_after_rewrite, new_rows)``; the caller appends ``new_rows``.
     """
     if feed_status is not None:
         from ..sources.feeds import healthy_feeds
         payloads = healthy_feeds(payloads, feed_status)
     checkpoint_dir(payloads.sparkSession)
-    # Items feed both the rewrite and the insert: parse the feeds once (reliable
-    # checkpoint in the shared folder, which also cuts the lineage).
-    items = valid_items(feed_items(payloads)).checkpoint(eager=True)
+    # Items feed both the rewrite and the insert: the feeds are parsed once and stored in the shared folder.
+    if answers is not None:
+        from ..sources.fetch import FEED, fetch_rounds
+        parsed = fetch_rounds(payloads.select(*FEED), answers).items.where(F.col("item_ord").isNotNull())
+    else:
+        parsed = feed_items(payloads)
+    return collect_items(raw, valid_items(parsed).checkpoint(eager=True), as_of, keep_url_before)
+
+
+def collect_items(raw: DataFrame, items: DataFrame, as_of, keep_url_before: bool = False) -> tuple:
+    """URL rewrite and insert-if-absent for stored valid items."""
     rewritten = rewrite_urls(raw, items)
     new_rows = ingest_new(rewritten.drop("url_before"), items, as_of)
     return (rewritten if keep_url_before else rewritten.drop("url_before")), new_rows

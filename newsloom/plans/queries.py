@@ -359,6 +359,22 @@ def q_resolve_fetch(spark, d):
                     "error_url", "error")
 
 
+def q_fetch_rounds(spark, d):
+    """Where each feed was found, in which round, and its number of items."""
+    from ..sources.fetch import fetch_rounds
+    got = fetch_rounds(B.feed_payloads(spark, d).drop("body"), B.feed_answers(spark, d))
+    return got.items.where("item_ord is not null").groupBy("source", "source_ord", "round", "fetched_url").agg(
+        F.count(F.lit(1)).alias("items"))
+
+
+def q_fetch_requests(spark, d):
+    """What to fetch next, when so far only the feeds' own URLs were asked for."""
+    from ..sources.fetch import fetch_rounds
+    answers = B.feed_answers(spark, d).where(F.col("url").endswith("/rss.xml"))
+    got = fetch_rounds(B.feed_payloads(spark, d).drop("body"), answers)
+    return got.pending.select("source", "round", "attempt_no", "url")
+
+
 def q_candidate_feed_urls(spark, d):
     from ..sources.feeds import candidate_feed_urls
     c = B.candidate_sources(spark, d)
@@ -404,9 +420,10 @@ def q_assign_ids(spark, d):
 
 
 def q_collect(spark, d):
-    """The whole collect job with the feed health check on."""
+    """The whole collect job: health check on, bodies from the fetch rounds (candidates, alternate links)."""
     from ..operators.ingest import collect
-    _, new = collect(_stored(spark, d), B.feed_payloads(spark, d), AS_OF, feed_status=B.feed_status(spark, d))
+    _, new = collect(_stored(spark, d), B.feed_payloads(spark, d).drop("body"), AS_OF, feed_status=B.feed_status(spark, d),
+                     answers=B.feed_answers(spark, d))
     return new.select("id", "source", "title", "url")
 
 

@@ -172,18 +172,20 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.regexp_extract("url", r"^[^?#]*", 0)
     link = F.when(F.col("page_id") % 2 == 1, cut).otherwise(F.col("url"))
     return p.select(
-        "page_id", "url", feed_no.alias("feed_no"), (feed_no % 5).alias("variant"),
+        "page_id", "url", feed_no.alias("feed_no"), (feed_no % 8).alias("variant"),
         _page_title(F.col("html")).alias("title_xml"), link.alias("link"),
         F.concat(F.lit("day "), F.col("page_id").cast("string")).alias("pub"),
         F.concat(F.lit('<a href="'), F.col("url"), F.lit('">read</a>')).alias("content"))
 
 
 def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed documents built from pages, 10 items per feed; variant = feed number % 5:
+    """Feed documents built from pages, 10 items per feed; variant = feed number % 8:
     0 plain RSS, 1 '&nbsp;' in titles, 2 junk before '<rss', 3 Atom entries with two links,
-    4 truncated body (rejected). Returns ``(source, feed_url, source_ord, body)``."""
+    4 truncated body (rejected), 5 items nested deeper than a channel, 6 RSS 1.0 (a default namespace: no items),
+    7 titles with markup behind their text. Returns ``(source, feed_url, source_ord, body)``."""
     fp = feed_pages(spark, sf_dir)
-    title = F.when(F.col("variant") == 1, F.concat(F.col("title_xml"), F.lit("&nbsp;x"))).otherwise(F.col("title_xml"))
+    title = (F.when(F.col("variant") == 1, F.concat(F.col("title_xml"), F.lit("&nbsp;x")))
+             .when(F.col("variant") == 7, F.concat(F.col("title_xml"), F.lit("<b>b</b> c"))).otherwise(F.col("title_xml")))
     cdata = F.concat(F.lit("<![CDATA["), F.col("content"), F.lit("]]>"))
     rss_item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), _xml_escape_amp(F.col("link")),
                         F.lit("</link><pubDate>"), F.col("pub"), F.lit("</pubDate><description>"), cdata,
@@ -203,6 +205,10 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = (F.when(F.col("variant") == 2, F.concat(F.lit("junk bytes "), rss))
             .when(F.col("variant") == 3, atom)
             .when(F.col("variant") == 4, F.substring(rss, 1, F.length(rss) - 20))
+            .when(F.col("variant") == 5, F.concat(F.lit("<rss><channel><section><list>"), F.col("inner"),
+                                                  F.lit("</list></section></channel></rss>")))
+            .when(F.col("variant") == 6, F.concat(F.lit('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" '
+                                                        'xmlns="http://purl.org/rss/1.0/">'), F.col("inner"), F.lit("</rdf:RDF>")))
             .otherwise(rss))
     return feeds.select(F.concat(F.lit("feed"), F.col("feed_no").cast("string")).alias("source"),
                         F.concat(F.lit("https://feeds.example.org/"), F.col("feed_no").cast("string"),
@@ -210,6 +216,32 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("feed_no").cast("int").alias("source_ord"), body.alias("body"))
 
 
+def feed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawler's results by URL for the feeds of :func:`feed_payloads`; feed number % 6 says how a feed is reached:
+    0, 1 at its own URL; 2 at the third candidate; 3 by the alternate link of an HTML page at its own URL; 4 at its own
+    URL, gzip-compressed; 5 not at all (every URL fails). Returns ``(url, ok, body, content_encoding, error)``."""
+    p = feed_payloads(spark, sf_dir)
+    way = F.col("source_ord") % 6
+    base = F.concat(F.lit("https://feeds.example.org/"), F.col("source_ord").cast("string"))
+    alternate = F.concat(base, F.lit("/all.xml"))
+    page = F.concat(F.lit('<html><head><link rel="alternate" type="application/rss+xml" href="'), alternate,
+                    F.lit('"></head><body><p>moved<br></body></html>'))
+    none = F.lit(None).cast("binary")
+
+    def row(url, body, packed=None):
+        return F.struct(url.alias("url"), body.isNotNull().alias("ok"), body.alias("body"),
+                        (F.lit(None).cast("string") if packed is None else packed).alias("content_encoding"),
+                        F.when(body.isNull(), F.lit("HTTP Error 404: Not Found")).alias("error"))
+
+    body = F.encode("body", "UTF-8")
+    own = (F.when(way.isin(0, 1), body).when(way == 3, F.encode(page, "UTF-8")).when(way == 4, _gzip(F.col("body"))))
+    rows = [row(F.col("feed_url"), own, F.when(way == 4, "gzip"))]
+    for k, path in enumerate(("/feed", "/feed.xml", "/rss", "/atom.xml", "/index.xml")):
+        rows.append(row(F.concat(base, F.lit(path)), F.when(way == 2, body) if k == 2 else none))
+    rows.append(row(alternate, F.when(way == 3, body)))
+    return p.select(F.explode(F.array(*rows)).alias("a")).select("a.*")
+
+
 def stored_feed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows an earlier run stored for pages whose id also appears in ``labels``: the item's
     source and title with the link as published (cut at '?'/'#' for odd page ids)."""

@@ -5,12 +5,13 @@ from __future__ import annotations
 import gzip
 import re
 import zlib
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import bind
 from ..functions.text import resolve_url
@@ -103,8 +104,50 @@ def _root_default_ns(text: Column) -> Column:
     return F.regexp_extract(attrs, r"""\sxmlns\s*=\s*["']([^"']*)["']""", 1)
 
 
-def _root_prefixed_atom(text: Column) -> Column:
-    return text.rlike(r"""<([A-Za-z_][\w.-]*):feed\b[^>]*\sxmlns:\1\s*=\s*["']""" + ATOM_NS.replace(".", r"\.") + "[\"']")
+# What one schema of three fixed places can't read: markup or comments inside a field, and other prefixes of Atom fields.
+INNER_MARKUP = r"<(?:title|link|pubDate|description|published|summary)(?:\s[^>]*)?>[^<]*<(?!/|!\[CDATA\[)"
+PREFIXED_ATOM = (r"<atom:entry[\s/>]|\sxmlns:(?!atom[\s=])[\w.-]+\s*=\s*[\"']" + ATOM_NS.replace(".", r"\.") + r"[\"']"
+                 r"|\sxmlns:atom\s*=\s*[\"'](?!" + ATOM_NS.replace(".", r"\.") + r"[\"'])")
+# A field's element, and the Atom element (and its attribute) that stands in for a missing one.
+FIELDS = (("title", "title", "title", None), ("link", "link", "link", "href"), ("published", "pubDate", "published", None),
+          ("content", "description", "summary", None))
+
+
+def _field(item: ElementTree.Element, plain: str, atom: str, attribute: str | None) -> str | None:
+    """Text before the first child of the item's first such element (None if it is empty), '' without one."""
+    if (own := item.find(plain)) is not None:
+        return own.text
+    if (own := item.find(f"{{{ATOM_NS}}}{atom}")) is None:
+        return ""
+    return own.get(attribute, "") if attribute else own.text
+
+
+@pandas_udf(ArrayType(StructType([StructField(name, StringType()) for name, *_ in FIELDS])))
+def _walk_items(text: pd.Series) -> pd.Series:
+    """Items of well-formed feeds at any depth, in document order: ``item`` elements, else ``entry`` elements, else the
+    root's own Atom entries. Null where the text isn't well-formed for this parser."""
+    def one(t):
+        if t is None:
+            return None
+        try:
+            root = ElementTree.fromstring(t)
+        except (ElementTree.ParseError, ValueError):
+            return None
+        below = [e for e in root.iter() if e is not root]
+        found = ([e for e in below if e.tag == "item"] or [e for e in below if e.tag == "entry"]
+                 or [e for e in root if e.tag == f"{{{ATOM_NS}}}entry"])
+        return [{name: _field(e, *where) for name, *where in FIELDS} for e in found]
+    return text.map(one)
+
+
+def _beyond_schema(text: Column, ns: Column, items: Column, entries: Column) -> Column:
+    """Whether a feed has what the fixed schema misses: items elsewhere than in a channel or under the root, markup
+    inside a field, default namespaces below the root, or prefixed Atom entries."""
+    def tags(name: str) -> Column:
+        return F.regexp_count(text, F.lit(rf"<{name}[\s/>]"))
+    deep = (tags("item") != F.size(items)) | ((F.size(items) == 0) & (tags("entry") != F.size(entries)))
+    spaces = F.regexp_count(text, F.lit(r"\sxmlns\s*=")) > F.when(ns != "", 1).otherwise(0)
+    return ((ns == "") & deep) | text.rlike(INNER_MARKUP) | spaces | text.rlike(PREFIXED_ATOM)
 
 
 def _ref_text(v: Column) -> Column:
@@ -129,16 +172,20 @@ def _rss_row(i: Column) -> Column:
                     _first_text(i["description"], _first_text(i["atom:summary"])).alias("content"))
 
 
-def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
+def parse_feed(payloads: DataFrame, text_col: str = "text", with_alternate: bool = False) -> DataFrame:
     """Feed text -> one row per item: (..., item_ord, title, link, published, content) and a
     per-feed status column ``parse_status`` ('ok' / 'repaired' / 'rejected').
 
-    RSS ``item`` elements (of every channel, or at root level) come first, with the first of repeated elements and
-    ``atom:`` elements where theirs are missing; without them, entries
+    RSS ``item`` elements at any depth come first, with the first of repeated elements, their text before any child,
+    and Atom elements where theirs are missing; without them, entries
     of an Atom feed (link = first link's href, published, summary); entries of a
     feed without the Atom namespace read the link text. A feed whose root declares
     another default namespace (RSS 1.0) yields no items. A malformed feed gets one
-    :func:`repair_xml` pass; if that fails too it is rejected (no items).
+    :func:`repair_xml` pass; if that fails too it is rejected (no items); ``with_alternate`` then adds
+    ``alternate_url``, the alternate feed linked in its HTML (NULL for all other rows).
+
+    Feeds are read by one fixed schema in the JVM. Only those that hold something it can't see
+    (:func:`_beyond_schema`) go, in Arrow batches, to a tree parser.
     """
     t = F.col(text_col)
     # The strict parse is its own column: it is read twice below and parsed once.
@@ -173,15 +220,16 @@ def parse_feed(payloads: DataFrame, text_col: str = "text") -> DataFrame:
     plain = (F.when(rejected, F.array()).when(ns != "", F.when(atom, entry_rows).otherwise(F.array()))
              .when(F.size(rss_rows) > 0, rss_rows).otherwise(entry_rows))
     df = df.withColumn("_items", plain).withColumn("parse_status", status)
-    # Prefixed Atom (<a:feed xmlns:a=Atom>): read again without prefixes, only where nothing was found.
-    ns_x = F.from_xml(F.col("_text"), FEED_SCHEMA, dict(XML_OPTIONS, ignoreNamespace="true"))
-    retry = (F.size(F.col("_items")) == 0) & ~rejected & _root_prefixed_atom(F.col("_text"))
-    retry_rows = F.transform(F.coalesce(ns_x["entry"], F.array().cast(f"array<struct<{_ENTRY}>>")),
-                             lambda e: entry_row(e, F.lit(True)))
-    df = df.withColumn("_items", F.when(retry, retry_rows).otherwise(F.col("_items")))
+    walk = ~rejected & _beyond_schema(F.col("_text"), ns, rss, entries)
+    df = df.withColumn("_walked", F.when(walk, F.col("_text")))
+    df = df.withColumn("_items", F.coalesce(_walk_items("_walked"), F.col("_items")))
     keep = [c for c in payloads.columns if c != text_col]
-    return df.select(*keep, "parse_status", F.posexplode_outer("_items").alias("item_ord", "it")) \
-        .select(*keep, "parse_status", "item_ord", "it.title", "it.link", "it.published", "it.content")
+    more = []
+    if with_alternate:
+        more = ["alternate_url"]
+        df = df.withColumn("alternate_url", F.when(F.col("parse_status") == "rejected", alternate_feed_url(t, F.col("feed_url"))))
+    return df.select(*keep, *more, "parse_status", F.posexplode_outer("_items").alias("item_ord", "it")) \
+        .select(*keep, *more, "parse_status", "item_ord", "it.title", "it.link", "it.published", "it.content")
 
 
 # ---- A7 fetch resolution, A8 candidates, A9 alternate feed ------------------------------------
