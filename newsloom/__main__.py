@@ -8,6 +8,7 @@ writes new snapshots to ``OUT`` (never over its own inputs):
 * ``OUT/scored``  scored table
 * ``OUT/briefs``  one Markdown file per mode
 * ``OUT/health``  link-health summary
+* ``OUT/requests`` with ``--answers``: the URLs to fetch next
 
 With ``--in-place`` the ``--raw`` (partitioned by ``ingested_date``) and
 ``--scored`` tables are updated where they are instead: new scores are
@@ -43,7 +44,11 @@ def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="newsloom")
     ap.add_argument("--mode", default="weekly")
     ap.add_argument("--as-of", required=True, help="run time, e.g. 2024-01-31 or 2024-01-31 06:00:00")
-    ap.add_argument("--catalog", required=True, help="folder or file of v2 catalog JSON documents")
+    ap.add_argument("--catalog", required=True, help="folder or file of catalog JSON documents (v2 or legacy)")
+    ap.add_argument("--answers", help="parquet: url, ok, body, error[, content_encoding]: a crawler's results, used for the "
+                                      "feeds of the catalog instead of --payloads")
+    ap.add_argument("--templates", help="folder of <name>.txt prompt templates (article_weekly, article_ai_radar, ...)")
+    ap.add_argument("--titles", help="folder of the title index (kept from run to run; built on its first use)")
     ap.add_argument("--payloads", help="parquet: source, feed_url, source_ord, body (text or binary)")
     ap.add_argument("--raw", help="parquet snapshot of the articles table from the previous run")
     ap.add_argument("--scored", help="parquet snapshot of the scored table from the previous run")
@@ -59,6 +64,9 @@ def main(argv=None) -> int:
     from .plans.jobs import run_mode
     from .session import build_session
     from .sources.catalog import read_catalog
+    from .sources.fetch import fetch_rounds, selected_feeds
+    from .sources.templates import read_templates
+    from .operators.index import KeyIndex
     from .operators.brief import write_briefs
 
     spark = build_session(args.master)
@@ -67,9 +75,15 @@ def main(argv=None) -> int:
     responses = spark.read.parquet(args.responses) if args.responses else None
     links = _read(spark, args.link_status, "url STRING, status INT, error STRING")
     feed_status = spark.read.parquet(args.feed_status) if args.feed_status else None
-    payloads = _read(spark, args.payloads, PAYLOAD_SCHEMA)
-    result = run_mode(raw, scored, responses, read_catalog(spark, args.catalog), payloads, links, args.mode,
-                      args.as_of, feed_status=feed_status)
+    catalog = read_catalog(spark, args.catalog)
+    answers = spark.read.parquet(args.answers) if args.answers else None
+    payloads = None if args.answers else _read(spark, args.payloads, PAYLOAD_SCHEMA)
+    result = run_mode(raw, scored, responses, catalog, payloads, links, args.mode, args.as_of, feed_status=feed_status,
+                      answers=answers, titles=KeyIndex(spark, args.titles) if args.titles else None,
+                      templates=read_templates(spark, args.templates) if args.templates else None)
+    if answers is not None:
+        feeds = selected_feeds(catalog, args.mode)
+        fetch_rounds(feeds, answers).pending.write.mode("overwrite").parquet(f"{args.out}/requests")
 
     write_briefs(result.brief, f"{args.out}/briefs")
     result.health.write.mode("overwrite").parquet(f"{args.out}/health")
@@ -91,8 +105,7 @@ def _update_in_place(spark, args, raw, result) -> None:
     """
     from .session import checkpoint_dir
     checkpoint_dir(spark)
-    prev_scores = spark.read.parquet(args.scored).select("raw_id")
-    new_scores = result.scored.join(prev_scores, "raw_id", "left_anti").checkpoint(eager=True)
+    new_scores = result.new_scores.checkpoint(eager=True)
     new_rows = result.new_rows.withColumn("ingested_date", F.to_date("ingested_at"))
     rewritten = result.rewritten.withColumnRenamed("url", "_new_url")
     with_date = raw.withColumn("ingested_date", F.coalesce("ingested_date", F.to_date("ingested_at"))) \

@@ -108,7 +108,7 @@ def replace_sources_section(md: Column, source_urls: Column) -> Column:
     return F.when(none, md).otherwise(bind(md, go))
 
 
-def classify_prompt(template: str, content: Column) -> Column:
+def classify_prompt(template: str | Column, content: Column) -> Column:
     """Classification prompt: every ``{{content}}`` replaced by the normalised article text."""
     from .text import normalize_text
-    return F.replace(F.lit(template), F.lit("{{content}}"), normalize_text(content))
+    return F.replace(template if isinstance(template, Column) else F.lit(template), F.lit("{{content}}"), normalize_text(content))

@@ -86,7 +86,7 @@ def top_scored_report(raw: DataFrame, scored: DataFrame, min_score: float, k: in
             .select("id", "title", "url", "impact_score"))
 
 
-def render_briefs(top: DataFrame, groups, as_of, template: str, group_cols=(),
+def render_briefs(top: DataFrame, groups, as_of, template: str | DataFrame, group_cols=(),
                   markdown: Column | None = None) -> DataFrame:
     """Brief text per group from its ranked articles (at most k rows per group).
 
@@ -96,6 +96,9 @@ def render_briefs(top: DataFrame, groups, as_of, template: str, group_cols=(),
     parses as JSON is refused (NULL = keep the previous brief). Then URL tokens
     are repaired and the Sources section is rebuilt from the article URLs.
 
+    ``template`` is one text, or a table with a ``template`` for each value of its other columns, which are label
+    columns.
+
     With ``group_cols`` every row of the ``groups`` DataFrame gets a brief (left
     join); without, ``groups`` is a dict of label columns for the single brief,
     which the global aggregate returns even when no article qualified.
@@ -112,12 +115,17 @@ def render_briefs(top: DataFrame, groups, as_of, template: str, group_cols=(),
         joined = groups.join(items, g, "left")
         labels = [F.col(c) for c in groups.columns]
     else:
-        joined = items
-        labels = [F.lit(v).alias(k) for k, v in dict(groups).items()]
+        joined = items.withColumns({k: F.lit(v) for k, v in dict(groups).items()})
+        labels = [F.col(k) for k in dict(groups)]
+    if isinstance(template, DataFrame):
+        joined = joined.join(template, [c for c in template.columns if c != "template"], "left")
+        text_of = F.col("template")
+    else:
+        text_of = F.lit(template)
     arts = F.coalesce(F.col("_items"), F.array().cast("array<struct<rank:int,line:string,url:string>>"))
     articles_md = F.array_join(F.transform(arts, lambda x: x["line"]), "\n")
     source_urls = F.filter(F.transform(arts, lambda x: x["url"]), lambda u: u.isNotNull() & (u != ""))
-    prompt = render_prompt(F.lit(template), articles_md, as_of_col)
+    prompt = render_prompt(text_of, articles_md, as_of_col)
     text = markdown if markdown is not None else offline_brief(prompt)
     md = replace_sources_section(normalize_url_prefixes(reject_json_output(text), source_urls), source_urls)
     return joined.select(*labels, F.size(arts).alias("article_count"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import memo_column
 from ..functions.text import repair_link, resolve_link
 from ..session import checkpoint_dir
-from .util import lookup_join
+from .util import lookup_join, stored
 from ..sources.feeds import decode_payload, parse_feed
 
 RAW_COLUMNS = ["id", "source", "title", "url", "published_at", "content", "ingested_at"]
@@ -74,71 +74,96 @@ def assign_ids(df: DataFrame, order_cols, start_after: Column, id_col: str = "id
         .drop("_pid", "_mid", "_off")
 
 
-def rewrite_urls(raw: DataFrame, items: DataFrame) -> DataFrame:
-    """Stored rows with the same (source, title, original link) as an item whose link was repaired
-    get the repaired URL. A rewrite onto a URL that already exists is skipped (URLs stay unique);
-    two rewrites onto one URL keep the first item's. Returns ``raw`` with the new URLs and a
-    ``url_before`` column."""
+def repaired_links(items: DataFrame) -> DataFrame:
+    """One rewrite per repaired link: (source, title, original_link, new_url). Two rewrites onto one URL keep the first
+    item's."""
     cand = items.where((F.col("link") != F.col("original_link")) & (F.col("original_link") != ""))
     firsts = cand.groupBy("source", "title", "original_link").agg(
         F.min_by(F.col("link"), F.struct(*ITEM_ORDER)).alias("new_url"),
         F.min(F.struct(*ITEM_ORDER)).alias("_ord"))
     per_url = firsts.groupBy("new_url").agg(F.min_by(F.struct("source", "title", "original_link"), F.col("_ord"))
                                             .alias("k"))
-    rw = per_url.select(F.col("k.source").alias("_s"), F.col("k.title").alias("_t"),
-                        F.col("k.original_link").alias("_o"), "new_url")
+    return per_url.select("k.source", "k.title", "k.original_link", "new_url")
+
+
+def rewrite_changes(raw: DataFrame, items: DataFrame) -> DataFrame:
+    """``(id, new_url)``: stored rows with the same (source, title, original link) as an item whose link was repaired.
+    A rewrite onto a URL that already exists is skipped (URLs stay unique). Reads narrow columns of ``raw`` only."""
+    rw = repaired_links(items).select(F.col("source").alias("_s"), F.col("title").alias("_t"),
+                                      F.col("original_link").alias("_o"), "new_url")
     existing = raw.select(F.col("url").alias("_existing"))
     rw = rw.join(existing, rw["new_url"] == existing["_existing"], "left_anti")
-    # Find the stored rows to change on narrow columns, then apply by id: the wide
-    # raw table (content) is never shuffled for a rewrite that touches few rows.
     keys = raw.select("id", "source", "title", "url")
     hits = keys.join(rw, (keys["source"] == rw["_s"]) & (keys["title"] == rw["_t"]) & (keys["url"] == rw["_o"]))
-    hits = hits.select("id", "new_url")
-    j = lookup_join(raw, hits, "id", "left")
-    return j.select(*[F.coalesce(F.col("new_url"), F.col("url")).alias("url") if c == "url" else F.col(c)
-                      for c in raw.columns], F.col("url").alias("url_before"))
+    return hits.select("id", "new_url")
 
 
-def ingest_new(raw: DataFrame, items: DataFrame, as_of) -> DataFrame:
-    """New ``articles_raw`` rows: first item per URL, minus URLs already stored, numbered after
-    the largest stored id, stamped with ``as_of``."""
-    as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+def with_changes(rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """``rows`` (id, url, ...) with the URLs of ``changes`` (id, new_url). The wide rows are only shuffled where the
+    changes are too many to broadcast."""
+    joined = lookup_join(rows, changes, "id", "left")
+    return joined.select(*[F.coalesce(F.col("new_url"), F.col("url")).alias("url") if c == "url" else F.col(c) for c in rows.columns])
+
+
+def rewrite_urls(raw: DataFrame, items: DataFrame) -> DataFrame:
+    """``raw`` with the URLs of :func:`rewrite_changes`, and a ``url_before`` column."""
+    return with_changes(raw.withColumn("url_before", F.col("url")), rewrite_changes(raw, items)).select(*raw.columns, "url_before")
+
+
+def new_articles(raw: DataFrame, items: DataFrame, changes: DataFrame, as_of) -> DataFrame:
+    """:func:`ingest_new` for ``raw`` with stored ``changes``, without applying these to the table: a URL is taken if
+    a stored row has it and is not rewritten, or if a rewrite leads to it."""
     firsts = first_per_url(items)
-    stored = raw.select(F.col("url").alias("_stored"))
-    fresh = firsts.join(stored, firsts["url"] == stored["_stored"], "left_anti")
-    start = raw.select(F.max("id")).scalar()
+    own = firsts.select(F.col("url").alias("_u"))
+    held = raw.select("id", F.col("url").alias("_stored")).join(own, F.col("_stored") == F.col("_u"), "left_semi")
+    taken = held.join(changes.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_anti").select("_stored")
+    taken = taken.unionByName(changes.select(F.col("new_url").alias("_stored")))
+    fresh = firsts.join(taken, firsts["url"] == taken["_stored"], "left_anti")
+    return _numbered(fresh, raw.select(F.max("id")).scalar(), as_of)
+
+
+def _numbered(fresh: DataFrame, start: Column, as_of) -> DataFrame:
+    as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     numbered = assign_ids(fresh, list(ITEM_ORDER), start)
     return numbered.select("id", "source", "title", "url", F.col("published").alias("published_at"), "content",
                            as_of_col.alias("ingested_at"))
 
 
-def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame | None = None,
-            keep_url_before: bool = False, answers: DataFrame | None = None) -> tuple:
-    """The collect job: (healthy feeds) -> fetch rounds or payloads -> parse -> valid items -> URL rewrite ->
-    insert-if-absent.
+def ingest_new(raw: DataFrame, items: DataFrame, as_of) -> DataFrame:
+    """New ``articles_raw`` rows: first item per URL, minus URLs already stored, numbered after
+    the largest stored id, stamped with ``as_of``."""
+    firsts = first_per_url(items)
+    known = raw.select(F.col("url").alias("_stored"))
+    fresh = firsts.join(known, firsts["url"] == known["_stored"], "left_anti")
+    return _numbered(fresh, raw.select(F.max("id")).scalar(), as_of)
+
+
+def collected_items(payloads: DataFrame, feed_status: DataFrame | None = None, answers: DataFrame | None = None) -> DataFrame:
+    """Valid items of the (healthy) feeds, stored: the feeds are parsed once.
 
     ``payloads`` holds the feeds' bodies; with ``answers`` (a crawler's results by URL) only their source, feed_url and
-    source_ord are used, and each feed's body comes from its fetch rounds (``sources.fetch``). Returns
-    ``(raw_after_rewrite, new_rows)``; the caller appends ``new_rows``.
-    """
+    source_ord are used, and each feed's body comes from its fetch rounds (``sources.fetch``)."""
+    from ..sources.feeds import healthy_feeds
     if feed_status is not None:
-        from ..sources.feeds import healthy_feeds
         payloads = healthy_feeds(payloads, feed_status)
-    checkpoint_dir(payloads.sparkSession)
-    # Items feed both the rewrite and the insert: the feeds are parsed once and stored in the shared folder.
     if answers is not None:
         from ..sources.fetch import FEED, fetch_rounds
         parsed = fetch_rounds(payloads.select(*FEED), answers).items.where(F.col("item_ord").isNotNull())
     else:
         parsed = feed_items(payloads)
-    return collect_items(raw, valid_items(parsed).checkpoint(eager=True), as_of, keep_url_before)
+    return stored(valid_items(parsed), "items")
 
 
-def collect_items(raw: DataFrame, items: DataFrame, as_of, keep_url_before: bool = False) -> tuple:
-    """URL rewrite and insert-if-absent for stored valid items."""
-    rewritten = rewrite_urls(raw, items)
-    new_rows = ingest_new(rewritten.drop("url_before"), items, as_of)
-    return (rewritten if keep_url_before else rewritten.drop("url_before")), new_rows
+def collect(raw: DataFrame, payloads: DataFrame, as_of, feed_status: DataFrame | None = None,
+            answers: DataFrame | None = None) -> tuple:
+    """The collect job: (healthy feeds) -> fetch rounds or payloads -> parse -> valid items -> URL rewrite ->
+    insert-if-absent (see :func:`collected_items`).
+
+    Returns ``(raw_after_rewrite, new_rows)``; the caller appends ``new_rows``.
+    """
+    items = collected_items(payloads, feed_status, answers)
+    changes = stored(rewrite_changes(raw, items), "rewrites")
+    return with_changes(raw, changes), new_articles(raw, items, changes, as_of)
 
 
 RAW_TYPES = {"id": "bigint", "source": "string", "title": "string", "url": "string", "published_at": "string",

@@ -121,6 +121,18 @@ def q_score_articles(spark, d):
     return score_articles(raw, B.scored_existing(spark, d), B.model_responses(spark, d), catalog(spark, d), "weekly")
 
 
+def q_classify_prompt(spark, d):
+    """Classification prompts of both modes for every article: templates stored as files, read back and joined by mode."""
+    from ..functions.markdown import classify_prompt
+    from ..operators.util import shared_folder
+    from ..sources.templates import CLASSIFY_TEMPLATES, read_templates, template_table, write_templates
+    path = shared_folder(spark, "templates")
+    write_templates(spark, {f"classify_{m}": t for m, t in CLASSIFY_TEMPLATES.items()}, path)
+    texts = template_table(spark, read_templates(spark, path), "classify", CLASSIFY_TEMPLATES)
+    rows = B.articles_raw(spark, d).select("id", "content", F.explode(F.array(*[F.lit(m) for m in CLASSIFY_TEMPLATES])).alias("mode"))
+    return rows.join(texts, "mode").select("id", "mode", classify_prompt(F.col("template"), F.col("content")).alias("prompt"))
+
+
 def q_offline_signals(spark, d):
     """Scoring with no model answers at all: every article gets the offline constants."""
     raw = B.articles_raw(spark, d)
@@ -462,8 +474,8 @@ def q_full_run(spark, d):
     filter, flag duplicates, pick the adaptive top-7, write the brief, check its links."""
     from .jobs import run_mode
     r = run_mode(_stored(spark, d), B.scored_existing(spark, d), B.model_responses(spark, d), catalog(spark, d),
-                 B.feed_payloads(spark, d), B.link_status(spark, d), " Weekly", "2024-01-31",
-                 feed_status=B.feed_status(spark, d))
+                 B.feed_payloads(spark, d).drop("body"), B.link_status(spark, d), " Weekly", "2024-01-31",
+                 feed_status=B.feed_status(spark, d), answers=B.feed_answers(spark, d))
     return r.brief.join(r.health, "mode").select("mode", "article_count", "url_count", "ok_count", "healthy",
                                                  "markdown")
 

@@ -64,10 +64,20 @@ def flatten_catalog(parsed: DataFrame) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Read v2 catalog files (one JSON document per file) from ``path``; file order = document order."""
-    docs = (spark.read.text(path, wholetext=True)
-            .select(F.col("value"), F.input_file_name().alias("doc_ord")))
-    return parse_catalog(docs)
+    """Read catalog files (one JSON document per file, v2 or legacy) from ``path``; file order = document order."""
+    return parse_documents(spark.read.text(path, wholetext=True)
+                           .select(F.col("value"), F.input_file_name().alias("doc_ord")))
+
+
+def parse_documents(docs: DataFrame) -> DataFrame:
+    """Catalog documents ``(doc_ord, value)`` of either kind, told apart one by one: a document with an object
+    ``domains`` is a v2 catalog, any other JSON object a legacy one. What is no JSON object fails the job."""
+    domains = F.get_json_object("value", "$.domains")
+    # An escaped or spaced key reads the same; the first character tells an object.
+    is_object = F.coalesce(F.ltrim(domains).startswith("{"), F.lit(False))
+    readable = F.get_json_object("value", "$").isNotNull() & F.ltrim(F.col("value"), F.lit(" \t\r\n")).startswith("{")
+    legacy = readable & ~is_object
+    return parse_catalog(docs.where(~legacy)).unionByName(parse_legacy_catalog(docs.where(legacy)))
 
 
 def parse_legacy_catalog(docs: DataFrame, text_col: str = "value", doc_ord_col: str = "doc_ord") -> DataFrame:

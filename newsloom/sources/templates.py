@@ -37,3 +37,26 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.text(path, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1)
     return df.select(name.alias("template_name"), F.col("value").alias("template"))
+
+
+def write_templates(spark: SparkSession, templates: dict[str, str], path: str) -> None:
+    """Writes a few templates as ``<name>.txt`` files, replacing those that are there."""
+    for name, text in templates.items():
+        file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}.txt")
+        out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+
+def template_table(spark: SparkSession, templates: DataFrame | None, kind: str, modes) -> DataFrame:
+    """``(mode, template)``: the template of ``kind`` ('article' or 'classify') of each mode, the stored
+    ``<kind>_<mode>`` text if ``templates`` has it (of several the greatest), else the built-in one. Modes other than
+    ai_radar use the weekly template."""
+    names = {m: "ai_radar" if m == "ai_radar" else "weekly" for m in modes}
+    built_in = {"article": ARTICLE_TEMPLATES, "classify": CLASSIFY_TEMPLATES}[kind]
+    rows = spark.createDataFrame([(m, f"{kind}_{n}", built_in[n]) for m, n in names.items()],
+                                 "mode string, template_name string, built_in string")
+    if templates is None:
+        return rows.select("mode", F.col("built_in").alias("template"))
+    found = templates.groupBy("template_name").agg(F.max("template").alias("template"))
+    return rows.join(found, "template_name", "left").select("mode", F.coalesce("template", "built_in").alias("template"))
