@@ -48,6 +48,7 @@ def main(argv=None) -> int:
     ap.add_argument("--answers", help="parquet: url, ok, body, error[, content_encoding]: a crawler's results, used for the "
                                       "feeds of the catalog instead of --payloads")
     ap.add_argument("--templates", help="folder of <name>.txt prompt templates (article_weekly, article_ai_radar, ...)")
+    ap.add_argument("--daily", help="folder of the daily summaries (kept from run to run; briefs are answered from them)")
     ap.add_argument("--titles", help="folder of the title index (kept from run to run; built on its first use)")
     ap.add_argument("--payloads", help="parquet: source, feed_url, source_ord, body (text or binary)")
     ap.add_argument("--raw", help="parquet snapshot of the articles table from the previous run")
@@ -67,6 +68,7 @@ def main(argv=None) -> int:
     from .sources.fetch import fetch_rounds, selected_feeds
     from .sources.templates import read_templates
     from .operators.index import KeyIndex
+    from .operators.summary import DailyTops
     from .operators.brief import write_briefs
 
     spark = build_session(args.master)
@@ -80,7 +82,8 @@ def main(argv=None) -> int:
     payloads = None if args.answers else _read(spark, args.payloads, PAYLOAD_SCHEMA)
     result = run_mode(raw, scored, responses, catalog, payloads, links, args.mode, args.as_of, feed_status=feed_status,
                       answers=answers, titles=KeyIndex(spark, args.titles) if args.titles else None,
-                      templates=read_templates(spark, args.templates) if args.templates else None)
+                      templates=read_templates(spark, args.templates) if args.templates else None,
+                      daily=DailyTops(spark, args.daily) if args.daily else None)
     if answers is not None:
         feeds = selected_feeds(catalog, args.mode)
         fetch_rounds(feeds, answers).pending.write.mode("overwrite").parquet(f"{args.out}/requests")

@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.brief import adaptive_brief_pruned, render_briefs
+from ..operators.brief import adaptive_brief_pruned, adaptive_briefs, render_briefs
 from ..operators.dedupe import duplicate_ids, flag_duplicates, index_titles
 from ..operators.index import KeyIndex
 from ..operators.ingest import collected_items, new_articles, rewrite_changes, with_changes
 from ..operators.links import link_health_summary
 from ..operators.score import append_scored, content_of, score_articles
+from ..operators.summary import DailyTops
 from ..operators.util import lookup_join, stored
 from ..sources.catalog import DEFAULT_MIN_SCORE, allowed_source_names, select_sources
 from ..sources.templates import template_table
@@ -32,7 +33,8 @@ class RunResult:
 def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | None, catalog: DataFrame,
              payloads: DataFrame | None, link_status: DataFrame, mode: str, as_of: str,
              feed_status: DataFrame | None = None, template: str | None = None, answers: DataFrame | None = None,
-             titles: KeyIndex | None = None, templates: DataFrame | None = None) -> RunResult:
+             titles: KeyIndex | None = None, templates: DataFrame | None = None,
+             daily: DailyTops | None = None) -> RunResult:
     """One run of the pipeline for ``mode`` at ``as_of``.
 
     ``payloads`` are the fetched feeds of the mode's sources; with a crawler's ``answers`` by URL the feeds come from
@@ -45,7 +47,8 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     The run's changes (items, rewrites, new rows, new scores, new duplicate flags) are stored once, as narrow as they
     are; later steps lay them over the tables: the table of articles is joined with the rewrites only where it is
     written, the brief applies them to its few rows. A ``titles`` index makes the duplicate check read the titles of
-    newly scored articles only; without one all titles are compared, and old scores are checked too.
+    newly scored articles only; without one all titles are compared, and old scores are checked too. With ``daily``
+    summaries, which the run brings up to date, the brief is answered from them.
     """
     m = (mode or "weekly").strip().lower()
     allowed = allowed_source_names(select_sources(catalog, m))
@@ -73,6 +76,7 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
         own = own if exact else own.join(ids.select("id"), "id", "left_semi")
         new_scores = stored(flag_duplicates(new_scores, own, titles=titles), "flagged")
         scored_all = append_scored(scored, new_scores)
+        flips = None
     else:
         unflagged = append_scored(scored, new_scores)
         flips = stored(unflagged.where(~F.coalesce("is_duplicate", F.lit(False))).select("raw_id").join(
@@ -82,7 +86,18 @@ def run_mode(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | No
     threshold = F.coalesce(catalog.select(F.max_by("min_score_threshold",
                                                     F.struct("doc_ord", "domain_pos", "source_pos"))).scalar(),
                            F.lit(DEFAULT_MIN_SCORE))
-    top = with_changes(adaptive_brief_pruned(articles, scored_all, as_of, threshold, allowed), changes)
+    if daily is not None:
+        changed = new_scores.select(F.col("raw_id").alias("id")).unionByName(changes.select("id"))
+        if flips is not None:
+            changed = changed.unionByName(flips.select(F.col("raw_id").alias("id")))
+        if daily.empty():
+            changed = articles.select("id")  # the first run makes all days
+        present = with_changes(raw, changes).unionByName(new_rows.select(*raw.columns))
+        daily.update(present, scored_all, changed)
+        top = adaptive_briefs(daily.rows([as_of], articles, scored_all, threshold, allowed), as_of)
+    else:
+        top = adaptive_brief_pruned(articles, scored_all, as_of, threshold, allowed)
+    top = with_changes(top, changes)
     text = template if template is not None else template_table(raw.sparkSession, templates, "article", [m])
     brief = render_briefs(top, {"mode": m}, as_of, text)
     health = link_health_summary(brief, link_status, key="mode")

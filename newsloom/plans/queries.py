@@ -191,6 +191,34 @@ def q_briefs_by_domain(spark, d):
                       "window_days")
 
 
+def _daily(spark, d):
+    """Daily summaries of the scored articles: built for those that carry labels, then updated by the others."""
+    from ..operators.summary import DailyTops
+    from ..operators.util import shared_folder, stored
+    raw, flagged = B.articles_raw(spark, d), stored(scored_flagged(spark, d), "flagged")
+    earlier = B.scored_existing(spark, d).select("raw_id")
+    daily = DailyTops(spark, shared_folder(spark, "daily"))
+    daily.update(raw, flagged.join(earlier, "raw_id", "left_semi"), earlier.select(F.col("raw_id").alias("id")))
+    daily.update(raw, flagged, flagged.join(earlier, "raw_id", "left_anti").select(F.col("raw_id").alias("id")))
+    return daily, raw, flagged
+
+
+def q_daily_brief(spark, d):
+    """The adaptive brief, answered from the daily summaries."""
+    daily, raw, flagged = _daily(spark, d)
+    return _brief_cols(BR.adaptive_briefs(daily.rows(["2024-01-31"], raw, flagged), "2024-01-31"))
+
+
+def q_daily_briefs_by_domain(spark, d):
+    """One brief per domain and as_of (all of every window branch), answered from one table of daily summaries."""
+    daily, raw, flagged = _daily(spark, d)
+    rows = daily.rows(BRIEF_AS_OF, raw, flagged)
+    rows = with_source_weights(rows, catalog(spark, d)).select(*rows.columns, "domain")
+    rows = rows.withColumn("as_of", F.explode(F.array(*[F.lit(a).cast("timestamp") for a in BRIEF_AS_OF])))
+    out = BR.adaptive_briefs(rows, F.col("as_of"), group_cols=["domain", "as_of"])
+    return out.select("domain", F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "rank", "id", "impact_score", "window_days")
+
+
 def q_top_articles(spark, d):
     return BR.top_articles(eligible(spark, d)).select("id", "title", "url", "impact_score")
 
@@ -442,29 +470,37 @@ def q_collect(spark, d):
 # ---- J1 user scorer, I1 streaming ---------------------------------------------------------------
 
 def q_score_with_fn(spark, d):
-    from ..operators.scorer import length_scorer, with_responses
+    """Scores from a scorer's answers, kept in a table: the first half of the articles is answered by an earlier run. The
+    scorer stands in for a model: it rates a text by its length and lines."""
+    from ..operators.scorer import durable_responses, length_scorer
+    from ..operators.util import shared_folder
     raw = B.articles_raw(spark, d)
-    responses = with_responses(raw, length_scorer)
-    return score_articles(raw, None, responses, catalog(spark, d), "weekly")
+    folder = shared_folder(spark, "answers")
+    earlier = raw.join(B.scored_existing(spark, d).select(F.col("raw_id").alias("id")), "id", "left_semi")
+    durable_responses(earlier, length_scorer, folder, pause_sec=0)
+    return score_articles(raw, None, durable_responses(raw, length_scorer, folder, pause_sec=0), catalog(spark, d), "weekly")
 
 
 def q_stream_ingest(spark, d):
     """Payload files -> Structured Streaming (availableNow) -> sink.
 
-    The payloads are written twice (two copies of the files, at their own
-    partitioning), so the second copy must add nothing. Returns the distinct URLs
-    stored by the stream."""
-    import uuid
-    from ..session import checkpoint_dir
-    from ..streaming.ingest_stream import start_ingest_stream
-    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    payloads = B.feed_payloads(spark, d)
+    Payloads are bytes (UTF-8, gzip, UTF-16) and only healthy feeds count. They are written twice (two copies of the
+    files, at their own partitioning), so the second copy must add nothing. Returns the whole rows that the stream
+    stored and the URLs that it changed in the articles stored before."""
+    from ..operators.util import shared_folder
+    from ..streaming.ingest_stream import read_rewrites, read_sink, start_ingest_stream
+    root = shared_folder(spark, "stream")
+    payloads = B.stream_payloads(spark, d)
     for copy in ("a", "b"):
         payloads.write.mode("overwrite").parquet(f"{root}/in/{copy}")
     q = start_ingest_stream(spark, f"{root}/in/*", f"{root}/sink", f"{root}/checkpoint",
-                            seed=_stored(spark, d), as_of=AS_OF, files_per_batch=64)
+                            seed=_stored(spark, d), as_of=AS_OF, files_per_batch=64, feed_status=B.feed_status(spark, d))
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink").select("url").distinct()
+    new = read_sink(spark, f"{root}/sink").select(
+        F.lit("new").alias("kind"), F.lit(None).cast("bigint").alias("id"), "source", "title", "url", "published_at", "content",
+        F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+    changed = read_rewrites(spark, f"{root}/sink").select(F.lit("rewritten").alias("kind"), "id", "url")
+    return new.unionByName(changed, allowMissingColumns=True)
 
 
 # ---- K6 full run, A15 brief sink ------------------------------------------------------------------

@@ -216,6 +216,14 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("feed_no").cast("int").alias("source_ord"), body.alias("body"))
 
 
+def stream_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`feed_payloads` as bytes: UTF-8, gzip (feed number % 3 = 1) or UTF-16 with a byte-order mark (% 3 = 2)."""
+    way = F.col("source_ord") % 3
+    body = (F.when(way == 1, _gzip(F.col("body"))).when(way == 2, F.encode("body", "UTF-16")).otherwise(F.encode("body", "UTF-8")))
+    return feed_payloads(spark, sf_dir).select("source", "feed_url", "source_ord", body.alias("body"),
+                                               F.when(way == 1, "gzip").alias("content_encoding"))
+
+
 def feed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A crawler's results by URL for the feeds of :func:`feed_payloads`; feed number % 6 says how a feed is reached:
     0, 1 at its own URL; 2 at the third candidate; 3 by the alternate link of an HTML page at its own URL; 4 at its own

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.__main__ import main
 from newsloom.operators.dedupe import duplicate_ids, duplicates_by_index, flag_duplicates, index_titles
 from newsloom.operators.index import KeyIndex
+from newsloom.operators.summary import DailyTops
 from newsloom.operators.util import shared_folder
 from newsloom.plans.jobs import run_mode
 from newsloom.sources.catalog import parse_documents
@@ -99,12 +100,13 @@ def test_run_with_and_without_title_index(spark):
         "source string, feed_url string, source_ord int, body string")
     links = spark.createDataFrame([("https://s/f", 200, None)], "url string, status int, error string")
     results = []
-    for titles in (None, KeyIndex(spark, shared_folder(spark, "t-titles"))):
-        r = run_mode(raw, scored, None, catalog_of(spark, "s"), payloads, links, "weekly", "2024-01-31", titles=titles)
+    daily = DailyTops(spark, shared_folder(spark, "t-daily"))
+    for titles, tops in ((None, None), (KeyIndex(spark, shared_folder(spark, "t-titles")), None), (None, daily), (None, daily)):
+        r = run_mode(raw, scored, None, catalog_of(spark, "s"), payloads, links, "weekly", "2024-01-31", titles=titles, daily=tops)
         results.append((sorted(tuple(x) for x in r.raw.select("id", "title", "url").collect()),
                         sorted(tuple(x) for x in r.scored.collect()), sorted(tuple(x) for x in r.new_scores.collect()),
                         [tuple(x) for x in r.brief.select("article_count", "markdown").collect()], [tuple(x) for x in r.health.collect()]))
-    assert results[0] == results[1]
+    assert results[0] == results[1] == results[2] == results[3]
     rows, all_scores, new, brief, _ = results[0]
     assert (2, "Cut", "https://s/x-full") in rows and [x[0] for x in rows] == [1, 2, 3, 4, 5, 6]
     assert {x[0]: x[4] for x in all_scores} == {1: False, 2: False, 3: True, 4: True, 5: False, 6: True}
@@ -158,7 +160,8 @@ def test_run_from_a_legacy_catalog_templates_and_an_alternate_feed(spark):
     spark.createDataFrame([(i, '{"relevance": 5, "architectural_impact": 5, "production_impact": 5}') for i in (1, 2, 3)],
                           "raw_id long, response string").write.parquet(f"{root}/responses")
     args = ["--as-of", "2024-01-31", "--catalog", f"{root}/catalog", "--answers", f"{root}/answers", "--templates", f"{root}/prompts",
-            "--link-status", f"{root}/links", "--responses", f"{root}/responses", "--titles", f"{root}/titles", "--out", f"{root}/run1"]
+            "--link-status", f"{root}/links", "--responses", f"{root}/responses", "--titles", f"{root}/titles", "--daily", f"{root}/daily",
+            "--out", f"{root}/run1"]
     assert main(args) == 0
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/run1/raw").collect()) == [1, 2, 3]
     brief = spark.read.text(f"{root}/run1/briefs", wholetext=True).first()["value"]

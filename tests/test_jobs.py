@@ -150,12 +150,13 @@ def test_stream_ingest_replay_adds_nothing(spark):
         df.coalesce(1).write.parquet(f"{root}/in/{copy}")
     q = start_ingest_stream(spark, f"{root}/in/*", f"{root}/sink", f"{root}/ckpt", as_of="2024-01-31")
     q.awaitTermination()
-    rows = spark.read.parquet(f"{root}/sink").collect()
+    from newsloom.streaming.ingest_stream import read_sink
+    rows = read_sink(spark, f"{root}/sink").collect()
     assert sorted((r.id, r.url) for r in rows) == [(1, "https://a.org/1"), (2, "https://a.org/2")]
     # A second run over the same checkpoint processes no new file.
     q2 = start_ingest_stream(spark, f"{root}/in/*", f"{root}/sink", f"{root}/ckpt", as_of="2024-01-31")
     q2.awaitTermination()
-    assert spark.read.parquet(f"{root}/sink").count() == 2
+    assert read_sink(spark, f"{root}/sink").count() == 2
 
 
 def test_lookup_join_and_hot_split_agree(spark):
