@@ -174,8 +174,11 @@ def with_keyword_score(df: DataFrame, content: str = "content", tags: str = "tag
 
 def with_impact_score(df: DataFrame, mode: str = "weekly", signals: str = "sig") -> DataFrame:
     """Add ``impact_score`` (FLOAT, like a REAL column) from weights, ``keyword_score`` and signals."""
-    return df.withColumn("impact_score", memo_column(("impact_score", mode, signals),
-                                                     lambda: _impact_score_expr(mode, signals)))
+    return df.withColumn("impact_score", impact_score(mode, signals))
+
+
+def impact_score(mode: str, signals: str = "sig") -> Column:
+    return memo_column(("impact_score", mode, signals), lambda: _impact_score_expr(mode, signals))
 
 
 def _impact_score_expr(mode: str, signals: str) -> Column:

@@ -25,11 +25,11 @@ def scored_articles_join(raw: DataFrame, scored: DataFrame) -> DataFrame:
 def eligible_articles(raw: DataFrame, scored: DataFrame, threshold=MIN_SCORE,
                       allowed: DataFrame | None = None) -> DataFrame:
     """Score ``>=`` threshold (FLOAT score widened to DOUBLE; a number or a DOUBLE column),
-    not duplicate, optional source filter."""
+    not duplicate, optional source filter. Scores of several modes keep their column ``mode``."""
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     s = scored.where((F.col("impact_score") >= thr) & (F.col("is_duplicate") == F.lit(False)))
     r = filter_sources(raw.select("id", "source", "title", "url", "ingested_at"), allowed)
-    s = s.select("raw_id", "impact_score")
+    s = s.select("raw_id", "impact_score", *[c for c in scored.columns if c == "mode"])
     return r.join(s, r["id"] == s["raw_id"]).drop("raw_id")
 
 

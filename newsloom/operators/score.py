@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import memo_column
-from ..functions.signals import offline_signals, parse_signals, with_impact_score, with_keyword_score
+from ..functions.signals import impact_score, offline_signals, parse_signals, with_impact_score, with_keyword_score
 from ..sources.catalog import DEFAULT_WEIGHT, article_lookup_key, source_lookup
 from .util import is_empty, lookup_join, stored
 
@@ -102,8 +102,9 @@ def content_of(raw: DataFrame, ids: DataFrame, columns: list[str]) -> tuple[Data
 
 
 def score_articles(raw: DataFrame, scored: DataFrame | None, responses: DataFrame | None, catalog: DataFrame,
-                   mode: str = "weekly", allowed: DataFrame | None = None) -> DataFrame:
-    """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE).
+                   mode: str | tuple[str, ...] = "weekly", allowed: DataFrame | None = None) -> DataFrame:
+    """New ``articles_scored`` rows for every unscored article (``is_duplicate`` starts FALSE). Several modes give a row
+    each, with a column ``mode``: texts, lookups and answers are the same for all and are read once.
 
     With a ``scored`` table the unscored ids are found first, on (id, source), and stored; ``content`` (the widest
     column) is then read for those (:func:`content_of`). The keyword ratio is computed on the scan, so only narrow
@@ -120,9 +121,14 @@ def score_articles(raw: DataFrame, scored: DataFrame | None, responses: DataFram
     rows = with_keyword_score(with_source_weights(base, catalog)).drop("content", "tags")
     if todo is not None and not exact:
         rows = rows.join(todo.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_semi")
-    scored_new = with_impact_score(with_signals(rows, responses), mode)
+    signals = with_signals(rows, responses)
+    if isinstance(mode, str):
+        scored_new, label = with_impact_score(signals, mode), []
+    else:
+        scores = F.array(*[F.struct(F.lit(m).alias("mode"), impact_score(m).alias("impact_score")) for m in mode])
+        scored_new, label = signals.withColumn("_s", F.explode(scores)).select("*", "_s.*"), ["mode"]
     return scored_new.select(
-        F.col("id").alias("raw_id"), F.col("sig.db_engine").alias("db_engine"), F.col("sig.topic").alias("topic"),
+        *label, F.col("id").alias("raw_id"), F.col("sig.db_engine").alias("db_engine"), F.col("sig.topic").alias("topic"),
         "impact_score", F.lit(False).alias("is_duplicate"))
 
 

@@ -45,20 +45,21 @@ def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, how: str = "inner
     copied once per salt. One scan of ``big``, one shuffle on ``(key, salt)``,
     and no task receives more than about ``hot_rows`` rows of one key.
 
-    The hot-key table is broadcast; its size is bounded by construction (at
-    most ``rows(big) / hot_rows`` keys). ``how`` is 'inner' or 'left'.
+    The table of hot keys' hashes is broadcast; its size is bounded by construction (at
+    most ``rows(big) / hot_rows`` rows of 12 bytes, however long the keys are). A key that shares a hot
+    key's hash is salted like it, on both sides. ``how`` is 'inner' or 'left'.
     """
     if key_counts is None:
         key_counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = key_counts.where(F.col("_n") > hot_rows).select(
-        key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
+    hot = key_counts.where(F.col("_n") > hot_rows).groupBy(F.xxhash64(key).alias("_hot")).agg(
+        F.max(F.ceil(F.col("_n") / F.lit(hot_rows))).cast("int").alias("_salts"))
     hot = F.broadcast(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    salted_big = big.join(hot, key, "left").withColumn(
+    salted_big = big.join(hot, F.xxhash64(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("_salts"))).cast("int")
-    ).drop("_salts")
-    salted_keyed = keyed.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
+    ).drop("_salts", "_hot")
+    salted_keyed = keyed.join(hot, F.xxhash64(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts", "_hot")
     return salted_big.join(salted_keyed, [key, "_salt"], how).drop("_salt")
 
 

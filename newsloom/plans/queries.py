@@ -27,6 +27,13 @@ BRIEF_AS_OF = ("2024-01-31", "2024-02-04", "2024-02-20", "2024-04-15", "2025-01-
 _CATALOGS: dict = {}
 
 
+def release():
+    """Drops the cached catalogs, so that the next query pays for its own."""
+    for df in _CATALOGS.values():
+        df.unpersist()
+    _CATALOGS.clear()
+
+
 def catalog(spark, d):
     """The flattened catalog, built once per session and table folder.
 
@@ -281,17 +288,20 @@ def q_brief_markdown(spark, d):
     return out.select("mode", "article_count", "markdown")
 
 
+def _mode_briefs(spark, d):
+    """Briefs of both modes in one job: articles are scored for both at once, titles compared once."""
+    from ..sources.templates import template_table
+    modes = ("weekly", "ai_radar")
+    raw = B.articles_raw(spark, d)
+    scored = flag_duplicates(score_articles(raw, None, B.model_responses(spark, d), catalog(spark, d), modes), raw)
+    top = BR.adaptive_briefs(BR.eligible_articles(raw, scored), "2024-01-31", group_cols=["mode"])
+    groups = spark.createDataFrame([(m,) for m in modes], "mode string")
+    return BR.render_briefs(top, groups, "2024-01-31", template_table(spark, None, "article", modes), group_cols=["mode"])
+
+
 def q_render_prompt(spark, d):
     """Weekly and ai_radar prompts for the adaptive top-7 of each mode's scores."""
-    from ..sources.templates import article_template
-    out = None
-    for mode in ("weekly", "ai_radar"):
-        raw = B.articles_raw(spark, d)
-        sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
-        top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
-        r = BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode)).select("mode", "prompt")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return _mode_briefs(spark, d).select("mode", "prompt")
 
 
 def _page_briefs(spark, d, block=10):
@@ -518,16 +528,8 @@ def q_full_run(spark, d):
 
 def q_brief_sink(spark, d):
     """Write the weekly and ai_radar briefs (one file per mode, replacing earlier ones) and read them back."""
-    import uuid
-    from ..sources.templates import article_template
-    from ..session import checkpoint_dir
-    path = f"{checkpoint_dir(spark).rstrip('/')}/briefs-{uuid.uuid4().hex}"
-    briefs = None
-    for mode in ("weekly", "ai_radar"):
-        raw = B.articles_raw(spark, d)
-        sc = flag_duplicates(scored_weekly(spark, d, mode), raw)
-        top = BR.adaptive_briefs(BR.eligible_articles(raw, sc), "2024-01-31")
-        b = BR.render_briefs(top, {"mode": mode}, "2024-01-31", article_template(mode))
-        briefs = b if briefs is None else briefs.unionByName(b)
+    from ..operators.util import shared_folder
+    path = shared_folder(spark, "briefs")
+    briefs = _mode_briefs(spark, d)
     BR.write_briefs(briefs, path)  # one job: both modes share scans and exchanges
     return BR.read_briefs(spark, path).select("mode", F.col("content").alias("markdown"))
