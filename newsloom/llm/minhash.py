@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.util import join_hot_split
 from .common import components, documents, stored
 from .shingles import mix64, shingle_sets
 from .tokenize import slices
@@ -55,11 +56,12 @@ def half_keys(sets: list[np.ndarray], halves: int, hashes: int, seed: int = 11)
     return key
 
 
-SKETCH = "doc_id long, n_shingles long, key1 long, key2 long, first array<long>, second array<long>"
+SKETCH = "doc_id long, text_hash long, n_shingles long, key1 long, key2 long, first array<long>, second array<long>"
 
 
 def sketches(docs: DataFrame, width: int, halves: int = HALVES, hashes: int = HALF_HASHES) -> DataFrame:
-    """``docs`` (doc_id, text) -> n_shingles, the set's 128-bit fingerprint, and both collections of half keys."""
+    """``docs`` (doc_id, text) -> a hash of the text, n_shingles, the set's 128-bit fingerprint, and both collections of
+    half keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,13 +73,13 @@ def sketches(docs: DataFrame, width: int, halves: int = HALVES, hashes: int = HA
                 prints = _prints(sets)
                 rows = [keys[a] if len(s) else None for a, s in zip(at, sets)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0]),
+                    [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0]),
                      pa.array(prints[:, 1]),
                      *[pa.array([None if r is None else r[c * halves:(c + 1) * halves] for r in rows], pa.list_(pa.int64()))
                        for c in range(2)]],
                     [c.split()[0] for c in SKETCH.split(", ")])
 
-    return docs.mapInArrow(sketch, SKETCH)
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(sketch, SKETCH)
 
 
 def _prints(sets: list[np.ndarray]) -> np.ndarray:
@@ -148,21 +150,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
                     hashes: int = HALF_HASHES) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept (doc_id = component_id), a row per row.
 
-    Rows with one doc_id count as one document: of its texts, the one with the greatest fingerprint stands for it,
-    and all its rows are in one component. A null doc_id has no component and is kept. Null and empty texts, and texts of white space, have no shingles and link with nothing. Other columns are
-    left out; an empty table stays empty."""
+    Rows with one doc_id are one document, perhaps with several texts: it links where any of them does, and all its
+    rows are in one component; each row has its own text's n_shingles. A null doc_id has no component and is kept. Null
+    and empty texts, and texts of white space, have no shingles and link with nothing. Texts of any length are read
+    whole. Other columns are left out; an empty table stays empty."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(spark, sketches(docs, width, halves, hashes), "sketches")
     key = ["key1", "key2", "n_shingles"]
     real = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    chosen = stored(spark, real.groupBy("doc_id").agg(F.max(F.struct(*key)).alias("k")).select("doc_id", "k.*"), "chosen")
-    classes = stored(spark, chosen.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-
-    # A class's half keys, from its smallest document (repeated rows of it once).
-    sketch = real.join(classes.select(*key, F.col("rep").alias("doc_id")), [*key, "doc_id"]).groupBy("doc_id", "n_shingles", *key[:2]).agg(
-        F.first("first").alias("first"), F.first("second").alias("second")).select(
-        F.col("doc_id").alias("rep"), "n_shingles", "first", "second")
+    chosen = stored(spark, real.groupBy("doc_id", *key).agg(F.min("text_hash").alias("text_hash")), "chosen")
+    # A class is a set; one text of its smallest document stands for it. Its number is unique, as the table is stored.
+    classes = stored(spark, chosen.groupBy(*key).agg(F.min(F.struct("doc_id", "text_hash")).alias("d"), F.count(F.lit(1)).alias("n")).select(
+        *key, F.col("d.doc_id").alias("doc_id"), F.col("d.text_hash").alias("text_hash"), "n",
+        F.monotonically_increasing_id().alias("rep")), "classes")
+    named = stored(spark, chosen.select("doc_id", *key).join(classes.drop("doc_id", "text_hash"), key).select("doc_id", "rep", "n"), "named")
+    # Classes of one document's texts are tied to the smallest of them.
+    several = named.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    same_id = stored(spark, join_hot_split(named.select("doc_id", "rep"), several.select("doc_id", "low"), "doc_id").where(
+        "low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")), "same-id")
+
+    # A class's half keys, from the text that stands for it (repeated rows of it once).
+    spot = ["doc_id", "text_hash", *key]
+    sketch = real.join(classes.select(*spot, "rep"), spot).groupBy("rep", "n_shingles").agg(
+        F.first("first").alias("first"), F.first("second").alias("second"))
     sketch = stored(spark, sketch, "halves")
 
     # Tables of half keys that only one class has can hold no pair, so those are left out before pairing.
@@ -179,10 +190,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     stars = stored(spark, keys.join(buckets, "key").where("a < rep").select("a", F.col("rep").alias("b")).distinct(), "pairs")
 
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
-    # Only the classes' smallest documents are read again, repeated rows once; the join's partitioning serves distinct()
-    # too, so texts move once and sets not at all. Texts of one document that differ but have its set give equal rows,
-    # which find the same links.
-    texts = docs.join(wanted.join(chosen.select("doc_id", "key1", "key2"), "doc_id"), "doc_id").distinct()
+    # Only the texts that stand for classes are read again, repeated rows once; the join's partitioning serves distinct()
+    # too, so texts move once and sets not at all.
+    asked = classes.join(wanted.select(F.col("doc_id").alias("rep")), "rep").select("doc_id", "text_hash", "rep", "key1", "key2")
+    texts = docs.withColumn("text_hash", F.xxhash64("text")).join(asked, ["doc_id", "text_hash"]).select(
+        "doc_id", "text_hash", "rep", "text", "key1", "key2").distinct().select(F.col("rep").alias("doc_id"), "text", "key1", "key2")
     sets = stored(spark, full_sets(texts, width), "sets")
     sizes = sketch.select("rep", "n_shingles")
     ratio = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  no pair beyond it can reach the similarity
@@ -208,11 +220,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     rows_in = placed.select("cluster", "block", "rep").join(tasks, ["cluster", "block"]).join(
         sets.withColumnRenamed("doc_id", "rep"), "rep")
     more = rows_in.groupBy("cluster", "b1", "b2").applyInPandas(_block_links(percent), "a long, b long")
-    comp = components(spark, links.union(more))
+    comp = stored(spark, components(spark, links.union(more).union(same_id)).select(F.col("node").alias("rep"), "component"), "components")
 
-    named = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").where(
-        (F.col("n") > 1) | F.col("component").isNotNull()).select(*key, F.coalesce("component", "rep").alias("component_id"))
-    placed = chosen.join(named, key).select("doc_id", "component_id")
+    least = classes.join(comp, "rep").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = named.join(comp, "rep", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
+    alone = classes.select("rep", F.col("doc_id").alias("own"))
+    placed = placed.join(least, "component", "left").join(alone, "rep").groupBy("doc_id").agg(
+        F.min(F.coalesce("component_id", "own")).alias("component_id"))
     out = rows.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
