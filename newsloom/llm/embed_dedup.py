@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.util import join_hot_split
 from .common import components, stored
 from .hnsw import Graph, build
 from .vectors import cosines, fingerprinted, units, usable
@@ -31,7 +32,7 @@ GRAPH = "label long, dim int, shard int, rows int, reps binary, copies binary, v
 
 
 def _build(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("rep")
+    part = part.sort_values(["key1", "key2"])
     v = np.stack(part["embedding"].to_numpy()).astype(np.float64)
     graph = build(units(v).astype(np.float32))
     row = part.iloc[0]
@@ -143,18 +144,25 @@ def link_vectors(rows: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     """``rows`` (vec_id, embedding, label) -> vec_id, n_links, component_id, kept, a row per row.
 
     Vectors that are null, zero or hold null or non-finite components, and null labels or ids, link with nothing;
-    vectors of different lengths aren't compared. Rows with one vec_id count as one vector: of several, the one with
-    the greatest fingerprint stands for it. Other columns are left out; an empty table stays empty."""
+    vectors of different lengths aren't compared. Every row is compared: rows that repeat an id and its vector count
+    once, several vectors of one id are vectors of their own, each with its own links, and stand in one component.
+    Other columns are left out; an empty table stays empty."""
     spark = rows.sparkSession
     rows = fingerprinted(rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("long").alias("label")))
     good = rows.where(usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     key = ["label", "key1", "key2"]
-    chosen = stored(spark, good.groupBy("vec_id").agg(F.max(F.struct(*key)).alias("k")).select("vec_id", "k.*"), "chosen")
-    classes = stored(spark, chosen.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    points = good.join(classes.withColumnRenamed("rep", "vec_id"), [*key, "vec_id"]).select(
-        "label", F.size("embedding").alias("dim"), F.col("vec_id").alias("rep"), "copies", "embedding").dropDuplicates(["rep"])
+    chosen = stored(spark, good.select("vec_id", *key).distinct(), "chosen")
+    # Equal vectors are one class; its number is unique, as the table is stored.
+    classes = stored(spark, chosen.groupBy(*key).agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).withColumn(
+        "rep", F.monotonically_increasing_id()), "classes")
+    points = good.join(classes.withColumnRenamed("first_id", "vec_id"), [*key, "vec_id"]).select(
+        "label", F.size("embedding").alias("dim"), "rep", "copies", "key1", "key2", "embedding").dropDuplicates(["rep"])
+    named = stored(spark, chosen.join(classes, key), "named")
+    several = named.groupBy("vec_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    same_id = join_hot_split(named.select("vec_id", "rep"), several.select("vec_id", "low"), "vec_id").where("low < rep").select(
+        F.col("low").alias("a"), F.col("rep").alias("b"))
     sizes = points.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
-    dealt = points.join(sizes, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("rep"), "shards").cast("int")).drop("shards")
+    dealt = points.join(sizes, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("key1", "key2"), "shards").cast("int")).drop("shards")
     graphs = stored(spark, dealt.groupBy("label", "dim", "shard").applyInPandas(_build, GRAPH), "graphs")
 
     side = lambda s: graphs.select("label", "dim", *[F.col(c.split()[0]).alias(f"{c.split()[0]}_{s}") for c in GRAPH.split(", ")[2:]])
@@ -168,11 +176,13 @@ def link_vectors(rows: DataFrame, threshold: float = THRESHOLD, shard_rows: int
     found = stored(spark, tasks.mapInPandas(_search(threshold), "a long, b long, n long"), "found")
 
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    comp = components(spark, found.select("a", "b"))
-    named = classes.join(counts, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
-        *key, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    placed = chosen.join(named, key).select("vec_id", "n_links", "component_id")
-    out = rows.select("vec_id").join(placed, "vec_id", "left")
+    comp = stored(spark, components(spark, found.select("a", "b").union(same_id)).select(
+        F.col("node").alias("rep"), "component"), "components")
+    least = classes.join(comp, "rep").groupBy("component").agg(F.min("first_id").alias("least"))
+    placed = named.join(counts, "rep", "left").join(comp, "rep", "left").join(least, "component", "left").select(
+        "vec_id", *key, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("least", "first_id").alias("component_id"))
+    out = rows.select("vec_id", *key).join(placed, ["vec_id", *key], "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("component_id", "vec_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
