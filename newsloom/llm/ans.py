@@ -170,9 +170,11 @@ def write_ids(docs: DataFrame, path: str, vocabulary: Vocabulary, end_id: int, s
         if held:
             yield flush()
 
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-     .repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # Rows of one id go on by a hash of their text and a row number, so that a hot id fills several shards.
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_hash"),
+                        F.monotonically_increasing_id().alias("_n"))
+    order = [F.col("doc_id").asc_nulls_first(), "_hash", "_n"]
+    (keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
      .mapInArrow(write, RUN).write.parquet(path))
 
 
@@ -205,8 +207,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary = WORD_BPE, end_id: int = 1, shard_bytes: int = 32 << 20) -> str:
     """Writes all ``docs`` (doc_id, text) as rANS token files in ascending doc_id order; returns their folder.
 
-    Null texts are empty ones (the end id alone), null doc_ids come first, rows with one doc_id are ordered by their
-    text, other columns are left out, an empty table gives files without runs."""
+    Null texts are empty ones (the end id alone), null doc_ids come first, rows with one doc_id are ordered by a hash
+    of their text and dealt over shards like others, other columns are left out, an empty table gives files without runs."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,16 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_places(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a unique long ``name``: the number of the Parquet part that a row is in, and its place there. It
+    ascends in the order in which the table was written. What isn't read from numbered parts is stored first."""
+    parts = [re.search(r"part-(\d+)[^/]*$", f) for f in df.inputFiles()]
+    if not parts or not all(parts) or len({int(p.group(1)) for p in parts}) < len(parts):
+        df = stored(df.sparkSession, df, "rows")
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    return df.select("*", (F.shiftleft(part, 33) + F.col("_metadata.row_index")).alias(name))
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 

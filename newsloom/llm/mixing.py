@@ -190,6 +190,14 @@ def mix(docs: DataFrame, target: Target = Target(), vocabulary: Vocabulary = BYT
     return rows.where("not _edge").select(*keep).unionByName(chosen.select(*keep))
 
 
+def in_mixture_order(mixed: DataFrame) -> DataFrame:
+    """Rows of :func:`mix` by ``mix_at``: partitions, and rows inside them, follow each other in the mixture's order, in
+    which sources interleave by their weights and each epoch's blocks come in their permutation."""
+    order = ["mix_at", F.xxhash64("doc_id", "text"), F.monotonically_increasing_id()]
+    keyed = mixed.withColumns({"_h": order[1], "_n": order[2]})
+    return keyed.repartitionByRange("mix_at", "_h", "_n").sortWithinPartitions("mix_at", "_h", "_n").drop("_h", "_n")
+
+
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table mixed so that no source is repeated more than twice: doc_id, source, epoch, mix_at."""
     return mix(documents(spark, sf_dir, "doc_id", "source", "text")).select(

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
@@ -24,12 +24,14 @@ from .tokenize import BYTE_BPE, Vocabulary, encoded
 
 GROUP_PIECES = 16_384  # pieces packed in one task, about
 ROUNDS = 6
+ORDER_BITS = 13  # places of one group along an order
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, capacity: int, vocabulary: Vocabulary, end_id: int, doc_id: str = "doc_id",
-           text: str = "text") -> DataFrame:
-    """``docs`` -> one row per piece: doc_id, piece, start, length, ids_crc32. A null text is an empty one."""
+           text: str = "text", order: str | None = None) -> DataFrame:
+    """``docs`` -> one row per piece: doc_id, piece, start, length, ids_crc32, at (the document's ``order``). A null text
+    is an empty one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, ids, ends in encoded(batches, vocabulary):
@@ -45,10 +47,12 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: Vocabulary, end_id: int,
             crc = [zlib.crc32(flat[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist())]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), rows.column("at").take(pa.array(row))],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "at"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECE)
+    place = F.lit(None) if order is None else F.col(order)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), place.cast("long").alias("at")).mapInArrow(
+        cut, f"{PIECE}, at long")
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -91,7 +95,20 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.asarray(fills, np.int64)
 
 
-def _packed(items: DataFrame, groups: int, capacity: int, salt: int) -> DataFrame:
+def _hashed(items: DataFrame, groups: int, salt: int) -> DataFrame:
+    return items.withColumn("group", F.pmod(
+        F.xxhash64(F.lit(salt), "doc_id", "piece", "ids_crc32", "start", F.col("copy")), F.lit(groups)).cast("int"))
+
+
+def _along(items: DataFrame) -> tuple[DataFrame, int]:
+    """Groups of neighbours by ``at``, numbered in its order: as many documents as half a group's pieces, about."""
+    part = F.shiftright("at", ORDER_BITS)
+    found = stored(items.sparkSession, items.select(part.alias("_part")).distinct(), "parts")  # a row per 2^13 documents
+    numbered = found.withColumn("group", (F.row_number().over(Window.orderBy("_part")) - 1).cast("int"))
+    return items.withColumn("_part", part).join(numbered, "_part").drop("_part"), found.count()
+
+
+def _packed(items: DataFrame, groups: int, capacity: int) -> DataFrame:
     """Each group packed in a task of its own: rows are dealt by group number, so no task gets two."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,28 +122,34 @@ def _packed(items: DataFrame, groups: int, capacity: int, salt: int) -> DataFram
         certified = len(fills) == lower_bound(lengths, capacity)
         yield part.assign(bin=bins, offset=offsets, settled=(fills[bins] == capacity) | certified)
 
-    group = F.pmod(F.xxhash64(F.lit(salt), "doc_id", "piece", "ids_crc32", "start", F.col("copy")), F.lit(groups)).cast("int")
-    dealt = items.withColumn("group", group).repartitionById(groups, F.col("group"))
+    dealt = items.select(*[c.split()[0] for c in PIECE.split(", ")], "copy", "group").repartitionById(groups, F.col("group"))
     return dealt.mapInPandas(pack, f"{PIECE}, copy long, group int, bin long, offset long, settled boolean")
 
 
 def pack(items: DataFrame, capacity: int = 1024, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """Deals stored piece rows into sequences of at most ``capacity``: adds ``sequence_id`` and ``offset``.
 
-    Equal rows are separate pieces. Only narrow rows are shuffled, a task holds about ``group_pieces`` of them. The
+    Equal rows are separate pieces. Pieces with ``at`` are first grouped along it, and only those of unfilled bins are
+    exchanged between groups; others are grouped by hash. Only narrow rows are shuffled, a task holds about ``group_pieces`` of them. The
     exchange stops when a round saves no bins, and each round's result is kept only where it does."""
     spark = items.sparkSession
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     full = items.where(F.col("length") == capacity).select(
         *columns, (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     # Equal rows get a number of their own, so that no group is hot because of them.
-    loose = items.where(F.col("length") < capacity).select(*columns, F.monotonically_increasing_id().alias("copy"))
+    ordered = "at" in items.columns and not items.where("at is not null").isEmpty()
+    loose = items.where(F.col("length") < capacity).select(
+        *columns, *(["at"] if ordered else []), F.monotonically_increasing_id().alias("copy"))
     done, best, salt = [full], None, 0
     current = stored(spark, loose, "pieces")
     n = current.count()
     while n:
         groups = max(1, -(-n // group_pieces))
-        new = stored(spark, _packed(current, groups, capacity, salt), "packed")
+        if ordered and salt == 0:
+            dealt, groups = _along(current)
+        else:
+            dealt = _hashed(current, groups, salt)
+        new = stored(spark, _packed(dealt, groups, capacity), "packed")
         ids = (F.lit(salt).cast("long") * (1 << 56) + F.col("group").cast("long") * (1 << 28) + F.col("bin"))
         new = new.withColumn("sequence_id", ids)
         bins = F.count_if(F.col("offset") == 0)
@@ -152,13 +175,14 @@ def pack(items: DataFrame, capacity: int = 1024, group_pieces: int = GROUP_PIECE
 
 
 def pack_documents(docs: DataFrame, capacity: int = 1024, vocabulary: Vocabulary = BYTE_BPE, end_id: int = 2,
-                   doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Packs whole documents into sequences of at most ``capacity`` ids (see the module).
+                   doc_id: str = "doc_id", text: str = "text", order: str | None = None, **options) -> DataFrame:
+    """Packs whole documents into sequences of at most ``capacity`` ids (see the module). ``order`` names a column of
+    places (a gapless run of 2^13 is one group): neighbours share sequences, and sequence ids ascend along it.
 
     Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null or empty text is
     its end id alone; a null doc_id stays null; repeated rows are packed once each; other columns are left out; an
     empty table gives no rows. Token ids themselves are never shuffled."""
-    return pack(stored(docs.sparkSession, pieces(docs, capacity, vocabulary, end_id, doc_id, text), "pieces"),
+    return pack(stored(docs.sparkSession, pieces(docs, capacity, vocabulary, end_id, doc_id, text, order), "pieces"),
                 capacity, **options)
 
 

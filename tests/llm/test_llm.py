@@ -288,6 +288,30 @@ def test_vector_links_equal_brute_force(spark):
     assert embed_dedup.link_vectors(vectors(spark, rows).where("false")).count() == 0
 
 
+def test_every_vector_of_an_id_is_compared(spark):
+    """One id with several vectors: each has its own links, and all stand in one component."""
+    rng = np.random.default_rng(9)
+    a, b, c, d = (rng.normal(size=8).astype(np.float32).tolist() for _ in range(4))
+    rows = [(1, a, 0), (2, a, 0), (2, b, 0), (3, b, 0), (3, b, 0), (4, c, 0), (5, d, 0), (5, c, 0), (5, [0.0] * 8, 0), (6, d, 1), (7, d, None)]
+    got = embed_dedup.link_vectors(vectors(spark, rows).withColumns({x: F.lit(1) for x in ("rep", "key1", "copies", "component", "low")}))
+    got = sorted(map(tuple, got.collect()))
+    assert got == sorted([(1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (3, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True),
+                          (5, 0, 4, False), (5, 1, 4, False), (5, 0, 5, True), (6, 0, 6, True), (7, 0, 7, True)])
+
+
+def test_link_recall_on_planted_tables(spark):
+    """Clusters around and under the threshold, in one shard and over many: no link is lost, none is invented."""
+    for n, shard_rows in ((400, 4096), (1500, 300)):
+        rng = np.random.default_rng(n)
+        centres = rng.normal(size=(n // 25, 16))
+        x = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, 16)) * rng.choice([0.05, 0.1, 0.16], (n, 1))
+        u = (x / np.linalg.norm(x, axis=1)[:, None])
+        links = (u @ u.T >= 0.98).sum() - n
+        got = embed_dedup.link_vectors(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x.astype(np.float32))]), shard_rows=shard_rows)
+        found = got.agg(F.sum("n_links")).first()[0]
+        assert links > 1000 and abs(found - links) <= 4  # float32 rows: pairs on the threshold itself
+
+
 class Trapped(hnsw.Graph):
     """A graph whose beams end inside the cluster (all but the last point) until they are wider than it."""
 
@@ -362,6 +386,21 @@ def test_minhash_groups_equal_brute_force(spark, width):
     assert minhash.near_duplicates(table.where("false"), width).count() == 0
 
 
+def test_minhash_compares_every_text_of_an_id(spark):
+    """A document with several texts links where any of them does; its rows are one component."""
+    long = lambda seed, n=40: " ".join(f"{seed}{k}" for k in range(n))
+    rows = [(1, long("a")), (2, long("a")), (2, long("b")), (3, long("b") + " more"), (4, long("c")), (5, long("d")), (5, long("e")),
+            (5, long("d")), (6, long("e")), (7, None), (7, long("f")), (8, long("f")), (8, "")]
+    rows += [(9, long(f"z{k}-")) for k in range(50)] + [(10, long("z49-"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("rep", "key1", "component", "n", "low")})
+    got = minhash.near_duplicates(docs.repartition(3), 2).toPandas()
+    assert len(got) == len(rows)
+    want = {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7, 8: 7, 9: 9, 10: 9}
+    assert got.groupby("doc_id").component_id.unique().map(list).to_dict() == {k: [v] for k, v in want.items()}
+    assert (got.kept == (got.doc_id == got.component_id)).all()
+    assert sorted(got[got.doc_id == 8].n_shingles) == [0, 39] and sorted(got[got.doc_id == 7].n_shingles) == [0, 39]
+
+
 def test_quality(spark, docs, nothing):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

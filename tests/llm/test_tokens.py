@@ -55,6 +55,30 @@ def test_groups_equal_a_plain_packer(spark):
         assert (placed.groupby("sequence_id").length.cumsum() - placed.length == placed.offset).all()
 
 
+def test_packing_along_an_order(spark, monkeypatch):
+    """Neighbours share sequences, but for the pieces of bins that the groups could not fill."""
+    monkeypatch.setattr(packing, "ORDER_BITS", 5)
+    docs = spark.createDataFrame([(i, "word " * (1 + i * 7 % 23), 10 + i) for i in range(320)], "doc_id long, text string, place long")
+    got = packing.pack_documents(docs.repartition(4), 64, order="place", group_pieces=64).toPandas()
+    assert sorted(got.doc_id) == list(range(320)) and got.groupby("sequence_id").length.sum().max() <= 64
+    first = got[got.sequence_id < 1 << 56]  # packed in the first round
+    spans = first.assign(part=(first.doc_id + 10) // 32).groupby("sequence_id").part.nunique()
+    assert len(first) > 160 and spans.max() == 1
+    by = first.assign(part=(first.doc_id + 10) // 32).sort_values("sequence_id")
+    assert by.part.is_monotonic_increasing
+    plain = packing.pack_documents(docs, 64).toPandas()
+    assert got.sequence_id.nunique() <= plain.sequence_id.nunique() + 6  # ten groups of 32 pieces waste a little
+
+
+def test_mixture_order(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "ab"[i % 4 == 0]) for i in range(400)], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, block_tokens=200)
+    rows = mixing.in_mixture_order(mixed).withColumn("p", F.spark_partition_id()).toPandas()
+    assert len(rows) == mixed.count() and rows.mix_at.is_monotonic_increasing
+    share = (rows.source == "b").rolling(100).mean().dropna()
+    assert share.max() - share.min() < 0.35  # sources interleave all along
+
+
 def test_op4_ids_are_the_library_s(spark, table):
     folder, rows = table
     own = library(BYTE_BPE)
