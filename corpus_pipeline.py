@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import minhash, mixing, packing, quality
-from newsloom.llm.common import stored
+from newsloom.llm.common import row_places, stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,21 +27,18 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ties by a hash of the row. Every row is compared by its own text, also where ids repeat or are null; rows without
     words stay, of those that repeat an id and its text one."""
     key = "_row"
-    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or doc_id is null")
-    if shared.isEmpty():  # ids serve as row keys
-        gone = minhash.near_duplicates(docs, width=5).where(~F.col("kept")).select("doc_id")
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    rows = stored(spark, docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    rows = row_places(docs, key)
     found = minhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), width=5).select(
         F.col("doc_id").alias(key), "n_shingles", "component_id")
     found = stored(spark, found, "groups")
-    # The group of a row without words: its id and text; each null id is a document of its own.
+    # Narrow rows from here on. The group of a row without words: its id and text; each null id is a document of its own.
+    narrow = rows.select(key, "doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(*docs.columns).alias("h2"),
+                         F.sha2(F.col("text").cast("binary"), 256).alias("text"))
     group = F.struct(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("links"),
                      F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("id"),
-                     F.when(F.col("n_shingles") == 0, F.sha2(F.col("text").cast("binary"), 256)).alias("text"))
-    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", F.xxhash64("text").alias("h1"),
-                     F.xxhash64(*docs.columns).alias("h2"), key)
-    placed = rows.join(found, key).where((F.col("n_shingles") > 0) | F.col("doc_id").isNotNull()).select(
+                     F.when(F.col("n_shingles") == 0, F.col("text")).alias("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "h1", "h2", key)
+    placed = narrow.join(found, key).where((F.col("n_shingles") > 0) | F.col("doc_id").isNotNull()).select(
         key, group.alias("group"), order.alias("order"))
     best = placed.groupBy("group").agg(F.min("order").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = stored(spark, placed.join(best, placed["group"].eqNullSafe(best["group"])).where("order != best").select(key), "gone")
@@ -49,13 +46,16 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the temperature mixture takes them: none is left out, none comes more than twice."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Documents as often as the temperature mixture takes them (none is left out, none comes more than twice), written
+    in the mixture's order. Null texts and sources take part; repeated rows are taken alike; an empty table stays empty."""
+    return mixing.in_mixture_order(mixing.mix(docs)).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 token ids."""
-    return packing.pack_documents(docs)
+    """Pieces of all documents in sequences of at most 1024 token ids, packed along the order in which ``docs`` was
+    written: by the number of the file that a row is in, and its place there. A null text is its end id alone, every row
+    is packed, an empty table gives no rows."""
+    return packing.pack_documents(row_places(docs, "_place"), order="_place")
 
 
 STAGES = [("quality", quality_stage), ("near_dedup", dedup_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
