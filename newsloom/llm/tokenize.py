@@ -255,6 +255,7 @@ def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterato
         base = at[begin - 1] if begin else 0
         end = max(begin + 1, int(np.searchsorted(at, base + size, "right")))
         yield batch.slice(begin, end - begin)
+        pa.default_memory_pool().release_unused()  # else Arrow keeps as much again as a worker uses
         begin = end
 
 
