@@ -103,22 +103,31 @@ def _remove_dots(segments: Column) -> Column:
 
 
 def resolve_url(base, link) -> Column:
-    """``urljoin(base, link)`` for http(s) bases: handles ``//host``, ``/abs``, ``rel``, ``?q``,
-    ``#f`` and dot segments. A link that carries its own scheme is returned unchanged."""
+    """``urljoin(base, link)`` for http(s) bases: handles ``//host``, ``/abs``, ``rel``, ``;params`` of the last segment,
+    ``?q``, ``#f`` and dot segments. A link that carries its own scheme is returned unchanged."""
     base, link = _col(base), _col(link)
     cbase, clink = _url_clean(base), _url_clean(link)
     parts = F.struct(
         base.alias("base"), link.alias("link"),
         clink.alias("lc"),
-        *[_part(cbase, i).alias(f"b{i}") for i in (1, 2, 3, 4)],
-        *[_part(clink, i).alias(f"l{i}") for i in (1, 2, 3, 4, 5)],
+        *[_part(cbase, i).alias(f"b{i}") for i in (1, 2, 4)],
+        *[_part(clink, i).alias(f"l{i}") for i in (1, 2, 4, 5)],
+        *[c for side, url in (("b", cbase), ("l", clink)) for c in _path_and_params(_part(url, 3), side)],
         _has(clink, "query").alias("lq"), _has(clink, "fragment").alias("lf"),
         _has(cbase, "query").alias("bq"), _has(clink, "netloc").alias("ln"))
     return bind(parts, _resolve)
 
 
+def _path_and_params(path: Column, side: str) -> list[Column]:
+    """The path without, and with ``;`` the parameters of its last segment ('' also where nothing follows the ``;``)."""
+    split = r"(?s)^((?:.*/)?[^/;]*)(;.*)?$"
+    params = F.regexp_extract(path, split, 2)
+    return [F.regexp_extract(path, split, 1).alias(f"{side}3"), F.when(params == ";", "").otherwise(params).alias(f"{side}p")]
+
+
 def _resolve(p: Column) -> Column:
     base, link = p["base"], p["link"]
+    l_params = p["lp"]
     b_scheme, b_net, b_path, b_query = p["b1"], p["b2"], p["b3"], p["b4"]
     l_scheme, l_path, l_query, l_frag = p["l1"], p["l3"], p["l4"], p["l5"]
     l_has_q, l_has_f, b_has_q = p["lq"], p["lf"], p["bq"]
@@ -150,11 +159,11 @@ def _resolve(p: Column) -> Column:
             .when(link == "", base)
             # '//host/...' takes the base scheme; '///path' (empty host) is an absolute path
             .when(p["ln"] & (p["l2"] != ""),
-                  F.concat(b_scheme, F.lit(":"), F.regexp_replace(p["lc"], r"^[A-Za-z][A-Za-z0-9+.-]*:", "")))
-            .when(l_path == "",
-                  with_tail(authority, b_path, F.when(l_has_q, l_query).otherwise(b_query), l_has_q | b_has_q))
-            .when(l_path.startswith("/"), with_tail(authority, joined(F.split(l_path, "/")), l_query, l_has_q))
-            .otherwise(with_tail(authority, joined(relative_segments(b_path)), l_query, l_has_q)))
+                  with_tail(F.concat(b_scheme, F.lit("://"), p["l2"]), F.concat(l_path, l_params), l_query, l_has_q))
+            .when((l_path == "") & (l_params == ""),
+                  with_tail(authority, F.concat(b_path, p["bp"]), F.when(l_has_q, l_query).otherwise(b_query), l_has_q | b_has_q))
+            .when(l_path.startswith("/"), with_tail(authority, F.concat(joined(F.split(l_path, "/")), l_params), l_query, l_has_q))
+            .otherwise(with_tail(authority, F.concat(joined(relative_segments(b_path)), l_params), l_query, l_has_q)))
 
 
 def resolve_link(link, feed_url) -> Column:
