@@ -1,10 +1,11 @@
-"""Token ids of many texts with the ``tokenizers`` library, each distinct space-separated chunk encoded once.
-
-A text is cut before single spaces and line breaks, where both vocabularies start a new word in any case, so the ids of
-a text are the ids of its chunks in order. Arrow finds the distinct chunks of a slice of rows; the library encodes
-those the worker has not met yet; numpy lays the ids out. A chunk that is one run of Latin letters, perhaps with
-sentence marks after it, is two words for both vocabularies, and the library's model encodes those directly. Texts
-where white space touches white space (one word may then reach over the cut) go to the library whole.
+"""Token ids of many texts with the ``tokenizers`` library, each distinct chunk encoded once.
+
+A text is cut before single spaces and line breaks, and between a letter and sentence marks, where both vocabularies
+start a new word in any case, so the ids of a text are the ids of its chunks in order. Arrow finds the distinct chunks of
+a slice of rows; the library encodes those the worker has not met yet; numpy lays the ids out. A chunk that is one run of
+Latin letters is one word for both vocabularies (with sentence marks after it, two), and the library's model encodes
+those directly. Texts where white space touches white space (one word may then reach over the cut) go to the library
+whole.
 """
 
 from __future__ import annotations
@@ -23,6 +24,15 @@ _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _WORD = f"^(?P<lead>[ \n]?)(?P<core>[{_LETTERS}]+)(?P<marks>[.,!?;:]*)$"
 _LOWER = "^(?P<lead>)(?P<core>[a-z\u00df-\u00f6\u00f8-\u00ff]+)(?P<marks>[.,!?;:]*)$"
 
+# Byte tables: A-Z to a-z and line breaks to spaces; ASCII letters; sentence marks.
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+_LOWERED[10] = 32
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[65:91] = _IS_LETTER[97:123] = True
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(b".,!?;:")] = True
+
 SLICE_BYTES = 6 << 20  # text bytes laid out at a time
 KEEP_CHUNKS = 600_000  # chunks a worker remembers before it drops the rarer half
 KEEP_WORDS = 150_000  # and words
@@ -207,6 +217,29 @@ class Encoder:
         at[rest] = self.chunks.add(other, np.fromiter(chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
         return at
 
+    def _chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The chunks of all texts, and how many there are up to each text's end. A cut stands before a space, a line
+        break, and sentence marks that follow a letter; a vocabulary that drops white space gets chunks without."""
+        _, offsets, data = texts.buffers()
+        at = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data if data is not None else b"", np.uint8)[at[0]:at[-1]]
+        at = at - at[0]
+        if not self.spaced:
+            raw = _LOWERED[raw]
+        blank = (raw == 32) | (raw == 10)
+        start = blank.copy()
+        if len(raw):
+            letter = _IS_LETTER[raw]
+            letter[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)  # the accented letters of Latin 1
+            start[1:] |= _IS_MARK[raw[1:]] & letter[:-1]
+            start[at[:-1][np.diff(at) > 0]] = True
+        ends = np.append(np.flatnonzero(start), len(raw))
+        last = np.concatenate([[0], np.cumsum(start)])[at[1:]]
+        if not self.spaced:
+            ends = np.concatenate([[0], np.cumsum(~blank)])[ends]
+            raw = raw[~blank]
+        return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)), last
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)``: the ids of all texts one after another, and where each text's ids end. Null: none."""
         if pa.types.is_large_string(texts.type):
@@ -220,12 +253,7 @@ class Encoder:
             for k in np.flatnonzero(strange.to_numpy(zero_copy_only=False)):
                 odd[int(k)] = np.asarray(self.whole(texts[int(k)].as_py()), np.uint32)
             texts = pc.if_else(strange, "", texts)
-        if self.spaced:
-            cut = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
-            lists = pc.split_pattern(cut, "\x00")
-        else:
-            lists = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
-        chunks = lists.flatten()
+        chunks, last = self._chunks(texts)
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
         if self.chunks.n + len(words) > KEEP_CHUNKS:
@@ -237,7 +265,7 @@ class Encoder:
         entry = at[coded.indices.to_numpy()] if len(chunks) else np.zeros(0, np.int64)
         self.chunks.hits[:self.chunks.n] += np.bincount(entry, minlength=self.chunks.n)
         ids, ends = self.chunks.ids(entry)
-        bounds = np.concatenate([[0], ends])[np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()]
+        bounds = np.concatenate([[0], ends])[last]
         if odd:
             parts = np.split(ids, bounds[:-1]) if len(bounds) else []
             parts = [odd.get(k, p) for k, p in enumerate(parts)]

@@ -64,6 +64,19 @@ def test_chunked_ids_equal_the_library(vocabulary, ids_of):
     assert ids.tolist() == ids_of(vocabulary, "same words here now")
 
 
+@pytest.mark.parametrize("vocabulary", [BYTE_BPE, WORD_BPE, PLAIN_WORD_BPE])
+def test_random_texts_equal_the_library(vocabulary, ids_of):
+    """Texts put together from pieces on which a cut could go wrong."""
+    import random
+    rng = random.Random(1)
+    pieces = [" ", "  ", "\n", "\n\n", "\t", "a", "Ab", "word", "É", "é.", "ß,", "×.", "÷!", "l'été", "don't", "..", "?!", ";:", "1.5",
+              "3,4", "日本。", "😀.", "x\u0301.", "\u0301", "|", " |", "<|endoftext|>", "</w>", "a.b.c", "\x00", "\u3000", "A.", "\xa0."]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(2000)]
+    ids, ends = Encoder(vocabulary).texts(pa.array(texts).slice(3))
+    for text, part in zip(texts[3:], np.split(ids, ends[:-1])):
+        assert part.tolist() == ids_of(vocabulary, text), text
+
+
 def test_components_equal_union_find(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(i, i + 1) for i in range(100, 140)]
