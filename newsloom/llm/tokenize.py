@@ -234,9 +234,9 @@ class Encoder:
             start[1:] |= _IS_MARK[raw[1:]] & letter[:-1]
             start[at[:-1][np.diff(at) > 0]] = True
         ends = np.append(np.flatnonzero(start), len(raw))
-        last = np.concatenate([[0], np.cumsum(start)])[at[1:]]
+        last = np.searchsorted(ends[:-1], at[1:])
         if not self.spaced:
-            ends = np.concatenate([[0], np.cumsum(~blank)])[ends]
+            ends = ends - np.searchsorted(np.flatnonzero(blank), ends)
             raw = raw[~blank]
         return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)), last
 
