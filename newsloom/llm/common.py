@@ -41,29 +41,28 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def components(spark: SparkSession, links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Connected components of ``links``: ``(node, component)`` with the smallest node of each component.
 
-    Alternates large-star and small-star steps (Kiveris et al. 2014): every step re-links neighbours to a
-    node's smallest neighbour, so all nodes point at their component's smallest node after about log n
-    rounds. Each round is aggregates and equi joins; a node with very many links is pre-aggregated map-side and
-    its join side can be split. Rounds are cut by tables in the shared folder. Nodes without links are absent.
+    Alternates small-star and large-star steps (Kiveris et al. 2014): each re-links a node's smaller or larger
+    neighbours to its smallest one and never adds a link, so all nodes point at their component's smallest node after
+    about log n steps. A step is one aggregate and one equi join; the aggregate, the smallest and largest neighbour of
+    every node, also shows when all links are stars, so no step is made only to find that nothing changes. It is stored,
+    so that the join is between two plain shuffles and the side of a node with very many links can be split. Steps are
+    cut by tables in the shared folder. Nodes without links are absent.
     """
-    u, v = F.col("u"), F.col("v")
-    edges = stored(spark, links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
-                   .where((u != v)).distinct(), "edges")
-    state = None
+    u, v, m = F.col("u"), F.col("v"), F.col("m")
+    edges = stored(spark, links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where(u != v), "edges")
+    small = True
     while True:
         both = edges.union(edges.select(v.alias("u"), u.alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).distinct()
-        # Small star: rows already point from a node to a smaller one.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        edges = stored(spark, small.select("u", F.col("m").alias("v")).union(
-            small.where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))).distinct(), "edges")
-        new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == state:
-            return edges.select(u.alias("node"), v.alias("component")).union(
-                edges.select(v.alias("node"), v.alias("component")).distinct())
-        state = new
+        low = stored(spark, both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("x")), "low")
+        if low.where((m < u) & (F.col("x") != m)).isEmpty():
+            return low.select(u.alias("node"), F.least("u", "m").alias("component"))
+        # The neighbour that is the smallest itself stands for the node.
+        if small:  # edges point from a node to a smaller one
+            linked = edges.join(low, "u").select(F.when(v == m, u).otherwise(v).alias("u"), m.alias("v"))
+        else:
+            linked = edges.select(u.alias("b"), v.alias("u")).join(low, "u").select(F.col("b").alias("u"), F.least("u", "m").alias("v"))
+        edges = stored(spark, linked.distinct(), "edges")
+        small = not small
 
 
 def prefix_scan(df: DataFrame, order: str, within: str, span: int = 1024, sums: dict | None = None,

@@ -117,7 +117,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(percent: int):
-    """A spanning forest of the links between two blocks (or inside one), as pairs of class and root."""
+    """A spanning forest of the links between two blocks (or inside one), as pairs of the components of class and root."""
 
     def link(part):
         import pandas as pd
@@ -141,7 +141,8 @@ def _block_links(percent: int):
                 tied = np.unique(root[np.append(hit, k)])
                 root[np.isin(root, tied)] = tied[0]
         some = root != np.arange(len(reps))
-        return pd.DataFrame({"a": reps[some], "b": reps[root[some]]})
+        comp = part["component"].to_numpy()
+        return pd.DataFrame({"a": comp[some], "b": comp[root[some]]})
 
     return link
 
@@ -159,31 +160,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     rows = stored(spark, sketches(docs, width, halves, hashes), "sketches")
     key = ["key1", "key2", "n_shingles"]
     real = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    chosen = stored(spark, real.groupBy("doc_id", *key).agg(F.min("text_hash").alias("text_hash")), "chosen")
-    # A class is a set; one text of its smallest document stands for it. Its number is unique, as the table is stored.
-    classes = stored(spark, chosen.groupBy(*key).agg(F.min(F.struct("doc_id", "text_hash")).alias("d"), F.count(F.lit(1)).alias("n")).select(
-        *key, F.col("d.doc_id").alias("doc_id"), F.col("d.text_hash").alias("text_hash"), "n",
-        F.monotonically_increasing_id().alias("rep")), "classes")
-    named = stored(spark, chosen.select("doc_id", *key).join(classes.drop("doc_id", "text_hash"), key).select("doc_id", "rep", "n"), "named")
+    # A class is a set; one text of its smallest document stands for it, and its half keys are taken from that text.
+    # Its number is unique, as the table is stored.
+    smallest = F.min(F.struct("doc_id", "text_hash", "first", "second"))
+    classes = stored(spark, real.groupBy(*key).agg(smallest.alias("d"), F.max("doc_id").alias("last")).select(
+        *key, "d.*", (F.col("d.doc_id") < F.col("last")).alias("many"), F.monotonically_increasing_id().alias("rep")), "classes")
+    named = stored(spark, real.select("doc_id", *key).join(classes.select(*key, "rep"), key).select("doc_id", "rep"), "named")
     # Classes of one document's texts are tied to the smallest of them.
     several = named.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    same_id = stored(spark, join_hot_split(named.select("doc_id", "rep"), several.select("doc_id", "low"), "doc_id").where(
+    same_id = stored(spark, join_hot_split(named, several.select("doc_id", "low"), "doc_id").where(
         "low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")), "same-id")
 
-    # A class's half keys, from the text that stands for it (repeated rows of it once).
-    spot = ["doc_id", "text_hash", *key]
-    sketch = real.join(classes.select(*spot, "rep"), spot).groupBy("rep", "n_shingles").agg(
-        F.first("first").alias("first"), F.first("second").alias("second"))
-    sketch = stored(spark, sketch, "halves")
-
     # Tables of half keys that only one class has can hold no pair, so those are left out before pairing.
-    def shared_halves(name: str) -> DataFrame:
-        one = sketch.select("rep", F.posexplode(name).alias("k", "half"))
-        many = one.groupBy("k", "half").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y").select("k", "half")
-        return one.join(many, ["k", "half"]).groupBy("rep").agg(F.collect_list(F.struct("k", "half")).alias(name))  # at most `halves`
-
-    tables = shared_halves("first").join(shared_halves("second"), "rep")
-    tables = stored(spark, tables, "tables")
+    one = classes.select("rep", F.posexplode(F.concat("first", "second")).alias("k", "half"))
+    shared = one.groupBy("k", "half").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y").select("k", "half")
+    tables = one.join(shared, ["k", "half"]).groupBy("rep").agg(F.collect_list(F.struct("k", "half")).alias("own"))
+    tables = stored(spark, tables.select("rep", *[F.filter("own", test).alias(name) for name, test in (
+        ("first", lambda h: h["k"] < halves), ("second", lambda h: h["k"] >= halves))]), "tables")  # at most `halves` each
     keys = tables.select("rep", F.explode("first").alias("f"), "second").select(
         "rep", "f", F.explode("second").alias("s")).select("rep", F.xxhash64("f.k", "f.half", "s.k", "s.half").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("y")).where("a < y").select("key", "a")
@@ -192,41 +185,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT, hal
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
     # Only the texts that stand for classes are read again, repeated rows once; the join's partitioning serves distinct()
     # too, so texts move once and sets not at all.
-    asked = classes.join(wanted.select(F.col("doc_id").alias("rep")), "rep").select("doc_id", "text_hash", "rep", "key1", "key2")
+    asked = classes.select("doc_id", "text_hash", "rep", "key1", "key2").join(wanted.select(F.col("doc_id").alias("rep")), "rep")
     texts = docs.withColumn("text_hash", F.xxhash64("text")).join(asked, ["doc_id", "text_hash"]).select(
         "doc_id", "text_hash", "rep", "text", "key1", "key2").distinct().select(F.col("rep").alias("doc_id"), "text", "key1", "key2")
     sets = stored(spark, full_sets(texts, width), "sets")
-    sizes = sketch.select("rep", "n_shingles")
+    sizes = classes.select("rep", "n_shingles")
     ratio = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  no pair beyond it can reach the similarity
     fitting = stars.join(sizes.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na")), "a").join(
         sizes.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb")), "b").where(ratio(F.col("na"), F.col("nb"))).select("a", "b")
     links = stored(spark, confirmed(fitting, sets, percent), "links")
 
-    comp = stored(spark, components(spark, links), "components")
-    # Clusters of classes that buckets tie together; those with several components are compared in blocks.
-    clusters = stored(spark, components(spark, stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
-    placed = clusters.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").join(sizes, "rep").select(
-        "cluster", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles")
-    mixed = placed.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("cluster")
+    comp = components(spark, links).withColumnRenamed("node", "rep")
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes as pairs of their components, where those differ."""
+        for side in ("a", "b"):
+            pairs = pairs.join(comp.select(F.col("rep").alias(side), "component"), side, "left").withColumn(
+                side, F.coalesce("component", side)).drop("component")
+        return pairs.where("a != b").select("a", "b").distinct()
+
+    # Clusters of classes that buckets tie together; those with several components are compared in blocks. Components
+    # that buckets tie to no other are in none of them.
+    clusters = components(spark, joined(stars)).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    placed = sizes.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep")).join(clusters, "component")
     so_far = F.sum("n_shingles").over(Window.partitionBy("cluster").orderBy("component", "rep"))
-    placed = stored(spark, placed.join(mixed, "cluster", "left_semi").withColumn(
-        "block", F.floor((so_far - F.col("n_shingles")) / BLOCK_SHINGLES)), "blocks")
+    placed = stored(spark, placed.withColumn("block", F.floor((so_far - F.col("n_shingles")) / BLOCK_SHINGLES)), "blocks")
     blocks = placed.groupBy("cluster", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     x, y = blocks.alias("x"), blocks.alias("y")
     one = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
     tasks = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.block") <= F.col("y.block")) & ~one).select(
         "x.cluster", F.col("x.block").alias("b1"), F.col("y.block").alias("b2"))
     tasks = tasks.withColumn("block", F.explode(F.array_distinct(F.array("b1", "b2"))))
-    rows_in = placed.select("cluster", "block", "rep").join(tasks, ["cluster", "block"]).join(
+    rows_in = placed.select("cluster", "block", "rep", "component").join(tasks, ["cluster", "block"]).join(
         sets.withColumnRenamed("doc_id", "rep"), "rep")
     more = rows_in.groupBy("cluster", "b1", "b2").applyInPandas(_block_links(percent), "a long, b long")
-    comp = stored(spark, components(spark, links.union(more).union(same_id)).select(F.col("node").alias("rep"), "component"), "components")
-
-    least = classes.join(comp, "rep").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    placed = named.join(comp, "rep", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
-    alone = classes.select("rep", F.col("doc_id").alias("own"))
-    placed = placed.join(least, "component", "left").join(alone, "rep").groupBy("doc_id").agg(
-        F.min(F.coalesce("component_id", "own")).alias("component_id"))
+    final = components(spark, more.union(joined(same_id))).select(F.col("node").alias("component"), F.col("component").alias("final"))
+
+    # Classes that other documents or classes are in one component with.
+    found = classes.select("rep", "doc_id", "many").join(comp, "rep", "left").withColumn("linked", F.col("component").isNotNull()).withColumn(
+        "component", F.coalesce("component", "rep")).join(final, "component", "left").where(
+        F.col("many") | F.col("linked") | F.col("final").isNotNull()).select("rep", "doc_id", F.coalesce("final", "component").alias("component"))
+    found = stored(spark, found, "found")
+    least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = named.join(found.drop("doc_id").join(least, "component"), "rep").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"))
     out = rows.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

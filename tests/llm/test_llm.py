@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import ann, ans, chat, embed_dedup, hnsw, minhash, mixing, packing, quality, sharding, token_counts
+from newsloom.llm import ann, ans, chat, common, embed_dedup, hnsw, minhash, mixing, packing, quality, sharding, token_counts
 from newsloom.llm.common import components, shared_path
 from newsloom.llm.tokenize import BYTE_BPE, PLAIN_WORD_BPE, WORD_BPE, Encoder
 from newsloom.llm.vectors import units as unit_vectors
@@ -92,6 +92,17 @@ def test_components_equal_union_find(spark):
     assert got == {x: find(x) for x in {v for p in pairs if p[0] != p[1] for v in p}}
 
 
+def test_components_of_stars_take_no_step(spark, monkeypatch):
+    """Links that are stars already are written, looked at once and returned; another step is made only where one is needed."""
+    names = []
+    monkeypatch.setattr(common, "stored", lambda s, df, name, put=common.stored: names.append(name) or put(s, df, name))
+    pairs = [(7 + k % 2 * 100, 1000 + k) for k in range(30)] + [(1000, 7), (4, 4)]
+    got = {r["node"]: r["component"] for r in components(spark, spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {n: 7 + k % 2 * 100 for k in range(30) for n in (1000 + k, 7 + k % 2 * 100)}
+    assert len(names) == 2
+    assert components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_separator_scan(spark, docs, nothing, ids_of):
     folder = shared_path(spark, "test")
     places = token_counts.write_flat(docs.select("doc_id", "text").repartition(3), folder)
@@ -399,6 +410,25 @@ def test_minhash_groups_equal_brute_force(spark, width):
     assert minhash.near_duplicates(table.where("false"), width).count() == 0
 
 
+def test_minhash_of_near_copies_takes_few_shuffles(spark, monkeypatch):
+    """One large group of near copies, in several components until its blocks are compared: the fixed cost of the job is
+    its number of shuffles, each with as many tasks as there are partitions."""
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(f"w{i}" if rng.random() > 0.08 else f"x{rng.integers(1e9)}" for i in range(60))) for k in range(150)]
+    shuffles = []
+
+    def put(s, df, name, put=common.stored):
+        shuffles.append(len(re.findall(r"(?<!Reused)Exchange (?:hash|Single|range)", df._jdf.queryExecution().executedPlan().toString())))
+        return put(s, df, name)
+
+    monkeypatch.setattr(common, "stored", put)
+    monkeypatch.setattr(minhash, "stored", put)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).toPandas()
+    want = brute_groups(rows, 2)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
+    assert sum(shuffles) <= 50, (sum(shuffles), shuffles)
+
+
 def test_minhash_compares_every_text_of_an_id(spark):
     """A document with several texts links where any of them does; its rows are one component."""
     long = lambda seed, n=40: " ".join(f"{seed}{k}" for k in range(n))
