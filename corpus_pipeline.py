@@ -2,7 +2,8 @@
 temperature, and the mixture is packed into training sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; ``run`` writes each stage's
-result as Parquet in the shared folder and reads it again for the next.
+result as Parquet in the shared folder and reads it again for the next. Each stage bounds the session's batches to Python
+workers, whose memory an executor carries from stage to stage.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import minhash, mixing, packing, quality
-from newsloom.llm.common import row_places, stored
+from newsloom.llm.common import bounded_batches, row_places, stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine accepts, with all their columns. It learns from the labelled rows of
     ``docs`` that are not held out; a null or empty text is scored like any other."""
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     machine = quality.train(docs, labels)
     return quality.score(docs, machine, out="_score").where(F.col("_score") >= 0.5).drop("_score")
@@ -26,6 +28,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group linked at five-word-shingle similarity 0.8 or more: the smallest id's, null ids last and
     ties by a hash of the row. Every row is compared by its own text, also where ids repeat or are null; rows without
     words stay, of those that repeat an id and its text one."""
+    bounded_batches(spark)
     key = "_row"
     rows = row_places(docs, key)
     found = minhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), width=5).select(
@@ -48,6 +51,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the temperature mixture takes them (none is left out, none comes more than twice), written
     in the mixture's order. Null texts and sources take part; repeated rows are taken alike; an empty table stays empty."""
+    bounded_batches(spark)
     return mixing.in_mixture_order(mixing.mix(docs)).select(*docs.columns)
 
 
@@ -55,6 +59,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pieces of all documents in sequences of at most 1024 token ids, packed along the order in which ``docs`` was
     written: by the number of the file that a row is in, and its place there. A null text is its end id alone, every row
     is packed, an empty table gives no rows."""
+    bounded_batches(spark)
     return packing.pack_documents(row_places(docs, "_place"), order="_place")
 
 

@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 from newsloom.session import checkpoint_dir
 
 
+# Text bytes that a Python worker gets at a time, about: rows by the thousand (Spark's default) can hold any amount, and both
+# the executor's Arrow buffers and the worker keep several times a batch.
+BATCH_BYTES = 3 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of each batch that goes to a Python worker, unless the session sets a bound of its own. Rows are the
+    same; a longer row is a batch of its own. It holds for the session, as plans made now run later."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the session's shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

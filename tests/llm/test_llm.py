@@ -538,3 +538,31 @@ def test_dedup_compares_every_row(spark):
             (None, None), (None, None)]
     shape = lambda i, x: repr((None if i is None else float(i), x))
     assert got == sorted(shape(*r) for r in want)
+
+
+def test_pipeline_batches_bounded(spark, monkeypatch):
+    """Long texts come to the workers in bounded batches, all of them; a bound that the session sets stays."""
+    import corpus_pipeline as pipeline
+    table = spark.range(40).selectExpr("id as doc_id", "repeat('a b', 100000) as text", "'s' as source").coalesce(1)
+    found = []
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(b)], "size": [b.nbytes]})
+
+    def seen(docs):
+        found.append(docs.mapInArrow(sizes, "n long, size long").collect())
+        return docs.withColumn("mix_at", F.lit(0.0))
+
+    monkeypatch.setattr(pipeline.mixing, "mix", seen)
+    spark.conf.unset(common._BATCH_SETTING)
+    try:
+        assert pipeline.mixing_stage(spark, table, SF).count() == 40
+        spark.conf.set(common._BATCH_SETTING, str(1 << 20))
+        pipeline.mixing_stage(spark, table, SF)
+        assert spark.conf.get(common._BATCH_SETTING) == str(1 << 20)
+    finally:
+        spark.conf.unset(common._BATCH_SETTING)
+    for rows, most in zip(found, (common.BATCH_BYTES, 1 << 20)):
+        assert sum(r.n for r in rows) == 40
+        assert max(r.size for r in rows) <= most + 400_000  # a batch ends with the row that reaches the bound
